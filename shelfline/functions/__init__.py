@@ -1,5 +1,5 @@
 from .demand import demand_columns
-from .exact import exact_avg, exact_sum, money, portable_round
+from .exact import exact_avg, exact_sum, from_units, portable_round, to_units
 from .scalars import date_key, lenient_date, lenient_double, lenient_int, month_boundaries, season_of
 
 __all__ = [
@@ -7,11 +7,12 @@ __all__ = [
     "demand_columns",
     "exact_avg",
     "exact_sum",
+    "from_units",
     "lenient_date",
     "lenient_double",
     "lenient_int",
-    "money",
     "month_boundaries",
     "portable_round",
     "season_of",
+    "to_units",
 ]

@@ -1,28 +1,48 @@
 """Sums, means and rounding whose result does not depend on the order in which rows arrive.
 
 A sum of doubles changes in its last digits with the partitioning, and with it everything that is compared or
-ranked by that sum. Amounts have two decimals, a net amount (price times one minus discount) four, so sums are
-taken over DECIMAL with four decimals, in which they are exact, and returned as double.
+ranked by that sum. Amounts have two decimals, a net amount (price times one minus discount) four. So an amount
+is counted in whole units of 1/10000, sums are taken over those integers, and the result is returned as double.
+An amount that is no finite number, or has no room in a bigint, fails the query under ANSI mode.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_TYPE = "decimal(18,4)"
+_UNITS = 10_000
+_LOW_BITS = 20
 
 
-def money(col: Column | str) -> Column:
-    return (F.col(col) if isinstance(col, str) else col).cast(MONEY_TYPE)
+def _col(col: Column | str) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
+def to_units(col: Column | str) -> Column:
+    """The amount in units of 1/10000 as bigint, rounded half away from zero."""
+    col = _col(col)
+    return (col * _UNITS + F.signum(col) * 0.5).cast("bigint")
+
+
+def from_units(units: Column | str) -> Column:
+    return _col(units).cast("double") / _UNITS
 
 
 def exact_sum(col: Column | str) -> Column:
-    return F.sum(money(col)).cast("double")
+    """Sum of amounts, for groups of any size.
+
+    A bigint would overflow at about 9e14, which a year of a large company can reach. The high and the low bits
+    are summed apart, as bigint each, and put together in decimal once per group: a decimal sum gives the same
+    but works on a heap object for every row.
+    """
+    units = to_units(col)
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND((1 << _LOW_BITS) - 1)).cast("decimal(20,0)")
+    return from_units(high * (1 << _LOW_BITS) + low)
 
 
 def exact_avg(col: Column | str) -> Column:
     """Mean of the non-NULL values; NULL when there are none."""
-    col = F.col(col) if isinstance(col, str) else col
-    return F.try_divide(exact_sum(col), F.count(col))
+    return F.try_divide(exact_sum(col), F.count(_col(col)))
 
 
 def portable_round(col: Column, places: int = 2) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions import month_boundaries, portable_round
+from ..functions import from_units, month_boundaries, portable_round
 from .dims import Dimensions
 from .sales import daily_totals
 
@@ -13,7 +13,6 @@ _PRODUCT = ("brand", "category", "sub_category", "launch_date", "sku_name")
 
 
 def _daily(pos_sales: DataFrame, sellout: DataFrame, dims: Dimensions) -> DataFrame:
-    """Daily revenue stays decimal here."""
     launched = dims.product.filter(F.col("innovation_flag") == 1)
 
     def channel(sales: DataFrame, name: str) -> DataFrame:
@@ -29,7 +28,7 @@ def innovation_daily(pos_sales: DataFrame, sellout: DataFrame, dims: Dimensions)
         "product_id",
         *_PRODUCT,
         F.col("total_qty").alias("qty"),
-        F.col("total_revenue").cast("double").alias("revenue"),
+        from_units("revenue_units").alias("revenue"),
         "channel",
     )
 
@@ -43,12 +42,14 @@ def innovation_mart(pos_sales: DataFrame, sellout: DataFrame, dims: Dimensions)
     """
     series = W.partitionBy("product_id", "channel")
     so_far = series.orderBy("date", *_PRODUCT).rowsBetween(W.unboundedPreceding, W.currentRow)
-    revenue = F.col("total_revenue").cast("double")
-    best = F.max("total_revenue").over(series).cast("double")
+    # A year of the best-seller can exceed a bigint of units, so the running sum is decimal.
+    running = F.sum(F.col("revenue_units").cast("decimal(20,0)")).over(so_far)
+    revenue = from_units("revenue_units")
+    best = from_units(F.max("revenue_units").over(series))
     return (
         _daily(pos_sales, sellout, dims)
         .withColumn("month_since_launch", month_boundaries(F.col("launch_date"), F.col("date")))
-        .withColumn("cumulative_revenue", F.sum("total_revenue").over(so_far).cast("double"))
+        .withColumn("cumulative_revenue", from_units(running))
         .filter(F.col("month_since_launch") >= 0)
         .select(
             "date",

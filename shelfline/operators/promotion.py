@@ -5,7 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions import portable_round
+from ..functions import from_units, portable_round
 from .dims import Dimensions
 from .sales import daily_totals
 
@@ -89,14 +89,14 @@ def promotion_mart(pos_sales: DataFrame, dims: Dimensions) -> DataFrame:
         .rowsBetween(-frame, -1)
     )
     baseline = F.try_divide(
-        F.sum("total_revenue").over(before).cast("double"), F.count("total_revenue").over(before)
+        from_units(F.sum("revenue_units").over(before)), F.count("revenue_units").over(before)
     )
     framed = daily.join(first, ["product_id", "date"], "left").withColumn("_baseline", baseline).drop("_place")
-    own_day = (F.col("total_revenue") * frame).cast("double") / frame
+    own_day = from_units(F.col("revenue_units") * frame) / frame
     behind = daily.join(further, ["product_id", "date"]).withColumn("_baseline", own_day)
 
     on_promotion = F.col("_promotion").isNotNull()
-    revenue = F.col("total_revenue").cast("double")
+    revenue = from_units("revenue_units")
     gain = portable_round((revenue - F.col("_baseline")) / F.col("_baseline") * 100)
     return framed.unionByName(behind).select(
         "date",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions import money
+from ..functions import to_units
 from .dims import Dimensions
 from .star import with_date, with_distributor, with_product, with_store
 
@@ -83,7 +83,7 @@ def sales_mart(
 
 
 def daily_totals(sales: DataFrame, dims: Dimensions, products: DataFrame, *attributes: str) -> DataFrame:
-    """Per day and product: total_qty and total_revenue (decimal), with attributes of ``products``.
+    """Per day and product: total_qty and revenue_units (``to_units``), with attributes of ``products``.
 
     Sales are summed per day and product before they meet the product table. Most of that sum happens before
     the shuffle, and a best-seller has afterwards one row per day instead of a large share of all rows, so the
@@ -93,10 +93,10 @@ def daily_totals(sales: DataFrame, dims: Dimensions, products: DataFrame, *attri
     day = "date_key" if "date_key" in sales.columns else "date"
     product = "product_key" if "product_key" in sales.columns else "product_id"
     daily = sales.groupBy(product, day).agg(
-        F.sum("qty").alias("total_qty"), F.sum(money("revenue")).alias("total_revenue")
+        F.sum("qty").alias("total_qty"), F.sum(to_units("revenue")).alias("revenue_units")
     )
     daily = with_product(daily, products, "product_id", *attributes)
     daily = with_date(daily, dims.date, *(("date",) if day == "date_key" else ()))
     return daily.groupBy("product_id", "date", *attributes).agg(
-        F.sum("total_qty").alias("total_qty"), F.sum("total_revenue").alias("total_revenue")
+        F.sum("total_qty").alias("total_qty"), F.sum("revenue_units").alias("revenue_units")
     )

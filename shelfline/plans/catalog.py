@@ -21,24 +21,24 @@ def _sales_mart(s: SampleSources) -> DataFrame:
         s.typed("sellout"),
         s.typed("pos_sales"),
         s.typed("ecommerce_orders"),
-        s.natural_dimensions(),
+        s.natural_dimensions("product", "distributor", "store"),
     )
 
 
 def _promotion_mart(s: SampleSources) -> DataFrame:
-    return promotion.promotion_mart(s.typed("pos_sales"), s.natural_dimensions())
+    return promotion.promotion_mart(s.typed("pos_sales"), s.natural_dimensions("product", "promotion"))
 
 
 def _innovation_daily(s: SampleSources) -> DataFrame:
-    return innovation.innovation_daily(s.typed("pos_sales"), s.typed("sellout"), s.natural_dimensions())
+    return innovation.innovation_daily(s.typed("pos_sales"), s.typed("sellout"), s.natural_dimensions("product"))
 
 
 def _innovation_mart(s: SampleSources) -> DataFrame:
-    return innovation.innovation_mart(s.typed("pos_sales"), s.typed("sellout"), s.natural_dimensions())
+    return innovation.innovation_mart(s.typed("pos_sales"), s.typed("sellout"), s.natural_dimensions("product"))
 
 
 def _promotion_effectiveness(s: SampleSources) -> DataFrame:
-    return views.v_promotion_effectiveness(_promotion_mart(s), s.natural_dimensions().product)
+    return views.v_promotion_effectiveness(_promotion_mart(s), s.natural_dimensions("product").product)
 
 
 def _row_count_audit(s: SampleSources) -> DataFrame:
@@ -93,7 +93,7 @@ _QUERIES: dict[str, Callable[[SampleSources], DataFrame]] = {
     # Marts
     "sales_mart": _sales_mart,
     "promo_calendar": lambda s: promotion.promo_calendar(
-        s.natural_dimensions().promotion, s.natural_dimensions().date
+        s.natural_dimensions("promotion").promotion, s.natural_dimensions().date
     ),
     "promotion_mart": _promotion_mart,
     "innovation_daily": _innovation_daily,
@@ -110,7 +110,7 @@ _QUERIES: dict[str, Callable[[SampleSources], DataFrame]] = {
     "card_sales_by_region": lambda s: cards.card_sales_by_region(_sales_mart(s)),
     "card_top_brands": lambda s: cards.card_top_brands(_sales_mart(s)),
     "card_ecommerce_by_platform": lambda s: cards.card_ecommerce_by_platform(
-        s.typed("ecommerce_orders"), s.natural_dimensions()
+        s.typed("ecommerce_orders"), s.natural_dimensions("product")
     ),
     "card_promo_uplift_by_type": lambda s: cards.card_promo_uplift_by_type(_promotion_mart(s)),
     "card_promo_vs_nonpromo": lambda s: cards.card_promo_vs_nonpromo(_promotion_mart(s)),

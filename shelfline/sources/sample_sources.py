@@ -1,16 +1,13 @@
 """The thirteen source tables, derived from the sample tables (region, nation, customer, part, orders, ...).
 
 ``typed`` gives a source as it is after cleaning. ``dirty`` gives it as raw text: all columns are strings with
-noisy names, and a fixed share of the rows (chosen by a number computed from the row's own key) is NULL, junk,
-negative, fractional or repeated.
+noisy names, and a fixed share of the rows (chosen by ``_k``, a number computed from the row's own key) is NULL,
+junk, negative, fractional or repeated.
 """
 
-from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dims import (
     CalendarBounds,
@@ -28,36 +25,47 @@ from ..operators.dims import (
 
 SAMPLE_BOUNDS = CalendarBounds(date(1995, 1, 1), date(2001, 12, 31))
 
-_GENERAL_TRADE = ("FURNITURE", "HOUSEHOLD")
-_MODERN_TRADE = ("AUTOMOBILE", "BUILDING")
-_ONLINE = ("MACHINERY",)
-_FIRST_PROMOTION_DAY = date(1995, 1, 1)
-_FIRST_LAUNCH_DAY = date(1995, 7, 1)
-
-
-def _id(prefix: str, number: Column | str) -> Column:
-    return F.concat(F.lit(prefix), (F.col(number) if isinstance(number, str) else number).cast("string"))
+# Columns used of the sample tables. With the schema given, reading one needs no look into its files.
+_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+}
 
+# Customer segments by the channel that they stand for.
+_GENERAL_TRADE = "('FURNITURE', 'HOUSEHOLD')"
+_MODERN_TRADE = "('AUTOMOBILE', 'BUILDING')"
+_ONLINE = "('MACHINERY')"
 
-def _price() -> Column:
-    return F.col("l_extendedprice").cast("decimal(18,2)")
+# Price and discount in hundredths, rounded as DECIMAL(18,2) rounds.
+_PRICE = "floor(l_extendedprice * 100 + 0.5D)"
+_OFF = "floor(l_discount * 100 + 0.5D)"
+_LINE = "l_orderkey * 7 + l_linenumber AS _k"
 
 
-@dataclass(frozen=True)
 class SampleSources:
-    """Source tables read from the sample tables in ``folder``. ``_k`` is the number that decides on defects."""
+    """Source tables read from the sample tables in ``folder``."""
 
-    spark: SparkSession
-    folder: str
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def typed(self, source: str) -> DataFrame:
         return getattr(self, f"_{source}")().drop("_k")
 
     def dirty(self, source: str) -> DataFrame:
-        return _soiled(getattr(self, f"_{source}")(), source)
+        return _soiled(getattr(self, f"_{source}")(), _DEFECTS[source])
 
     def dimensions(self, *names: str) -> Dimensions:
         """The calendar and the named dimensions, with surrogate keys."""
@@ -67,149 +75,140 @@ class SampleSources:
             "store": lambda: dim_store(self.typed("store_master"), self.typed("retailer_master")),
             "promotion": lambda: dim_promotion(self.typed("promotions")),
         }
-        return Dimensions(date=dim_date(self.spark, SAMPLE_BOUNDS), **{name: builders[name]() for name in names})
+        return self._dimensions(builders, names)
 
-    def natural_dimensions(self) -> Dimensions:
-        """All dimensions without surrogate keys."""
-        return Dimensions(
-            date=dim_date(self.spark, SAMPLE_BOUNDS),
-            product=product_rows(self.typed("product_master")),
-            distributor=distributor_rows(self.typed("distributor_master")),
-            store=store_rows(self.typed("store_master"), self.typed("retailer_master")),
-            promotion=promotion_rows(self.typed("promotions")),
-        )
+    def natural_dimensions(self, *names: str) -> Dimensions:
+        """The calendar and the named dimensions, without surrogate keys."""
+        builders = {
+            "product": lambda: product_rows(self.typed("product_master")),
+            "distributor": lambda: distributor_rows(self.typed("distributor_master")),
+            "store": lambda: store_rows(self.typed("store_master"), self.typed("retailer_master")),
+            "promotion": lambda: promotion_rows(self.typed("promotions")),
+        }
+        return self._dimensions(builders, names)
+
+    def _dimensions(self, builders, names) -> Dimensions:
+        return Dimensions(date=dim_date(self.spark, SAMPLE_BOUNDS), **{name: builders[name]() for name in names})
 
     # Master data
 
-    def _places(self) -> DataFrame:
-        nation, region = self.table("nation"), self.table("region")
-        return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
-            "n_nationkey", F.col("r_name").alias("region"), F.col("n_name").alias("province")
-        )
+    def _with_place(self, table: str, nation_key: str) -> DataFrame:
+        nation = self.table("nation").withColumnRenamed("n_nationkey", nation_key)
+        region = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
+        return self.table(table).join(nation.join(region, "n_regionkey"), nation_key)
 
     def _product_master(self) -> DataFrame:
-        number = F.col("p_partkey")
-        return self.table("part").select(
-            _id("PRD", number).alias("product_id"),
-            _id("SKU", number).alias("sku_code"),
-            F.concat_ws(" ", "p_name", number.cast("string")).alias("sku_name"),
-            F.col("p_brand").alias("brand"),
-            F.col("p_type").alias("category"),
-            F.split_part("p_name", F.lit(" "), F.lit(2)).alias("sub_category"),
-            F.concat(F.col("p_size").cast("string"), F.lit("ml")).alias("pack_size"),
-            F.date_add(F.lit(_FIRST_LAUNCH_DAY), (number % 900).cast("int")).alias("launch_date"),
-            F.when(number % 7 == 0, 1).otherwise(0).alias("innovation_flag"),
-            number.alias("_k"),
+        return self.table("part").selectExpr(
+            "concat('PRD', p_partkey) AS product_id",
+            "concat('SKU', p_partkey) AS sku_code",
+            "concat(p_name, ' ', p_partkey) AS sku_name",
+            "p_brand AS brand",
+            "p_type AS category",
+            "split_part(p_name, ' ', 2) AS sub_category",
+            "concat(p_size, 'ml') AS pack_size",
+            "date_add(DATE '1995-07-01', CAST(p_partkey % 900 AS INT)) AS launch_date",
+            "CASE WHEN p_partkey % 7 = 0 THEN 1 ELSE 0 END AS innovation_flag",
+            "p_partkey AS _k",
         )
 
     def _distributor_master(self) -> DataFrame:
-        supplier, places = self.table("supplier"), self._places()
-        return supplier.join(places, supplier["s_nationkey"] == places["n_nationkey"]).select(
-            _id("DIST", "s_suppkey").alias("distributor_id"),
-            F.col("s_name").alias("name"),
-            "region",
-            "province",
-            F.col("s_suppkey").alias("_k"),
-        )
-
-    def _customers(self, segments: tuple[str, ...]) -> DataFrame:
-        customer, places = self.table("customer"), self._places()
-        return customer.filter(F.col("c_mktsegment").isin(*segments)).join(
-            places, customer["c_nationkey"] == places["n_nationkey"]
+        return self._with_place("supplier", "s_nationkey").selectExpr(
+            "concat('DIST', s_suppkey) AS distributor_id",
+            "s_name AS name",
+            "r_name AS region",
+            "n_name AS province",
+            "s_suppkey AS _k",
         )
 
     def _retailer_master(self) -> DataFrame:
-        return self._customers(_GENERAL_TRADE).select(
-            _id("RET", "c_custkey").alias("retailer_id"),
-            F.col("c_name").alias("name"),
-            _id("DIST", F.col("c_custkey") % 10).alias("distributor_id"),
-            F.col("c_mktsegment").alias("store_type"),
-            "region",
-            "province",
-            F.col("c_custkey").alias("_k"),
+        customers = self._with_place("customer", "c_nationkey")
+        return customers.filter(f"c_mktsegment IN {_GENERAL_TRADE}").selectExpr(
+            "concat('RET', c_custkey) AS retailer_id",
+            "c_name AS name",
+            "concat('DIST', c_custkey % 10) AS distributor_id",
+            "c_mktsegment AS store_type",
+            "r_name AS region",
+            "n_name AS province",
+            "c_custkey AS _k",
         )
 
     def _store_master(self) -> DataFrame:
-        return self._customers(_MODERN_TRADE).select(
-            _id("STR", "c_custkey").alias("store_id"),
-            F.col("c_name").alias("store_name"),
-            F.col("c_mktsegment").alias("chain"),
-            "region",
-            "province",
-            F.col("c_custkey").alias("_k"),
+        customers = self._with_place("customer", "c_nationkey")
+        return customers.filter(f"c_mktsegment IN {_MODERN_TRADE}").selectExpr(
+            "concat('STR', c_custkey) AS store_id",
+            "c_name AS store_name",
+            "c_mktsegment AS chain",
+            "r_name AS region",
+            "n_name AS province",
+            "c_custkey AS _k",
         )
 
     def _promotions(self) -> DataFrame:
         """Three per product; those of a product divisible by 5 overlap."""
-        number, i = F.col("p_partkey"), F.col("i")
-        kind = (number + i) % 3
-        step = F.when(number % 5 == 0, 10).otherwise(811)
+        shift = "(p_partkey * 37 + i * CASE WHEN p_partkey % 5 = 0 THEN 10 ELSE 811 END) % 2400"
         return (
             self.table("part")
-            .select("p_partkey", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("i"))
-            .withColumn("start_date", F.date_add(F.lit(_FIRST_PROMOTION_DAY), ((number * 37 + i * step) % 2400).cast("int")))
-            .select(
-                F.concat(F.lit("PROMO"), F.lpad((number * 3 + i).cast("string"), 9, "0")).alias("promotion_id"),
-                _id("PRD", number).alias("product_id"),
+            .selectExpr("p_partkey", "explode(array(0, 1, 2)) AS i")
+            .selectExpr("*", f"date_add(DATE '1995-01-01', CAST({shift} AS INT)) AS start_date")
+            .selectExpr(
+                "concat('PROMO', lpad(p_partkey * 3 + i, 9, '0')) AS promotion_id",
+                "concat('PRD', p_partkey) AS product_id",
                 "start_date",
-                F.date_add("start_date", (30 + number % 61).cast("int")).alias("end_date"),
-                F.when(kind == 0, "discount").when(kind == 1, "bundle").otherwise("display").alias("promotion_type"),
-                (5 + (number * 7 + i) % 26).cast("double").alias("discount_percent"),
-                (number * 3 + i).alias("_k"),
+                "date_add(start_date, CAST(30 + p_partkey % 61 AS INT)) AS end_date",
+                "CASE (p_partkey + i) % 3 WHEN 0 THEN 'discount' WHEN 1 THEN 'bundle' ELSE 'display' END"
+                " AS promotion_type",
+                "CAST(5 + (p_partkey * 7 + i) % 26 AS DOUBLE) AS discount_percent",
+                "p_partkey * 3 + i AS _k",
             )
         )
 
     def _innovation_master(self) -> DataFrame:
-        return self._product_master().filter(F.col("innovation_flag") == 1).select(
-            _id("INN", "_k").alias("innovation_id"),
+        return self._product_master().filter("innovation_flag = 1").selectExpr(
+            "concat('INN', _k) AS innovation_id",
             "product_id",
             "launch_date",
-            F.concat_ws("_", F.lit("Campaign"), "brand", "sub_category").alias("campaign_name"),
+            "concat('Campaign_', brand, '_', sub_category) AS campaign_name",
             "_k",
         )
 
     # Sales
 
-    def _lines(self) -> DataFrame:
-        return self.table("lineitem").select(
-            "l_orderkey",
-            F.col("l_shipdate").cast("date").alias("date"),
-            _id("PRD", "l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("qty"),
-            _price().cast("double").alias("revenue"),
-            (F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("_k"),
-        )
-
-    def _bought_by(self, segments: tuple[str, ...]) -> DataFrame:
+    def _bought_by(self, segments: str) -> DataFrame:
         """Order lines of some customer segments.
 
-        Orders are narrowed to the segment first. The lines then are shuffled by the same key with the same
-        columns whatever the segments, so a plan with several channels shuffles them once.
+        Orders are narrowed to the segments first. The lines are then shuffled by the same key and with the
+        same columns whatever the segments, so a plan with several channels shuffles them once.
         """
-        orders, customer = self.table("orders"), self.table("customer")
-        bought = orders.join(
-            customer.filter(F.col("c_mktsegment").isin(*segments)), orders["o_custkey"] == customer["c_custkey"]
-        ).select(F.col("o_orderkey").alias("l_orderkey"), "c_custkey", "o_orderpriority")
-        return self._lines().join(bought, "l_orderkey")
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey AS o_orderkey",
+            "CAST(l_shipdate AS DATE) AS date",
+            "concat('PRD', l_partkey) AS product_id",
+            "CAST(l_quantity AS INT) AS qty",
+            f"{_PRICE} / 100 AS revenue",
+            _LINE,
+        )
+        customers = self.table("customer").filter(f"c_mktsegment IN {segments}")
+        orders = self.table("orders").withColumnRenamed("o_custkey", "c_custkey")
+        bought = orders.join(customers, "c_custkey").select("o_orderkey", "c_custkey", "o_orderpriority")
+        return lines.join(bought, "o_orderkey")
 
     def _sellin(self) -> DataFrame:
-        off = F.col("l_discount").cast("decimal(4,2)")
-        return self.table("lineitem").select(
-            F.col("l_shipdate").cast("date").alias("date"),
-            _id("DIST", "l_suppkey").alias("distributor_id"),
-            _id("PRD", "l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("qty"),
-            _price().cast("double").alias("gross_sales"),
-            (_price() * off).cast("double").alias("discount"),
-            (_price() * (1 - off)).cast("double").alias("net_sales"),
-            (F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("_k"),
+        return self.table("lineitem").selectExpr(
+            "CAST(l_shipdate AS DATE) AS date",
+            "concat('DIST', l_suppkey) AS distributor_id",
+            "concat('PRD', l_partkey) AS product_id",
+            "CAST(l_quantity AS INT) AS qty",
+            f"{_PRICE} / 100 AS gross_sales",
+            f"{_PRICE} * {_OFF} / 10000 AS discount",
+            f"{_PRICE} * (100 - {_OFF}) / 10000 AS net_sales",
+            _LINE,
         )
 
     def _sellout(self) -> DataFrame:
-        return self._bought_by(_GENERAL_TRADE).select(
+        return self._bought_by(_GENERAL_TRADE).selectExpr(
             "date",
-            _id("RET", "c_custkey").alias("retailer_id"),
-            _id("DIST", F.col("c_custkey") % 10).alias("distributor_id"),
+            "concat('RET', c_custkey) AS retailer_id",
+            "concat('DIST', c_custkey % 10) AS distributor_id",
             "product_id",
             "qty",
             "revenue",
@@ -217,129 +216,99 @@ class SampleSources:
         )
 
     def _pos_sales(self) -> DataFrame:
-        return self._bought_by(_MODERN_TRADE).select(
-            "date", _id("STR", "c_custkey").alias("store_id"), "product_id", "qty", "revenue", "_k"
+        return self._bought_by(_MODERN_TRADE).selectExpr(
+            "date", "concat('STR', c_custkey) AS store_id", "product_id", "qty", "revenue", "_k"
         )
 
     def _ecommerce_orders(self) -> DataFrame:
-        return self._bought_by(_ONLINE).select(
-            "date", F.col("o_orderpriority").alias("platform"), "product_id", "qty", "revenue", "_k"
+        return self._bought_by(_ONLINE).selectExpr(
+            "date", "o_orderpriority AS platform", "product_id", "qty", "revenue", "_k"
         )
 
     def _inventory(self) -> DataFrame:
-        day, number = F.col("date"), F.col("l_partkey")
-        return (
-            self.table("lineitem")
-            .select(F.trunc(F.col("l_shipdate").cast("date"), "week").alias("date"), "l_partkey")
-            .distinct()
-            .select(
-                "date",
-                _id("PRD", number).alias("product_id"),
-                ((number * 13 + F.dayofmonth(day)) % 1000).cast("int").alias("stock_on_hand"),
-                (number * 31 + F.datediff(day, F.lit(_FIRST_PROMOTION_DAY))).alias("_k"),
-            )
+        weeks = self.table("lineitem").selectExpr("trunc(CAST(l_shipdate AS DATE), 'week') AS date", "l_partkey")
+        return weeks.distinct().selectExpr(
+            "date",
+            "concat('PRD', l_partkey) AS product_id",
+            "CAST((l_partkey * 13 + day(date)) % 1000 AS INT) AS stock_on_hand",
+            "l_partkey * 31 + datediff(date, DATE '1995-01-01') AS _k",
         )
 
     # Other sources
 
     def _store_visits(self) -> DataFrame:
-        return self.table("events").select(
-            F.col("ts").cast("date").alias("date"),
-            _id("RET", "user_id").alias("retailer_id"),
-            _id("REP", F.col("user_id") % 50).alias("sales_rep_id"),
-            F.col("event_type").alias("visit_type"),
-            F.col("event_id").alias("_k"),
+        return self.table("events").selectExpr(
+            "CAST(ts AS DATE) AS date",
+            "concat('RET', user_id) AS retailer_id",
+            "concat('REP', user_id % 50) AS sales_rep_id",
+            "event_type AS visit_type",
+            "event_id AS _k",
         )
 
     def _market_share(self) -> DataFrame:
-        """Share of each brand in the year's sales, both rounded to whole units."""
-        lineitem, orders, part = self.table("lineitem"), self.table("orders"), self.table("part")
-        sold = (
-            lineitem.join(orders, lineitem["l_orderkey"] == orders["o_orderkey"])
-            .join(part, lineitem["l_partkey"] == part["p_partkey"])
-            .groupBy(F.year("o_orderdate").alias("year"), F.col("p_brand").alias("brand"))
-            .agg(F.round(F.sum(_price()), 0).alias("sold"))
+        """Share of each brand in the year's sales, both rounded to whole units.
+
+        Lines are summed per year and product before they meet the products; the window has one row per brand.
+        """
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey AS o_orderkey", "l_partkey AS p_partkey", f"{_PRICE} AS price"
         )
-        total = F.sum("sold").over(W.partitionBy("year"))
-        number = F.split_part("brand", F.lit("#"), F.lit(2)).cast("int")
-        return sold.select(
-            "year",
-            "brand",
-            (F.col("sold").cast("double") / total.cast("double")).alias("market_share"),
-            (F.col("year") * 25 + number).alias("_k"),
+        orders = self.table("orders").selectExpr("o_orderkey", "year(o_orderdate) AS year")
+        brands = self.table("part").selectExpr("p_partkey", "p_brand AS brand")
+        return (
+            lines.join(orders, "o_orderkey")
+            .groupBy("year", "p_partkey")
+            .agg({"price": "sum"})
+            .join(brands, "p_partkey")
+            .groupBy("year", "brand")
+            .agg({"sum(price)": "sum"})
+            .selectExpr("year", "brand", "floor(`sum(sum(price))` / 100 + 0.5D) AS sold")
+            .selectExpr(
+                "year",
+                "brand",
+                "sold / sum(sold) OVER (PARTITION BY year) AS market_share",
+                "year * 25 + CAST(split_part(brand, '#', 2) AS INT) AS _k",
+            )
         )
 
 
-# Defects of the raw text, by column. Each gives the text of the column in place of ``text``.
-
-
-def _every(n: int) -> Column:
-    return F.col("_k") % n == 0
-
-
-def _bad_date(text: Column) -> Column:
-    return F.when(_every(89), "bad-date").when(_every(71), None).otherwise(text)
-
-
-def _missing(text: Column) -> Column:
-    return F.when(_every(97), None).otherwise(text)
-
-
-def _bad_quantity(text: Column) -> Column:
-    return (
-        F.when(_every(83), "abc")
-        .when(_every(79), F.concat(F.lit("-"), text))
-        .when(_every(73), F.concat(text, F.lit(".7")))
-        .otherwise(text)
-    )
-
-
-def _junk_number(text: Column) -> Column:
-    return F.when(_every(83), "abc").otherwise(text)
-
-
-def _bad_end(text: Column) -> Column:
-    return F.when(_every(61), "bad-date").when(_every(59), "1990-01-01").otherwise(text)
-
-
-def _bad_year(text: Column) -> Column:
-    return F.when(_every(13), "n/a").otherwise(text)
-
-
-def _missing_brand(text: Column) -> Column:
-    return F.when(_every(17), None).otherwise(text)
-
+# Defects of the raw text: what stands in place of the text of a column.
+_BAD_DATE = "CASE WHEN _k % 89 = 0 THEN 'bad-date' WHEN _k % 71 = 0 THEN NULL ELSE {text} END"
+_MISSING = "CASE WHEN _k % 97 = 0 THEN NULL ELSE {text} END"
+_BAD_QUANTITY = (
+    "CASE WHEN _k % 83 = 0 THEN 'abc' WHEN _k % 79 = 0 THEN concat('-', {text})"
+    " WHEN _k % 73 = 0 THEN concat({text}, '.7') ELSE {text} END"
+)
+_JUNK_NUMBER = "CASE WHEN _k % 83 = 0 THEN 'abc' ELSE {text} END"
+_BAD_END = "CASE WHEN _k % 61 = 0 THEN 'bad-date' WHEN _k % 59 = 0 THEN '1990-01-01' ELSE {text} END"
+_BAD_YEAR = "CASE WHEN _k % 13 = 0 THEN 'n/a' ELSE {text} END"
+_MISSING_BRAND = "CASE WHEN _k % 17 = 0 THEN NULL ELSE {text} END"
 
 _DEFECTS = {
-    "product_master": {"launch_date": _bad_date, "sku_code": _missing, "innovation_flag": _bad_quantity},
-    "distributor_master": {"distributor_id": _missing},
-    "sellin": {"date": _bad_date, "distributor_id": _missing, "qty": _bad_quantity},
-    "retailer_master": {"distributor_id": _missing},
-    "sellout": {"date": _bad_date, "retailer_id": _missing, "qty": _bad_quantity},
-    "store_master": {"store_id": _missing},
-    "pos_sales": {"date": _bad_date, "store_id": _missing, "qty": _bad_quantity},
-    "inventory": {"date": _bad_date, "product_id": _missing, "stock_on_hand": _bad_quantity},
+    "product_master": {"launch_date": _BAD_DATE, "sku_code": _MISSING, "innovation_flag": _BAD_QUANTITY},
+    "distributor_master": {"distributor_id": _MISSING},
+    "sellin": {"date": _BAD_DATE, "distributor_id": _MISSING, "qty": _BAD_QUANTITY},
+    "retailer_master": {"distributor_id": _MISSING},
+    "sellout": {"date": _BAD_DATE, "retailer_id": _MISSING, "qty": _BAD_QUANTITY},
+    "store_master": {"store_id": _MISSING},
+    "pos_sales": {"date": _BAD_DATE, "store_id": _MISSING, "qty": _BAD_QUANTITY},
+    "inventory": {"date": _BAD_DATE, "product_id": _MISSING, "stock_on_hand": _BAD_QUANTITY},
     "promotions": {
-        "start_date": _bad_date,
-        "end_date": _bad_end,
-        "product_id": _missing,
-        "discount_percent": _junk_number,
+        "start_date": _BAD_DATE,
+        "end_date": _BAD_END,
+        "product_id": _MISSING,
+        "discount_percent": _JUNK_NUMBER,
     },
-    "innovation_master": {"launch_date": _bad_date, "product_id": _missing},
-    "store_visits": {"date": _bad_date, "retailer_id": _missing},
-    "ecommerce_orders": {"date": _bad_date, "platform": _missing, "qty": _bad_quantity},
-    "market_share": {"year": _bad_year, "brand": _missing_brand, "market_share": _junk_number},
+    "innovation_master": {"launch_date": _BAD_DATE, "product_id": _MISSING},
+    "store_visits": {"date": _BAD_DATE, "retailer_id": _MISSING},
+    "ecommerce_orders": {"date": _BAD_DATE, "platform": _MISSING, "qty": _BAD_QUANTITY},
+    "market_share": {"year": _BAD_YEAR, "brand": _MISSING_BRAND, "market_share": _JUNK_NUMBER},
 }
 
 
-def _soiled(rows: DataFrame, source: str) -> DataFrame:
-    defects = _DEFECTS[source]
+def _soiled(rows: DataFrame, defects: dict[str, str]) -> DataFrame:
     names = [name for name in rows.columns if name != "_k"]
-    copies = F.when(_every(50), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-
-    def text(name: str) -> Column:
-        plain = F.col(name).cast("string")
-        return defects[name](plain) if name in defects else plain
-
-    soiled = rows.select(*(text(name).alias(name) for name in names), F.explode(copies).alias("_copy"))
+    texts = [defects.get(name, "{text}").format(text=f"CAST({name} AS STRING)") for name in names]
+    copies = "explode(CASE WHEN _k % 50 = 0 THEN array(1, 2) ELSE array(1) END) AS _copy"
+    soiled = rows.selectExpr(*(f"{text} AS {name}" for name, text in zip(names, texts)), copies)
     return soiled.drop("_copy").toDF(*(f" {name.replace('_', ' ').title()} " for name in names))
