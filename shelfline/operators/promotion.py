@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import from_units, portable_round
+from ..sources.staging import stage
 from .dims import Dimensions
 from .sales import daily_totals
+from .star import with_date
 
 _PROMOTION = ("promotion_id", "promotion_type", "discount_percent")
 
@@ -39,23 +41,26 @@ def promo_calendar(promotions: DataFrame, dim_date: DataFrame) -> DataFrame:
     return _clipped(promotions, dim_date).select("product_id", *_PROMOTION, F.explode(days).alias("date"))
 
 
-def _active_promotions(daily: DataFrame, dims: Dimensions) -> DataFrame:
-    """(product_id, date, _promotion) for the days with sales on which the promotion is active.
+def _promoted_days(daily: DataFrame, dims: Dimensions) -> DataFrame:
+    """The rows of ``daily`` once per promotion active on the day, with the promotion as a struct.
 
     The range join is an equi join on product and month: a promotion is repeated for each month it touches,
     and only the days of that month are compared with it. That shuffles a few rows per promotion instead of
     one per active day, and never compares all days of a product with all its promotions.
     """
-    month = F.trunc("date", "month").alias("_month")
-    days = daily.select("product_id", "date", month).distinct()
     months = F.sequence(F.trunc("_first", "month"), F.trunc("_last", "month"), F.expr("INTERVAL 1 MONTH"))
-    by_month = _clipped(dims.promotion, dims.date).select(
-        "product_id", *_PROMOTION, "start_date", "end_date", F.explode(months).alias("_month")
+    by_month = (
+        _clipped(dims.promotion, dims.date)
+        .select("product_id", *_PROMOTION, "start_date", "end_date", F.explode(months).alias("_month"))
+        .withColumns({"year": F.year("_month"), "month": F.month("_month")})
     )
+    # Year and month come from the calendar. Computed from the date, they would add a filter below the daily
+    # sums, which then differ from the sums of the other branch and would not be shared with it.
+    days = with_date(daily, dims.date, "year", "month")
     return (
-        by_month.join(days, ["product_id", "_month"])
+        by_month.join(days, ["product_id", "year", "month"])
         .filter(F.col("date").between(F.col("start_date"), F.col("end_date")))
-        .select("product_id", "date", F.struct(*_PROMOTION, "start_date", "end_date").alias("_promotion"))
+        .select(*daily.columns, F.struct(*_PROMOTION, "start_date", "end_date").alias("_promotion"))
     )
 
 
@@ -71,34 +76,42 @@ def promotion_mart(pos_sales: DataFrame, dims: Dimensions) -> DataFrame:
     day, and a row behind those has only rows of its own day in its frame. So the window runs over at most 30
     rows per day, found by a limit per group that is applied before the shuffle as well, and the other rows
     get their baseline directly.
+
+    The rows are needed for both and are written once, so that the sales are read only once.
     """
     frame = fixed.BASELINE_ROWS
     daily = daily_totals(pos_sales, dims, dims.product, "brand", "category")
-    active = _active_promotions(daily, dims)
-
-    place = F.row_number().over(W.partitionBy("product_id", "date").orderBy("_promotion"))
-    first = active.withColumn("_place", place).filter(F.col("_place") <= frame)
-    full = first.filter(F.col("_place") == frame).select(
-        "product_id", "date", F.col("_promotion").alias("_last")
+    promoted = _promoted_days(daily, dims)
+    unpromoted = daily.withColumn("_promotion", F.lit(None).cast(promoted.schema["_promotion"].dataType))
+    rows = stage(unpromoted.unionByName(promoted), "promotion_mart")
+
+    # The row without promotion comes last in its day and only counts when it is the only one.
+    in_day = W.partitionBy("product_id", "date", "brand", "category").orderBy(F.col("_promotion").asc_nulls_last())
+    placed = rows.withColumn("_place", F.row_number().over(in_day))
+    first = placed.filter(
+        (F.col("_place") <= frame) & (F.col("_promotion").isNotNull() | (F.col("_place") == 1))
     )
-    further = active.join(full, ["product_id", "date"]).filter(F.col("_promotion") > F.col("_last")).drop("_last")
-
     before = (
-        W.partitionBy("product_id")
-        .orderBy("date", "brand", "category", F.col("_place").asc_nulls_first())
-        .rowsBetween(-frame, -1)
+        W.partitionBy("product_id").orderBy("date", "brand", "category", "_place").rowsBetween(-frame, -1)
     )
     baseline = F.try_divide(
         from_units(F.sum("revenue_units").over(before)), F.count("revenue_units").over(before)
     )
-    framed = daily.join(first, ["product_id", "date"], "left").withColumn("_baseline", baseline).drop("_place")
+
+    full_days = first.filter(F.col("_place") == frame).select(
+        "product_id", "date", F.col("_promotion").alias("_last_placed")
+    )
+    behind = rows.join(full_days.distinct(), ["product_id", "date"]).filter(
+        F.col("_promotion") > F.col("_last_placed")
+    )
     own_day = from_units(F.col("revenue_units") * frame) / frame
-    behind = daily.join(further, ["product_id", "date"]).withColumn("_baseline", own_day)
 
     on_promotion = F.col("_promotion").isNotNull()
     revenue = from_units("revenue_units")
     gain = portable_round((revenue - F.col("_baseline")) / F.col("_baseline") * 100)
-    return framed.unionByName(behind).select(
+    with_baseline = first.withColumn("_baseline", baseline).drop("_place")
+    with_baseline = with_baseline.unionByName(behind.withColumn("_baseline", own_day).drop("_last_placed"))
+    return with_baseline.select(
         "date",
         "product_id",
         "brand",

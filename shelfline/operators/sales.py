@@ -11,15 +11,20 @@ from .dims import Dimensions
 from .star import with_date, with_distributor, with_product, with_store
 
 
+def _described(sales: DataFrame, dims: Dimensions) -> DataFrame:
+    """``sales`` with the columns of the calendar and the product that the mart shows."""
+    # Clean rows have their date already, fact rows get it from the calendar.
+    day = ("date",) if "date_key" in sales.columns else ()
+    rows = with_date(sales, dims.date, *day, "year", "quarter", "month", "season")
+    return with_product(rows, dims.product, "brand", "category", "sub_category", "sku_name", "pack_size")
+
+
 def _channel(
-    sales: DataFrame, dims: Dimensions, name: str, place: tuple[Column, Column, Column], amounts: tuple[Column, ...]
+    rows: DataFrame, name: str, place: tuple[Column, Column, Column], amounts: tuple[Column, Column, Column]
 ) -> DataFrame:
+    """The columns of the mart, with (region, province, store type) and (revenue, gross, discount) given."""
     region, province, store_type = place
     revenue, gross, discount = amounts
-    # The fact's own date (clean rows) makes way for the calendar's, which fact tables need anyway.
-    day = ("date",) if "date_key" in sales.columns else ()
-    rows = with_date(sales, dims.date, *day, "year", "quarter", "month", "season")
-    rows = with_product(rows, dims.product, "brand", "category", "sub_category", "sku_name", "pack_size")
     return rows.select(
         "date",
         "year",
@@ -49,31 +54,22 @@ def sales_mart(
     nothing = F.lit(None).cast("string")
     at_store = (F.col("region"), F.col("province"), F.col("store_type"))
     undiscounted = (F.col("revenue"), F.col("revenue"), F.lit(0.0))
+
+    def at_stores(sales: DataFrame, name: str) -> DataFrame:
+        rows = with_store(_described(sales, dims), dims.store, "region", "province", "store_type")
+        return _channel(rows, name, at_store, undiscounted)
+
     channels = [
         _channel(
-            with_distributor(sellin, dims.distributor, "region", "province"),
-            dims,
+            with_distributor(_described(sellin, dims), dims.distributor, "region", "province"),
             fixed.SELL_IN,
             (F.col("region"), F.col("province"), nothing),
             (F.col("net_sales"), F.col("gross_sales"), F.col("discount")),
         ),
+        at_stores(sellout, fixed.SELL_OUT_GT),
+        at_stores(pos_sales, fixed.POS_MT),
         _channel(
-            with_store(sellout, dims.store, "region", "province", "store_type"),
-            dims,
-            fixed.SELL_OUT_GT,
-            at_store,
-            undiscounted,
-        ),
-        _channel(
-            with_store(pos_sales, dims.store, "region", "province", "store_type"),
-            dims,
-            fixed.POS_MT,
-            at_store,
-            undiscounted,
-        ),
-        _channel(
-            ecommerce,
-            dims,
+            _described(ecommerce, dims),
             fixed.ECOMMERCE,
             (nothing, nothing, F.lit(fixed.STORE_TYPE_ONLINE)),
             undiscounted,

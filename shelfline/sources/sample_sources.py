@@ -8,6 +8,7 @@ junk, negative, fractional or repeated.
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.dims import (
     CalendarBounds,
@@ -93,9 +94,18 @@ class SampleSources:
     # Master data
 
     def _with_place(self, table: str, nation_key: str) -> DataFrame:
-        nation = self.table("nation").withColumnRenamed("n_nationkey", nation_key)
+        """Rows of ``table`` with region and province of their nation.
+
+        The 25 nations, a fixed number, are looked up in a map. After a join Spark would take the result to be
+        far larger than ``table``, and broadcast the sales instead of this side.
+        """
         region = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
-        return self.table(table).join(nation.join(region, "n_regionkey"), nation_key)
+        nations = self.table("nation").join(region, "n_regionkey")
+        places = nations.selectExpr(
+            "map_from_entries(collect_list(struct(n_nationkey, struct(r_name AS region, n_name AS province))))"
+        ).scalar()
+        placed = self.table(table).withColumn("_place", F.try_element_at(places, F.col(nation_key)))
+        return placed.filter("_place IS NOT NULL").select("*", "_place.*")
 
     def _product_master(self) -> DataFrame:
         return self.table("part").selectExpr(
@@ -115,8 +125,8 @@ class SampleSources:
         return self._with_place("supplier", "s_nationkey").selectExpr(
             "concat('DIST', s_suppkey) AS distributor_id",
             "s_name AS name",
-            "r_name AS region",
-            "n_name AS province",
+            "region",
+            "province",
             "s_suppkey AS _k",
         )
 
@@ -127,8 +137,8 @@ class SampleSources:
             "c_name AS name",
             "concat('DIST', c_custkey % 10) AS distributor_id",
             "c_mktsegment AS store_type",
-            "r_name AS region",
-            "n_name AS province",
+            "region",
+            "province",
             "c_custkey AS _k",
         )
 
@@ -138,8 +148,8 @@ class SampleSources:
             "concat('STR', c_custkey) AS store_id",
             "c_name AS store_name",
             "c_mktsegment AS chain",
-            "r_name AS region",
-            "n_name AS province",
+            "region",
+            "province",
             "c_custkey AS _k",
         )
 
@@ -189,8 +199,8 @@ class SampleSources:
         )
         customers = self.table("customer").filter(f"c_mktsegment IN {segments}")
         orders = self.table("orders").withColumnRenamed("o_custkey", "c_custkey")
-        bought = orders.join(customers, "c_custkey").select("o_orderkey", "c_custkey", "o_orderpriority")
-        return lines.join(bought, "o_orderkey")
+        bought = orders.join(customers, "c_custkey", "left_semi")
+        return lines.join(bought.select("o_orderkey", "c_custkey", "o_orderpriority"), "o_orderkey")
 
     def _sellin(self) -> DataFrame:
         return self.table("lineitem").selectExpr(
