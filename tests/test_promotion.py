@@ -1,0 +1,153 @@
+import random
+from datetime import date, timedelta
+
+import pytest
+
+from shelfline.operators import cards, facts, promotion, views
+from shelfline.operators.dims import Dimensions, dim_product, dim_promotion, dim_store
+from shelfline.plans.catalog import QUERIES
+from shelfline.sources.sample_sources import SampleSources
+
+from .conftest import SAMPLE, rows_of
+from .fixtures import BOUNDS, DAY, natural, pos_sales, products, promotions
+
+FIRST = date(2023, 1, 1)
+
+
+def mart(spark, sales, promos, ids=("P",)):
+    product = products(spark, *((p, "BrandA", date(2022, 1, 1), 0) for p in ids))
+    dims = natural(spark, product, promotion=promotions(spark, *promos))
+    return promotion.promotion_mart(pos_sales(spark, *sales), dims)
+
+
+def brute_force(sales, promos):
+    """The mart by its definition, product by product and row by row."""
+    daily = {}
+    for day, _, product, qty, revenue in sales:
+        if BOUNDS.start <= day <= BOUNDS.end:
+            total = daily.setdefault(product, {}).setdefault(day, [0, 0])
+            total[0] += qty
+            total[1] += round(revenue * 100)
+    out = []
+    for product, days in daily.items():
+        lines = []
+        for day in sorted(days):
+            active = sorted(p for p in promos if p[1] == product and p[2] <= day <= p[3])
+            lines += [(day, p) for p in active] or [(day, None)]
+        for i, (day, p) in enumerate(lines):
+            frame = [days[d][1] for d, _ in lines[max(0, i - 30) : i]]
+            base = sum(frame) / 100 / len(frame) if frame else None
+            revenue = days[day][1] / 100
+            uplift = (revenue - base) / base * 100 if p and base else 0.0
+            out.append((product, day, p[0] if p else "NONE", days[day][0], revenue, base, uplift))
+    return sorted(out, key=repr)
+
+
+def assert_same(got, expected):
+    got = sorted(
+        (
+            (r.product_id, r.date, r.promotion_id, r.qty, r.revenue, r.baseline_revenue_30d, r.uplift_pct)
+            for r in got.collect()
+        ),
+        key=repr,
+    )
+    assert [r[:5] for r in got] == [r[:5] for r in expected]
+    for mine, theirs in zip(got, expected):
+        assert mine[5] == pytest.approx(theirs[5]) and mine[6] == pytest.approx(theirs[6], abs=0.0051)
+
+
+def test_first_day_has_no_baseline(spark):
+    row = mart(spark, [(FIRST, "S", "P", 1, 10.0)], [("A", "P", FIRST, FIRST, "bundle", 5.0)]).first()
+    assert (row.on_promotion, row.baseline_revenue_30d, row.uplift_pct) == (1, None, 0.0)
+
+
+def test_zero_baseline(spark):
+    sales = [(FIRST + i * DAY, "S", "P", 1, 0.0) for i in range(30)] + [(FIRST + 30 * DAY, "S", "P", 1, 5.0)]
+    last = FIRST + 30 * DAY
+    rows = mart(spark, sales, [("A", "P", last, last, "bundle", 5.0)]).filter("on_promotion = 1").collect()
+    assert [(r.baseline_revenue_30d, r.uplift_pct) for r in rows] == [(0.0, 0.0)]
+
+
+def test_overlapping_promotions_repeat_the_day(spark):
+    promos = [("B", "P", FIRST, FIRST + DAY, "bundle", 5.0), ("A", "P", FIRST + DAY, FIRST + 9 * DAY, "display", 7.0)]
+    sales = [(FIRST, "S", "P", 1, 10.0), (FIRST + DAY, "S", "P", 2, 20.0)]
+    rows = mart(spark, sales, promos).orderBy("date", "promotion_id").collect()
+    assert [(r.promotion_id, r.revenue, r.baseline_revenue_30d) for r in rows] == [
+        ("B", 10.0, None),
+        ("A", 20.0, 10.0),
+        ("B", 20.0, 15.0),
+    ]
+    assert [r.uplift_pct for r in rows] == [0.0, 100.0, 33.33]
+
+
+def test_frame_has_thirty_rows(spark):
+    sales = [(FIRST + i * DAY, "S", "P", 1, float(i + 1)) for i in range(32)]
+    rows = mart(spark, sales, []).orderBy("date").collect()
+    assert rows[31].baseline_revenue_30d == sum(range(2, 32)) / 30
+    assert rows[30].baseline_revenue_30d == sum(range(1, 31)) / 30
+    assert {(r.promotion_id, r.promotion_type, r.discount_percent, r.uplift_pct) for r in rows} == {
+        ("NONE", "No Promotion", 0.0, 0.0)
+    }
+
+
+def test_calendar_days_of_promotions(spark):
+    promos = promotions(
+        spark,
+        ("A", "P", date(2022, 12, 30), date(2023, 1, 2), "bundle", 5.0),
+        ("B", "P", date(2023, 12, 31), date(9999, 12, 31), "bundle", 5.0),
+        ("C", "P", date(2023, 5, 2), date(2023, 5, 1), "bundle", 5.0),
+        ("D", "P", date(2024, 1, 1), date(2024, 1, 9), "bundle", 5.0),
+        ("E", "P", None, date(2024, 1, 9), "bundle", 5.0),
+    )
+    days = promotion.promo_calendar(promos, natural(spark).date)
+    assert sorted((r.promotion_id, r.date) for r in days.collect()) == [
+        ("A", date(2023, 1, 1)),
+        ("A", date(2023, 1, 2)),
+        ("B", date(2023, 12, 31)),
+    ]
+
+
+def test_more_overlapping_promotions_than_the_frame_has_rows(spark):
+    # 45 and 30 promotions on one day, 31 on another, single days around them.
+    promos = [(f"A{i:02}", "P", FIRST + 3 * DAY, FIRST + 3 * DAY, "bundle", 5.0) for i in range(45)]
+    promos += [(f"B{i:02}", "P", FIRST + 5 * DAY, FIRST + 6 * DAY, "display", 5.0) for i in range(30)]
+    promos += [("C", "P", FIRST + 6 * DAY, FIRST + 8 * DAY, "discount", 5.0)]
+    sales = [(FIRST + i * DAY, "S", "P", 1, 10.0 + 3 * i * i) for i in range(10)]
+    got = mart(spark, sales, promos)
+    assert_same(got, brute_force(sales, promos))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_promotions_against_the_definition(spark, seed):
+    rng = random.Random(seed)
+    ids = ["P0", "P1", "P2", "P3"]
+    # A third of the sales and of the promotions belong to P0.
+    pick = lambda: "P0" if rng.random() < 0.33 else rng.choice(ids)
+    sales = [
+        (FIRST + timedelta(rng.randrange(-5, 80)), f"S{rng.randrange(3)}", pick(), rng.randrange(1, 9), rng.randrange(0, 9999) / 100)
+        for _ in range(300)
+    ]
+    promos = []
+    for i in range(120):
+        start = FIRST + timedelta(rng.randrange(-20, 75))
+        promos.append((f"N{i:03}", pick(), start, start + timedelta(rng.randrange(0, 40)), "bundle", 5.0))
+    assert_same(mart(spark, sales, promos, ids), brute_force(sales, promos))
+
+
+def test_conditional_sums(spark):
+    promos = [("A", "P", FIRST, FIRST, "bundle", 5.0)]
+    m = mart(spark, [(FIRST, "S", "P", 1, 10.0), (FIRST + DAY, "S", "P", 1, 10.0)], promos)
+    by_type = {r.promotion_type: r for r in cards.card_promo_uplift_by_type(m).collect()}
+    assert (by_type["bundle"].promo_revenue, by_type["bundle"].baseline_revenue) == (10.0, None)
+    product = products(spark, ("P", "BrandA", date(2022, 1, 1), 0))
+    effect = {r.promotion_type: r for r in views.v_promotion_effectiveness(m, product).collect()}
+    assert (effect["bundle"].promo_revenue, effect["bundle"].non_promo_revenue) == (10.0, 0.0)
+    assert effect["No Promotion"].avg_uplift_pct is None and effect["No Promotion"].num_promotions == 1
+    assert rows_of(cards.card_promo_vs_nonpromo(m)) == [("No Promotion", 10.0), ("On Promotion", 10.0)]
+
+
+def test_mart_is_the_same_from_facts_and_from_clean_tables(spark):
+    s = SampleSources(spark, SAMPLE)
+    d = s.dimensions("product", "store", "promotion")
+    from_facts = promotion.promotion_mart(facts.fact_pos_sales(s.typed("pos_sales"), d), d)
+    assert rows_of(from_facts) == rows_of(QUERIES["promotion_mart"](spark, SAMPLE))
