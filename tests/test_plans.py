@@ -1,0 +1,116 @@
+"""What the plans must look like to hold at a large scale."""
+
+import re
+from datetime import date
+
+from pyspark.sql import functions as F
+
+import shelfline.operators.promotion as promotion_module
+from shelfline.operators import facts, promotion, sales
+from shelfline.operators.star import with_product
+from shelfline.plans.catalog import QUERIES, _promotion_mart
+from shelfline.sources.sample_sources import SampleSources
+
+from .conftest import SAMPLE, plan_of
+from .fixtures import natural, pos_sales, products, promotions
+
+PAIRING = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def test_no_query_pairs_all_rows(spark):
+    for name, query in QUERIES.items():
+        plan = plan_of(query(spark, SAMPLE))
+        assert not any(node in plan for node in PAIRING), name
+
+
+def test_no_query_runs_python_per_row(spark):
+    for name, query in QUERIES.items():
+        assert "Python" not in plan_of(query(spark, SAMPLE)), name
+
+
+def test_only_the_calendar_is_broadcast_by_hint(spark, settings):
+    # With automatic broadcasts off, what remains are the hints.
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    plan = plan_of(QUERIES["sales_mart"](spark, SAMPLE))
+    hinted = re.findall(r"BroadcastHashJoin \[(\w+)#", plan)
+    assert set(hinted) == {"date"} and "SortMergeJoin" in plan
+
+
+def test_facts_are_not_shuffled_when_dimensions_are_small(spark):
+    s = SampleSources(spark, SAMPLE)
+    plan = plan_of(facts.fact_sellin(s.typed("sellin"), s.dimensions("product", "distributor")))
+    assert plan.count("lineitem.parquet") == 1
+    # The only exchanges are those of the offsets in the numbered dimensions.
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) == {"_range"}
+
+
+def test_scans_read_the_needed_columns(spark):
+    plan = plan_of(QUERIES["card_top_brands"](spark, SAMPLE))
+    schema = re.search(r"lineitem\.parquet\].*?ReadSchema: struct<([^>]*)>", plan.replace("\n", " "))
+    assert "l_tax" not in schema.group(1) and "l_returnflag" not in schema.group(1)
+    part = re.search(r"part\.parquet\][^\n]*ReadSchema: struct<([^>]*)>", plan)
+    assert part.group(1) == "p_partkey:bigint,p_brand:string"
+
+
+def test_clean_table_filters_reach_the_scan(spark, tmp_path):
+    s = SampleSources(spark, SAMPLE)
+    s.typed("sellin").write.parquet(str(tmp_path / "sellin"))
+    sellin = spark.read.parquet(str(tmp_path / "sellin"))
+    plan = plan_of(facts.fact_sellin(sellin, s.dimensions("product", "distributor")))
+    assert "IsNotNull(date)" in plan and "IsNotNull(product_id)" in plan
+
+
+def test_promotion_mart_reads_the_sales_once(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(promotion_module, "stage", lambda df, label: staged.append(df) or df)
+    _promotion_mart(SampleSources(spark, SAMPLE))
+    staged[0].collect()
+    plan = plan_of(staged[0])
+    # Nodes that ran have a number in front.
+    assert "ReusedExchange" in plan
+    assert len(re.findall(r"\*\(\d+\) HashAggregate\([^\n]*partial_sum\(qty", plan)) == 1
+
+
+def test_baseline_limits_the_rows_of_a_day_before_the_shuffle(spark):
+    plan = plan_of(QUERIES["promotion_mart"](spark, SAMPLE))
+    assert "row_number(), 30, Partial" in plan
+
+
+def test_hot_product_is_split_in_a_sort_merge_join(spark, settings):
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
+        adaptive__advisoryPartitionSizeInBytes="20KB",
+    )
+    hot = F.when(F.col("id") % 3 == 0, F.lit("P0")).otherwise(F.concat(F.lit("P"), (F.col("id") % 97).cast("string")))
+    sold = spark.range(0, 200_000, 1, 8).select(hot.alias("product_id"), F.rand(1).alias("x"))
+    product = products(spark, *((f"P{i}", "B", date(2022, 1, 1), 0) for i in range(97)))
+    joined = with_product(sold, product, "brand")
+    joined.collect()
+    assert "skew=true" in plan_of(joined)
+
+
+def test_best_seller_reaches_the_product_join_as_daily_rows(spark):
+    product = products(spark, ("P", "BrandA", date(2022, 1, 1), 0))
+    sold = pos_sales(spark, *((date(2023, 1, 1 + i % 5), "S", "P", 1, 1.0) for i in range(200)))
+    dims = natural(spark, product)
+    plan = plan_of(sales.daily_totals(sold, dims, dims.product, "brand"))
+    # Read from the bottom: both halves of the first sum stand below the join with the products.
+    first_join = plan.rindex("Join")
+    assert plan.count("HashAggregate", first_join) >= 2
+
+
+def test_promotions_meet_days_by_month(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    dims = natural(
+        spark,
+        products(spark, ("P", "BrandA", date(2022, 1, 1), 0)),
+        promotion=promotions(spark, ("A", "P", date(2023, 1, 1), date(2023, 1, 2), "bundle", 5.0)),
+    )
+    daily = sales.daily_totals(
+        pos_sales(spark, (date(2023, 1, 1), "S", "P", 1, 1.0)), dims, dims.product, "brand", "category"
+    )
+    plan = plan_of(promotion._promoted_days(daily, dims))
+    assert re.search(r"SortMergeJoin \[product_id#\d+, year#\d+, month#\d+\]", plan)
