@@ -39,11 +39,11 @@ def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Overwrite the Parquet table at ``path`` and return the number of rows written.
 
-    With ``partition_by``, rows are first rebalanced on those columns: each value ends up in few files, and AQE
-    splits the values that hold much of the data. The count is taken during the write, not by a second query.
+    Tasks write their rows where they are, one file per value of ``partition_by`` that they hold, so that column
+    should have few values. Bringing each value together first would shuffle the whole table. The count is taken
+    during the write, not by a second query.
     """
     written = Observation()
-    rows = df.hint("rebalance", *(F.col(name) for name in partition_by)) if partition_by else df
-    rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return written.get["rows"]

@@ -14,18 +14,10 @@ from shelfline.sources.sample_sources import SampleSources
 from .conftest import SAMPLE, plan_of
 from .fixtures import natural, pos_sales, products, promotions
 
-PAIRING = ("CartesianProduct", "BroadcastNestedLoopJoin")
-
-
-def test_no_query_pairs_all_rows(spark):
+def test_no_query_pairs_all_rows_or_runs_python_per_row(spark):
     for name, query in QUERIES.items():
         plan = plan_of(query(spark, SAMPLE))
-        assert not any(node in plan for node in PAIRING), name
-
-
-def test_no_query_runs_python_per_row(spark):
-    for name, query in QUERIES.items():
-        assert "Python" not in plan_of(query(spark, SAMPLE)), name
+        assert not any(node in plan for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python")), name
 
 
 def test_only_the_calendar_is_broadcast_by_hint(spark, settings):
@@ -36,6 +28,14 @@ def test_only_the_calendar_is_broadcast_by_hint(spark, settings):
     assert set(hinted) == {"date"} and "SortMergeJoin" in plan
 
 
+def test_channels_share_the_shuffle_of_the_order_lines(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    df = QUERIES["v_si_vs_so"](spark, SAMPLE)
+    df.collect()
+    plan = plan_of(df)
+    assert len(re.findall(r"ReusedExchange [^\n]*Exchange hashpartitioning\(o_orderkey", plan)) == 2
+
+
 def test_facts_are_not_shuffled_when_dimensions_are_small(spark):
     s = SampleSources(spark, SAMPLE)
     plan = plan_of(facts.fact_sellin(s.typed("sellin"), s.dimensions("product", "distributor")))
