@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,14 +31,29 @@ def dense_key(df: DataFrame, order_by: Sequence[str], key: str) -> DataFrame:
         key,
     )
     in_range = F.col("_place").bitwiseAND((1 << _POSITION_BITS) - 1)
-    rows = placed.withColumn("_range", F.shiftright("_place", _POSITION_BITS))
-    # One row per range, so at most spark.sql.shuffle.partitions rows: fit for one task and for broadcast.
-    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy("_range")
-        .agg(F.count("*").alias("_size"))
-        .select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    in_front = F.get(_rows_before(placed), F.col("_range"))
+    return placed.withColumn("_range", _range().cast("int")).select(
+        (in_front + in_range + 1).alias(key), *df.columns
     )
-    return rows.join(F.broadcast(offsets), "_range").select(
-        (F.col("_offset") + in_range + 1).alias(key), *df.columns
+
+
+def _range() -> Column:
+    return F.shiftright("_place", _POSITION_BITS)
+
+
+def _rows_before(placed: DataFrame) -> Column:
+    """Array of the number of rows in all ranges before each one, as a scalar subquery.
+
+    There is one element per range, so at most spark.sql.shuffle.partitions. Joining the numbers instead would
+    make Spark expect a far larger table, and shuffle sales rather than broadcast a small dimension.
+    """
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    sizes = placed.groupBy(_range().cast("int").alias("_range")).agg(F.count("*").alias("_size"))
+    running = sizes.select("_range", F.sum("_size").over(before).alias("_before"))
+    by_range = F.map_from_entries(F.collect_list(F.struct("_range", "_before")))
+    # An empty range has no rows, and so no entry.
+    return (
+        running.agg(by_range.alias("_map"), F.max("_range").alias("_top"))
+        .select(F.transform(F.sequence(F.lit(0), "_top"), lambda i: F.coalesce(F.try_element_at("_map", i), F.lit(0))))
+        .scalar()
     )

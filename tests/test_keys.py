@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from shelfline.operators.dims import dim_store
@@ -32,10 +34,17 @@ def test_copies_of_one_key_are_spread_and_numbered_the_same_each_time(spark, set
 
 
 def test_no_task_holds_the_table(spark):
-    plan = plan_of(dense_key(spark.range(1000).withColumnRenamed("id", "k"), ["k"], "key"))
-    # Only the offsets, one row per range, are brought together; no window runs over the rows themselves.
-    assert plan.count("Window") == 1 and plan.count("SinglePartition") == 1
-    assert "BroadcastHashJoin" in plan
+    df = dense_key(spark.range(1000).withColumnRenamed("id", "k"), ["k"], "key")
+    plan = plan_of(df)
+    # The rows are read and numbered in place. Only their count per range is brought together.
+    assert "Join" not in plan and "Exchange" not in plan.split("Subquery")[0]
+    assert plan.count("+- Window") == plan.count("SinglePartition") == 1
+
+
+def test_a_small_numbered_dimension_is_broadcast(spark):
+    dim = dense_key(spark.range(5000).select(F.col("id").alias("k"), F.lit("a").alias("x")), ["k"], "key")
+    sales = spark.range(0, 5_000_000).select((F.col("id") % 5000).alias("k"))
+    assert re.search(r"BroadcastHashJoin[^\n]*BuildRight", plan_of(sales.join(dim, "k")))
 
 
 def test_empty_table(spark):
