@@ -1,0 +1,115 @@
+import random
+
+from shelfline.llm.components import connected_components
+from shelfline.llm.queries import URL_RULES
+from shelfline.llm.url_filter import judge_urls, link_edges
+
+PAGES = "page_id long, url string, html string"
+
+
+def roots(pairs):
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((top(a), top(b)))
+        up[b] = a
+    return {x: top(x) for x in up}
+
+
+def test_components_against_union_find(spark):
+    draw = random.Random(5)
+    pairs = [(draw.randrange(400), draw.randrange(400)) for _ in range(260)]
+    pairs += [(1000 + i, 1001 + i) for i in range(60)] + [(2000, 2001 + i) for i in range(200)]
+    pairs += [(7, 7), (None, 3), (4, None), *pairs[:20]]
+    found = connected_components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()
+    good = [(a, b) for a, b in pairs if a is not None and b is not None and a != b]
+    assert {tuple(r) for r in found} == set(roots(good).items())
+    assert len(found) == len(set(found))
+
+
+def test_components_of_nothing(spark):
+    assert connected_components(spark.createDataFrame([], "a string, b string"), "a", "b").collect() == []
+
+
+def judged(spark, rows):
+    pages = spark.createDataFrame(rows, PAGES)
+    return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge_urls(pages, URL_RULES, link_edges(pages)).collect()}
+
+
+def test_host_path_and_longest_rule(spark):
+    found = judged(
+        spark,
+        [
+            (1, "HTTPS://WWW.Example.ORG/en/196/?a=/x", None),
+            (2, "https://x.example.org/en/2", ""),
+            (3, "http://a.com/de/", "x"),
+            (4, "http://acom/de/", "x"),
+            (5, None, "x"),
+            (6, "no scheme", "x"),
+            (7, "http://org", "x"),
+            (8, "http://a.net#http://b.com/fr/", "x"),
+            (9, "http://Ä.com/fr/1#t", None),
+        ],
+    )
+    assert found == {
+        1: ("www.example.org", "/en/196/", "example.org/en/1", "block"),
+        2: ("x.example.org", "/en/2", "org/", "allow"),
+        3: ("a.com", "/de/", "com/de/", "block"),
+        4: ("acom", "/de/", None, "allow"),
+        5: ("", "", None, "allow"),
+        6: ("", "", None, "allow"),
+        7: ("org", "", None, "allow"),
+        8: ("a.net", "", None, "allow"),
+        9: ("Ä.com", "/fr/1", "com/fr/", "allow"),
+    }
+
+
+def test_aliases_take_the_verdict_with_allow_first(spark):
+    def canonical(href):
+        return f"<head><LINK href='{href}' rel=canonical></head>"
+
+    found = judged(
+        spark,
+        [
+            (1, "http://a.net/1", canonical("http://x.com/de/1")),
+            (2, "http://b.net/2#top", '<meta http-equiv="refresh" content="0; url=http://a.net/1">'),
+            (3, "http://c.net/3", canonical("/4?x=1&amp;y=2")),
+            (4, "http://c.net/4?x=1&y=2", canonical("http://x.com/de/2")),
+            (5, "http://c.net/4?x=1&y=2#again", None),
+            (6, "http://d.net/6", canonical("http://x.com/de/3")),
+            (7, "http://d.net/7", canonical("http://d.net/6")),
+            (8, "http://e.org/8", canonical("http://d.net/7")),
+            (9, "http://f.net/9", "<!-- " + canonical("http://x.com/de/1") + " -->"),
+            (10, "http://x.com/de/3", canonical("http://e.org/8")),
+            (11, "http://g.net/11", canonical("")),
+        ],
+    )
+    verdicts = {page: row[3] for page, row in found.items()}
+    blocked, allowed = (1, 2, 3, 4, 5, 10), (6, 7, 8, 9, 11)
+    assert verdicts == dict.fromkeys(blocked, "block") | dict.fromkeys(allowed, "allow")
+    assert found[2][2] is None
+
+
+def test_empty_table_repeated_rows_and_other_columns(spark):
+    assert judged(spark, []) == {}
+    rows = spark.createDataFrame([(1, "http://a.com/de/1", "mine", "old")] * 2, "page_id long, url string, rule string, more string")
+    edges = spark.createDataFrame([], "src string, dst string")
+    found = judge_urls(rows, URL_RULES, edges)
+    assert found.columns == ["page_id", "url", "more", "host", "path", "rule", "verdict"]
+    assert [(r.rule, r.verdict, r.more) for r in found.collect()] == [("com/de/", "block", "old")] * 2
+
+
+def test_long_html_is_read_whole(spark):
+    html = "<p>" + "x " * 200_000 + '<link rel="canonical" href="http://a.com/de/9">'
+    assert judged(spark, [(1, "http://z.net/", html)])[1][3] == "block"
+
+
+def test_plan_has_no_python(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/", "x")], PAGES)
+    plan = judge_urls(pages, URL_RULES, link_edges(pages))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
