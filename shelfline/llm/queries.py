@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .mixing import mix_sources, word_count
+from .scratch import frozen
 from .url_filter import ALLOW, BLOCK, Rule, judge_urls, link_edges
 
 
@@ -25,6 +27,13 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    sized = frozen(docs.select("doc_id", "source", word_count(F.col("text")).alias("words")))
+    return mix_sources(sized, size="words").select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op10_mix_sources": op10_mix_sources,
 }

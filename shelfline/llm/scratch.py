@@ -16,3 +16,9 @@ def frozen(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder; its lineage ends there, so a lost executor costs no rerun."""
     ensure_shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_or_shuffled(df: DataFrame, most_rows: int = 50_000) -> DataFrame:
+    """``df`` written once, with a broadcast hint if it has at most ``most_rows`` rows, else without one."""
+    kept = frozen(df)
+    return kept.hint("broadcast") if kept.count() <= most_rows else kept
