@@ -1,10 +1,12 @@
 """The registered queries of this subpackage, each over its whole table."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .langid import fit, identify_languages
 from .mixing import mix_sources, word_count
 from .scratch import frozen
+from .simhash import simhash_components
 from .url_filter import ALLOW, BLOCK, Rule, judge_urls, link_edges
 
 
@@ -27,6 +29,21 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def is_held_out() -> Column:
+    """Documents that no model is fitted on: crc32 of the id as text leaves remainder 2 by 4. A null id does not."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", is_held_out())
+    model = fit(docs.filter("not held_out"))
+    return identify_languages(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_table(spark, sf_dir, "documents"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = frozen(docs.select("doc_id", "source", word_count(F.col("text")).alias("words")))
@@ -35,5 +52,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_language_id": op2_language_id,
+    "op7_simhash": op7_simhash,
     "op10_mix_sources": op10_mix_sources,
 }
