@@ -1,8 +1,12 @@
 """The registered queries of this subpackage, each over its whole table."""
 
+import hashlib
+
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import with_round_trip
 from .langid import fit, identify_languages
 from .mixing import mix_sources, word_count
 from .scratch import frozen
@@ -40,6 +44,20 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def _digests(ids: list[int], decoded: str) -> dict:
+    return {
+        "n_tokens": len(ids),
+        "ids_sha256": hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+        "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest(),
+    }
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return with_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), _digests, schema).drop("text")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +71,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_language_id": op2_language_id,
+    "op3_bpe": op3_bpe,
     "op7_simhash": op7_simhash,
     "op10_mix_sources": op10_mix_sources,
 }

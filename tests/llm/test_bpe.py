@@ -1,0 +1,99 @@
+import hashlib
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from shelfline.llm import bpe
+from shelfline.llm.bpe import Bpe, Codec, Vocabulary, encode_documents, merge
+from shelfline.llm.queries import op3_bpe
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return lambda t: (e := tokenizer.encode(t, add_special_tokens=False).ids, tokenizer.decode(e, skip_special_tokens=False))
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return Codec(Vocabulary(PATH))
+
+
+ODD = [
+    "", " ", "Hello, World!!  it's they'll I'D", "<|endoftext|>a<|startoftext|> <|ENDOFTEXT|>x<|endoftext|", "éÉ ÅÅ ΑΣ ΣΑΣ. İI ǅ ẞ",
+    "a\x1cb !\x1c! \x85x y​z w　 ᠎", "数字 漢字かな 한국어 हिन्दी ①²½Ⅷ", "😀👩‍👩‍👧 🇫🇷", "x" * 500, "1234.5,6 $$$ ###a_b_c", "́ ́a'́s", "\n\t\r\x0b\x0c", "don't''s 's'S", "ﬁ ẛ̣",
+    "aaaaaaaa" * 30 + " ababababab" * 3, "\x00\x01\x7f", "ñÑéÉß",
+]
+
+
+def test_against_the_library(library, codec):
+    for text in ODD:
+        ids, decoded = library(text)
+        assert codec.encode(text) == ids, repr(text)
+        assert codec.decode(ids) == decoded
+    assert codec.encode(None) == []
+
+
+def test_random_texts_against_the_library(library, codec):
+    draw = random.Random(8)
+    letters = "aabcdeéth  \t.,'sSΣσ́\x1c\u0085漢1½<|endoftext|>!&" + "".join(map(chr, range(0x20, 0x250)))
+    for _ in range(400):
+        text = "".join(draw.choice(letters) for _ in range(draw.randrange(80)))
+        ids, decoded = library(text)
+        assert (codec.encode(text), codec.decode(codec.encode(text))) == (ids, decoded), repr(text)
+
+
+def test_merge_against_plain_search():
+    draw = random.Random(1)
+    for _ in range(300):
+        pairs = [(draw.randrange(12), draw.randrange(12)) for _ in range(40)]
+        ranks = {a << 20 | b: (r, draw.randrange(12)) for r, (a, b) in enumerate(pairs)}
+        symbols = [draw.randrange(5) for _ in range(draw.randrange(1, 25))]
+        plain = list(symbols)
+        while hits := [(ranks[k][0], i) for i in range(len(plain) - 1) if (k := plain[i] << 20 | plain[i + 1]) in ranks]:
+            _, i = min(hits)
+            plain[i : i + 2] = [ranks[plain[i] << 20 | plain[i + 1]][1]]
+        assert merge(symbols, ranks) == plain
+
+
+def test_forgetting_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 3)
+    text = "one two three four five one two Three FOUR " * 5
+    assert Codec(Vocabulary(PATH)).encode(text) == library(text)[0]
+
+
+def test_query_on_the_samples(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    found = {r.doc_id: r for r in op3_bpe(spark, "/root/testdata/sf0.001").collect()}
+    assert len(found) == len(docs)
+    for d in docs:
+        ids, decoded = library(d.text or "")
+        row = found[d.doc_id]
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_columns_rows_and_round_trip(spark, library):
+    rows = [(1, "Hello there"), (1, "Hello there"), (None, None), (2, ""), (3, "long word " * 100_000)]
+    df = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, n_tokens int")
+    found = encode_documents(df, PATH)
+    assert found.columns == ["doc_id", "text", "n_tokens", "token_ids"]
+    back = found.select("text", "n_tokens", "token_ids", Bpe(spark, PATH).decode(F.col("token_ids")).alias("decoded")).collect()
+    assert Counter((r.text, r.n_tokens, r.decoded) for r in back) == Counter(
+        (t, len(library(t or "")[0]), library(t or "")[1]) for _, t in rows
+    )
+    assert encode_documents(df.filter("false"), PATH).collect() == []
+
+
+def test_file_of_another_kind():
+    with pytest.raises((ValueError, KeyError, TypeError)):
+        Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
