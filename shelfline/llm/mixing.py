@@ -13,7 +13,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 SEED = 11
 #: Rows of a source that are put in order together. The mix is the same for any number.
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 2_000
 
 
 def word_count(text: Column) -> Column:

@@ -46,7 +46,7 @@ def check(rows, found):
     return taken
 
 
-@pytest.mark.parametrize("range_rows", [20_000, 7])
+@pytest.mark.parametrize("range_rows", [2_000, 7])
 def test_against_resharing(spark, range_rows, monkeypatch):
     monkeypatch.setattr(mixing, "ROWS_PER_RANGE", range_rows)
     draw = random.Random(3)
