@@ -17,4 +17,14 @@ fitted AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitted WHERE place = 1
 """
 
-ORACLE = {"op1_url_filter": _OP1}
+_OP4 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS largest FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN largest END AS refers_to
+FROM m
+"""
+
+ORACLE = {"op1_url_filter": _OP1, "op4_warc": _OP4}

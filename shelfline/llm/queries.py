@@ -1,6 +1,7 @@
 """The registered queries of this subpackage, each over its whole table."""
 
 import hashlib
+from uuid import uuid4
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,9 +10,12 @@ from pyspark.sql import functions as F
 from .bpe import with_round_trip
 from .langid import fit, identify_languages
 from .mixing import mix_sources, word_count
-from .scratch import frozen
+from .pii import KINDS, find_personal_data
+from .pii import fit as fit_field
+from .scratch import frozen, shared_folder
 from .simhash import simhash_components
 from .url_filter import ALLOW, BLOCK, Rule, judge_urls, link_edges
+from .warc import archived, page_of
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +62,30 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), _digests, schema).drop("text")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archived(_table(spark, sf_dir, "pages"), f"{shared_folder(spark)}/warc-{uuid4().hex}").filter("gap is null")
+    return records.select(
+        page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of(F.col("refers_to")).alias("refers_to")
+    )
+
+
+def _joined(spans: str) -> Column:
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+def _is_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_personal_data(docs, fit_field(docs))
+    counts = {f"n_{kind}": F.size(F.filter("base_spans", _is_kind(kind))).cast("long") for kind in KINDS}
+    return found.select(
+        "doc_id", *(c.alias(name) for name, c in counts.items()), F.sha2(_joined("base_spans"), 256).alias("base_sha256"), _joined("spans").alias("spans")
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +100,8 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
+    "op4_warc": op4_warc,
+    "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
     "op10_mix_sources": op10_mix_sources,
 }

@@ -5,16 +5,17 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_shared_folder(spark: SparkSession) -> None:
-    """Take the checkpoint folder from spark.checkpoint.dir; only where it is unset, as in tests, make one."""
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, from spark.checkpoint.dir; only where that is unset, as in tests, one is made."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-"))
+    return context.getCheckpointDir()
 
 
 def frozen(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder; its lineage ends there, so a lost executor costs no rerun."""
-    ensure_shared_folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
