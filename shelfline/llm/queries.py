@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import with_round_trip
+from .html_text import extract_main_text
+from .html_text import fit as fit_pages
 from .langid import fit, identify_languages
 from .mixing import mix_sources, word_count
 from .pii import KINDS, find_personal_data
@@ -90,6 +92,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return extract_main_text(pages, fit_pages(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = frozen(docs.select("doc_id", "source", word_count(F.col("text")).alias("words")))
@@ -103,5 +110,6 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
+    "op9_main_text": op9_main_text,
     "op10_mix_sources": op10_mix_sources,
 }
