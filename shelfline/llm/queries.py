@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .bpe import with_round_trip
 from .html_text import extract_main_text
 from .html_text import fit as fit_pages
@@ -16,6 +17,7 @@ from .pii import KINDS, find_personal_data
 from .pii import fit as fit_field
 from .scratch import frozen, shared_folder
 from .simhash import simhash_components
+from .topk import top_k
 from .url_filter import ALLOW, BLOCK, Rule, judge_urls, link_edges
 from .warc import archived, page_of
 
@@ -79,6 +81,11 @@ def _is_kind(kind: str):
     return lambda span: span["kind"] == kind
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_personal_data(docs, fit_field(docs))
@@ -92,6 +99,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return extract_main_text(pages, fit_pages(pages)).select("page_id", "url", "text", "n_chars")
@@ -108,8 +120,10 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
     "op4_warc": op4_warc,
+    "op5_ann": op5_ann,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
+    "op8_top_k": op8_top_k,
     "op9_main_text": op9_main_text,
     "op10_mix_sources": op10_mix_sources,
 }

@@ -1,6 +1,6 @@
 """Vectors packed into blocks, for searches that compare blocks of queries with blocks of candidates."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,29 +11,32 @@ from pyspark.sql import functions as F
 #: Rows of a block of candidates and of a block of queries.
 TILE_ROWS = 512
 CHUNK_ROWS = 256
+#: Rows that one task packs into blocks.
+ROWS_PER_TASK = 4096
 
 
-def finite_vectors(df: DataFrame, key: str, vector: str, component=lambda x: x) -> DataFrame:
+def finite_vectors(df: DataFrame, key: str, vector: str, component: Callable[[Column], Column] = lambda x: x) -> DataFrame:
     """(id, v) with v an array<double> of ``component`` of every component.
 
-    Rows with a null key, a null vector, or a null or non-finite component are left out; of rows with the
-    same key the smallest vector stays.
+    Rows with a null key, a null vector, or a null or non-finite component are left out; of rows with the same
+    key the smallest vector stays.
     """
     v = F.col(vector).cast("array<double>")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    rows = df.select(F.col(key).cast("long").alias("id"), v.alias("v")).filter(F.col("id").isNotNull() & F.col("v").isNotNull() & good)
-    return rows.groupBy("id").agg(F.min("v").alias("v")).select("id", F.transform("v", component).alias("v"))
+    rows = df.select(F.col(key).cast("long").alias("id"), v.alias("v"))
+    rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & F.coalesce(good, F.lit(False)))
+    return rows.groupBy("id").agg(F.min("v").alias("v")).select("id", F.transform("v", component).cast("array<double>").alias("v"))
 
 
 def norm(v: Column) -> Column:
-    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
     """Rows of a list column as a matrix of doubles; shorter ones end in zeros."""
-    values, ends = column.values.to_numpy(zero_copy_only=False).astype(np.float64), column.offsets.to_numpy()
+    values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
     lengths = np.diff(ends)
-    if len(lengths) and (lengths == width).all():
+    if (lengths == width).all():
         return values[ends[0] : ends[-1]].reshape(-1, width)
     out = np.zeros((len(lengths), width))
     for i, n in enumerate(lengths):
@@ -41,73 +44,81 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def unpacked(data: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(data).reshape(-1, width)
+def packed(rows: DataFrame, width: int, block_rows: int) -> DataFrame:
+    """Blocks of at most ``block_rows`` neighbouring rows of the same ``place``, in the order in which rows are.
 
-
-def packed(rows: DataFrame, width: int, block_rows: int, extra: str = "") -> DataFrame:
-    """Blocks of at most ``block_rows`` neighbouring rows with the same ``place``, in the order in which rows are.
-
-    ``rows`` has (place long, id long, v array<double>) and, with ``extra``, a double of that name. A block is
-    a row (place, ids, data, extra, low, high) of packed numbers, with the least and greatest norm.
+    ``rows`` has (place long, id long, v array<double>, bound double). A block is a row of (place, ids, data,
+    bounds) as packed numbers, the greatest norm ``high`` and the least bound ``least``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        held_place, n_held = None, 0
+        held_place, n_held = 0, 0
 
-        def block(parts) -> pa.RecordBatch:
-            ids, data, more = (np.concatenate(x) for x in zip(*parts))
-            length = np.sqrt(np.einsum("ij,ij->i", data, data))
-            columns = [[held_place], [ids.tobytes()], [data.tobytes()], [more.tobytes()], [float(length.min())], [float(length.max())]]
+        def block() -> pa.RecordBatch:
+            ids, data, bounds = (np.concatenate(x) for x in zip(*held))
+            high = float(np.sqrt(np.einsum("ij,ij->i", data, data)).max())
+            columns = [[held_place], [ids.tobytes()], [data.tobytes()], [bounds.tobytes()], [high], [float(bounds.min())]]
             kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["place", "ids", "data", "extra", "low", "high"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["place", "ids", "data", "bounds", "high", "least"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            places, ids = batch.column("place").to_numpy(), batch.column("id").to_numpy()
+            places, ids, bounds = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("place", "id", "bound"))
             data = matrix(batch.column("v"), width)
-            more = batch.column(extra).to_numpy(zero_copy_only=False) if extra else np.zeros(len(ids))
             cuts = [0, *(np.flatnonzero(np.diff(places)) + 1), len(places)]
             for start, end in zip(cuts, cuts[1:]):
                 if held and places[start] != held_place:
-                    yield block(held)
+                    yield block()
                     held, n_held = [], 0
                 held_place = int(places[start])
                 while start < end:
                     stop = min(end, start + block_rows - n_held)
-                    held.append((ids[start:stop], data[start:stop], more[start:stop]))
+                    held.append((ids[start:stop], data[start:stop], bounds[start:stop]))
                     n_held, start = n_held + stop - start, stop
                     if n_held == block_rows:
-                        yield block(held)
+                        yield block()
                         held, n_held = [], 0
         if held:
-            yield block(held)
+            yield block()
+
+    ordered = rows.select("place", "id", "v", F.col("bound").cast("double").alias("bound"))
+    return ordered.mapInArrow(run, "place long, ids binary, data binary, bounds binary, high double, least double")
+
 
-    return rows.mapInArrow(run, "place long, ids binary, data binary, extra binary, low double, high double")
+class Block:
+    """A packed block in a task."""
 
+    def __init__(self, ids: bytes, data: bytes, bounds: bytes):
+        self.ids = np.frombuffer(ids, dtype=np.int64)
+        self.data = np.frombuffer(data).reshape(len(self.ids), -1)
+        self.bounds = np.frombuffer(bounds)
 
-def paired(chunks: DataFrame, tiles: DataFrame, on, compare) -> DataFrame:
-    """(query_id, vec_id, score) from ``compare(chunk, tile)`` for every pair of blocks that meets ``on``.
 
-    ``compare`` gets two dictionaries of the blocks' columns and returns three arrays. Blocks travel one pair
-    to a row and one row to a batch of work, so a task holds one pair at a time besides what Spark buffers.
+def compared(
+    pairs: DataFrame, compare: Callable[[Block, Block], tuple[np.ndarray, np.ndarray, np.ndarray]], score: str = "double"
+) -> DataFrame:
+    """(query_id, vec_id, score) from ``compare(chunk, tile)`` for every row of ``pairs``, which has the packed
+    columns of a chunk of queries (q_ids, q_data, q_bounds) and of a tile of candidates (t_ids, t_data, t_bounds).
+
+    Spark limits a batch of rows by bytes, so a task holds some pairs at a time.
     """
-    left = chunks.select(*(F.col(c).alias(f"q_{c}") for c in chunks.columns))
-    right = tiles.select(*(F.col(c).alias(f"t_{c}") for c in tiles.columns))
-    pairs = left.join(right, on)
+    names = [f"{side}_{c}" for side in "qt" for c in ("ids", "data", "bounds")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                sides = ({k[2:]: v for k, v in row.items() if k.startswith(side)} for side in ("q_", "t_"))
-                query, vec, score = compare(*sides)
-                if len(query):
-                    yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
+                parts = [batch.column(name)[i].as_py() for name in names]
+                columns = compare(Block(*parts[:3]), Block(*parts[3:]))
+                if len(columns[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
+
+    return pairs.select(*names).mapInArrow(run, f"query_id long, vec_id long, score {score}")
+
 
-    return pairs, run
+def sided(blocks: DataFrame, side: str) -> DataFrame:
+    return blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in blocks.columns))
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
@@ -121,7 +132,7 @@ def best_of_block(query_ids: np.ndarray, vec_ids: np.ndarray, rows: np.ndarray,
     """Of pairs given by (row, column, score), the ``k`` best of every row: highest score, then smallest id."""
     order = np.lexsort((vec_ids[columns], -scores, rows))
     rows, columns, scores = rows[order], columns[order], scores[order]
-    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.zeros(0, int)
-    place = np.arange(len(rows)) - np.repeat(starts, np.diff(np.r_[starts, len(rows)]))
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.zeros(0, dtype=np.int64)
+    place = np.arange(len(rows)) - np.repeat(first, np.diff(np.r_[first, len(rows)]))
     keep = place < k
     return query_ids[rows[keep]], vec_ids[columns[keep]], scores[keep]
