@@ -45,6 +45,11 @@ def grams_of(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)] or [padded]
 
 
+def _frame(lang: str, what: str, counts: Counter) -> pd.DataFrame:
+    strings = {"lang": [lang] * len(counts), what: list(counts)}
+    return pd.DataFrame({name: pd.Series(x, dtype=object) for name, x in strings.items()} | {"n": list(counts.values())})
+
+
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Words per language within a batch, each counted before anything is shuffled."""
     for batch in batches:
@@ -52,7 +57,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, lang in zip(batch["text"], batch["lang"]):
             counts[lang].update(words_of(text))
         for lang, words in counts.items():
-            yield pd.DataFrame({"lang": lang, "word": list(words.keys()), "n": list(words.values())})
+            if words:
+                yield _frame(lang, "word", words)
 
 
 def _with_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,7 +69,7 @@ def _with_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for gram in grams_of(word, n):
                     counts[lang][gram] += times
         for lang, grams in counts.items():
-            yield pd.DataFrame({"lang": lang, "gram": list(grams.keys()), "n": list(grams.values())})
+            yield _frame(lang, "gram", grams)
 
 
 def _most_frequent(counts: DataFrame, what: str, bound: int) -> list:
