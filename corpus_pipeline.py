@@ -61,7 +61,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document of the mix, as often as the mix takes it."""
-    return encode_documents(_carried(docs), public_tokenizers.path(TOKENIZER)).select("doc_id", "lang", "source", "n_tokens", "token_ids")
+    return encode_documents(_carried(docs), public_tokenizers.path(TOKENIZER), keep=["doc_id", "lang", "source"])
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

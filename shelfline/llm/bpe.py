@@ -4,17 +4,21 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Pieces and words whose ids a task remembers; then it forgets all and starts anew.
 CACHED = 200_000
+_ROWS_AT_ONCE = 500
 # Unicode white space; what Python's str.split() takes for white space besides are four control characters.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _SPACES = re.compile(f"[{_SPACE}]+")
@@ -173,16 +177,31 @@ class Bpe:
         return F.pandas_udf(run, "string")(ids)
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with n_tokens and token_ids; columns of those names are replaced.
+def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """``docs`` (only the columns ``keep``, if given) with n_tokens and token_ids; columns of those names are replaced.
 
     Every whole text is encoded; null and empty texts have no tokens. Repeated rows come out each; an empty
-    table gives no rows. Nothing is shuffled.
+    table gives no rows. Nothing is shuffled. Tasks hand on the ids of some hundred documents at a time.
     """
-    kept = [c for c in docs.columns if c not in ("n_tokens", "token_ids")]
-    ids = Bpe(docs.sparkSession, path).encode(F.col(text))
-    rows = docs.withColumn("_ids", ids)
-    return rows.select(*kept, F.size("_ids").cast("long").alias("n_tokens"), F.col("_ids").alias("token_ids"))
+    added = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("n_tokens", "token_ids")]
+    bpe = Bpe(docs.sparkSession, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = bpe.codec()
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                part = batch.slice(start, _ROWS_AT_ONCE)
+                ids, ends = array("i"), [0]
+                for piece in part.column(part.num_columns - 1):
+                    ids.extend(codec.encode(piece.as_py()))
+                    ends.append(len(ids))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, dtype=np.int32)))
+                counts = pa.array(np.diff(ends).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], counts, lists], names=[*kept, "n_tokens", "token_ids"])
+
+    rows = docs.select(*kept, F.col(text).alias("_text"))
+    return rows.mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), *added]))
 
 
 def with_round_trip(docs: DataFrame, path: str, measure, schema: str, text: str = "text") -> DataFrame:
