@@ -205,13 +205,14 @@ def drop_near_duplicates(
 
     Only keys and hashes are compared; the texts are shuffled once, to meet the keys that stay.
     """
-    mark = F.xxhash64(F.col(text))
+    mark, zero = F.xxhash64(F.col(text)), F.lit(0).cast(docs.schema[key].dataType)
     marked = frozen(docs.select(F.col(key).alias("key"), mark.alias("mark"), fingerprints(F.col(text), shingle_words).alias("bits")))
     first = F.struct(F.col("key").isNull().alias("last"), "key", "mark")
     least = marked.groupBy("bits").agg(F.min(first).alias("least"))
     roots = _components(marked, radius, tile_rows).join(least, "bits")
-    stays = roots.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.key").alias("_key"), F.col("least.mark").alias("_stays"))
-    rows = docs.withColumn("_mark", mark)
-    rows = rows.join(stays, rows[key].eqNullSafe(F.col("_key")) & (F.col("_mark") == F.col("_stays")), "left_semi")
-    alike = W.partitionBy(key, "_mark").orderBy("_mark")
+    stays = roots.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.last").alias("_last"), F.coalesce("least.key", zero).alias("_key"), F.col("least.mark").alias("_mark"))
+    # One shuffle of the texts serves the join and the window: the same columns, none of them null.
+    rows = docs.withColumns({"_last": F.col(key).isNull(), "_key": F.coalesce(F.col(key), zero), "_mark": mark})
+    rows = rows.join(stays, ["_last", "_key", "_mark"], "left_semi")
+    alike = W.partitionBy("_last", "_key", "_mark").orderBy("_mark")
     return rows.withColumn("_place", F.row_number().over(alike)).filter("_place = 1").select(*docs.columns)
