@@ -14,17 +14,18 @@ def season_factor(day: Column) -> Column:
     return factor
 
 
-def growth_factor(day: Column, base_year: int) -> Column:
+def growth_factor(day: Column, base_year: int | Column) -> Column:
     return F.lit(1.0) + F.lit(fixed.YEARLY_GROWTH) * (F.year(day) - base_year)
 
 
 def adoption_factor(day: Column, launch: Column) -> Column:
+    """Share of the launch's full demand; NULL where the day or the launch is unknown (``least`` skips NULL)."""
     months = month_boundaries(launch, day)
     ramp = F.least(F.lit(1.0), F.lit(fixed.ADOPTION_START) + F.lit(fixed.ADOPTION_STEP) * months)
-    return F.when(months < 0, 0.0).otherwise(ramp)
+    return F.when(months < 0, 0.0).when(months.isNotNull(), ramp)
 
 
-def demand_columns(rows: DataFrame, day: str, launch: str, base_year: int) -> DataFrame:
+def demand_columns(rows: DataFrame, day: str, launch: str, base_year: int | Column) -> DataFrame:
     """Add season_factor, growth_factor, adoption_factor and their product, demand_index."""
     return rows.select(
         "*",

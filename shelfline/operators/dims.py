@@ -34,26 +34,38 @@ class Dimensions:
     promotion: DataFrame | None = None
 
 
-def dim_date(spark: SparkSession, bounds: CalendarBounds = CalendarBounds()) -> DataFrame:
+def _calendar(days: DataFrame) -> DataFrame:
     day = F.col("date")
-    every_day = F.sequence(F.lit(bounds.start), F.lit(bounds.end), F.expr("INTERVAL 1 DAY"))
-    return (
-        spark.range(1)
-        .select(F.explode(every_day).alias("date"))
-        .select(
-            date_key(day).alias("date_key"),
-            "date",
-            F.year(day).alias("year"),
-            F.quarter(day).alias("quarter"),
-            F.month(day).alias("month"),
-            F.weekofyear(day).alias("week"),
-            F.dayofmonth(day).alias("day"),
-            (F.dayofweek(day) - 1).alias("day_of_week"),
-            F.date_format(day, "EEEE").alias("day_name"),
-            F.date_format(day, "MMMM").alias("month_name"),
-            season_of(day).alias("season"),
-        )
+    return days.select(
+        date_key(day).alias("date_key"),
+        "date",
+        F.year(day).alias("year"),
+        F.quarter(day).alias("quarter"),
+        F.month(day).alias("month"),
+        F.weekofyear(day).alias("week"),
+        F.dayofmonth(day).alias("day"),
+        (F.dayofweek(day) - 1).alias("day_of_week"),
+        F.date_format(day, "EEEE").alias("day_name"),
+        F.date_format(day, "MMMM").alias("month_name"),
+        season_of(day).alias("season"),
+    )
+
+
+_EVERY_DAY = "explode(sequence(_first, _last, INTERVAL 1 DAY)) AS date"
+
+
+def dim_date(spark: SparkSession, bounds: CalendarBounds = CalendarBounds()) -> DataFrame:
+    ends = spark.range(1).select(F.lit(bounds.start).alias("_first"), F.lit(bounds.end).alias("_last"))
+    return _calendar(ends.selectExpr(_EVERY_DAY))
+
+
+def dim_date_of(sales: DataFrame, day: str) -> DataFrame:
+    """The calendar of the whole years that the column ``day`` spans; no rows where it has no date."""
+    ends = sales.agg(
+        F.trunc(F.min(day), "year").alias("_first"),
+        F.date_sub(F.add_months(F.trunc(F.max(day), "year"), 12), 1).alias("_last"),
     )
+    return _calendar(ends.selectExpr(_EVERY_DAY))
 
 
 def product_rows(product_master: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions import from_units, month_boundaries, portable_round
+from ..functions import month_boundaries, portable_round
 from .dims import Dimensions
-from .sales import daily_totals
+from .sales import daily_totals, revenue_of
 
 _PRODUCT = ("brand", "category", "sub_category", "launch_date", "sku_name")
 
@@ -28,7 +28,7 @@ def innovation_daily(pos_sales: DataFrame, sellout: DataFrame, dims: Dimensions)
         "product_id",
         *_PRODUCT,
         F.col("total_qty").alias("qty"),
-        from_units("revenue_units").alias("revenue"),
+        revenue_of().alias("revenue"),
         "channel",
     )
 
@@ -42,15 +42,13 @@ def innovation_mart(pos_sales: DataFrame, sellout: DataFrame, dims: Dimensions)
     """
     series = W.partitionBy("product_id", "channel")
     so_far = series.orderBy("date", *_PRODUCT).rowsBetween(W.unboundedPreceding, W.currentRow)
-    # A year of the best-seller can exceed a bigint of units, so the running sum is decimal.
-    running = F.sum(F.col("revenue_units").cast("decimal(20,0)")).over(so_far)
-    revenue = from_units("revenue_units")
-    best = from_units(F.max("revenue_units").over(series))
+    revenue = revenue_of()
     return (
         _daily(pos_sales, sellout, dims)
         .withColumn("month_since_launch", month_boundaries(F.col("launch_date"), F.col("date")))
-        .withColumn("cumulative_revenue", from_units(running))
+        .withColumn("cumulative_revenue", revenue_of(lambda part: F.sum(part).over(so_far)))
         .filter(F.col("month_since_launch") >= 0)
+        .withColumn("_best", F.max(revenue).over(series))
         .select(
             "date",
             "product_id",
@@ -64,6 +62,6 @@ def innovation_mart(pos_sales: DataFrame, sellout: DataFrame, dims: Dimensions)
             F.col("total_qty").alias("qty"),
             revenue.alias("revenue"),
             "cumulative_revenue",
-            portable_round(revenue / F.nullif(best, F.lit(0.0)) * 100).alias("adoption_rate_pct"),
+            portable_round(revenue / F.nullif(F.col("_best"), F.lit(0.0)) * 100).alias("adoption_rate_pct"),
         )
     )

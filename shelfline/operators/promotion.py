@@ -5,10 +5,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions import from_units, portable_round
+from ..functions import portable_round
 from ..sources.staging import stage
 from .dims import Dimensions
-from .sales import daily_totals
+from .sales import daily_totals, revenue_of
 from .star import with_date
 
 _PROMOTION = ("promotion_id", "promotion_type", "discount_percent")
@@ -64,12 +64,12 @@ def _promoted_days(daily: DataFrame, dims: Dimensions) -> DataFrame:
     )
 
 
-def promotion_mart(pos_sales: DataFrame, dims: Dimensions) -> DataFrame:
+def promotion_mart(pos_sales: DataFrame, dims: Dimensions, frame: int = fixed.BASELINE_ROWS) -> DataFrame:
     """Daily product sales, once per active promotion of the day, with baseline and uplift.
 
-    The baseline is the mean revenue of the 30 rows (not days) of the product before this one, in the order of
-    the date and, within a day, of the promotion; a day with k promotions counts as k rows. Promotions are
-    expected to be distinct rows, as cleaning leaves them.
+    The baseline is the mean revenue of the ``frame`` rows (not days) of the product before this one, in the order of
+    the date and, within a day, of the promotion; a day with k promotions counts as k rows, also where some of
+    them are alike in all that is shown.
 
     A window over all rows of a product would have to sort them in one task, however many promotions overlap.
     All rows of a day have the same revenue, so a frame of 30 rows never sees more than the first 30 rows of a
@@ -77,16 +77,17 @@ def promotion_mart(pos_sales: DataFrame, dims: Dimensions) -> DataFrame:
     rows per day, found by a limit per group that is applied before the shuffle as well, and the other rows
     get their baseline directly.
 
-    The rows are needed for both and are written once, so that the sales are read only once.
+    The rows are needed for both and are written once, so that the sales are read only once. Each gets a
+    number before it is written, which tells promotions apart that are alike.
     """
-    frame = fixed.BASELINE_ROWS
     daily = daily_totals(pos_sales, dims, dims.product, "brand", "category")
     promoted = _promoted_days(daily, dims)
     unpromoted = daily.withColumn("_promotion", F.lit(None).cast(promoted.schema["_promotion"].dataType))
-    rows = stage(unpromoted.unionByName(promoted), "promotion_mart")
+    numbered = unpromoted.unionByName(promoted).withColumn("_number", F.monotonically_increasing_id())
+    rows = stage(numbered, "promotion_mart")
 
     # The row without promotion comes last in its day and only counts when it is the only one.
-    in_day = W.partitionBy("product_id", "date", "brand", "category").orderBy(F.col("_promotion").asc_nulls_last())
+    in_day = W.partitionBy("product_id", "date", "brand", "category").orderBy(F.col("_promotion").asc_nulls_last(), "_number")
     placed = rows.withColumn("_place", F.row_number().over(in_day))
     first = placed.filter(
         (F.col("_place") <= frame) & (F.col("_promotion").isNotNull() | (F.col("_place") == 1))
@@ -94,23 +95,25 @@ def promotion_mart(pos_sales: DataFrame, dims: Dimensions) -> DataFrame:
     before = (
         W.partitionBy("product_id").orderBy("date", "brand", "category", "_place").rowsBetween(-frame, -1)
     )
-    baseline = F.try_divide(
-        from_units(F.sum("revenue_units").over(before)), F.count("revenue_units").over(before)
-    )
+    baseline = F.try_divide(revenue_of(lambda part: F.sum(part).over(before)), F.count("revenue_low").over(before))
 
     full_days = first.filter(F.col("_place") == frame).select(
-        "product_id", "date", F.col("_promotion").alias("_last_placed")
+        *(F.col(name).alias(f"_full_{name}") for name in ("product_id", "date", "brand", "category")),
+        F.struct("_promotion", "_number").alias("_last_placed"),
     )
-    behind = rows.join(full_days.distinct(), ["product_id", "date"]).filter(
-        F.col("_promotion") > F.col("_last_placed")
+    # A version of a product may have no brand, and is a version all the same.
+    of_day = (F.col("product_id") == F.col("_full_product_id")) & (F.col("date") == F.col("_full_date"))
+    of_version = F.col("brand").eqNullSafe(F.col("_full_brand")) & F.col("category").eqNullSafe(F.col("_full_category"))
+    behind = rows.join(full_days, of_day & of_version).filter(
+        F.col("_promotion").isNotNull() & (F.struct("_promotion", "_number") > F.col("_last_placed"))
     )
-    own_day = from_units(F.col("revenue_units") * frame) / frame
+    own_day = revenue_of(lambda part: part * frame) / frame
 
     on_promotion = F.col("_promotion").isNotNull()
-    revenue = from_units("revenue_units")
+    revenue = revenue_of()
     gain = portable_round((revenue - F.col("_baseline")) / F.col("_baseline") * 100)
     with_baseline = first.withColumn("_baseline", baseline).drop("_place")
-    with_baseline = with_baseline.unionByName(behind.withColumn("_baseline", own_day).drop("_last_placed"))
+    with_baseline = with_baseline.unionByName(behind.withColumn("_baseline", own_day).select(with_baseline.columns))
     return with_baseline.select(
         "date",
         "product_id",

@@ -1,12 +1,13 @@
 """The cross-channel sales mart and the daily totals that the other marts start from."""
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions import to_units
+from ..functions import amount_parts, sum_of_parts
 from .dims import Dimensions
 from .star import with_date, with_distributor, with_product, with_store
 
@@ -78,8 +79,16 @@ def sales_mart(
     return reduce(DataFrame.unionByName, channels)
 
 
+REVENUE_PARTS = ("revenue_high", "revenue_low", "revenue_rest")
+
+
+def revenue_of(over: Callable[[Column], Column] = lambda part: part) -> Column:
+    """The revenue of rows of ``daily_totals``, or of what ``over`` (a sum, say) makes of its parts."""
+    return sum_of_parts(*(over(F.col(name)) for name in REVENUE_PARTS))
+
+
 def daily_totals(sales: DataFrame, dims: Dimensions, products: DataFrame, *attributes: str) -> DataFrame:
-    """Per day and product: total_qty and revenue_units (``to_units``), with attributes of ``products``.
+    """Per day and product: total_qty and the parts of the revenue (``revenue_of``), with attributes of ``products``.
 
     Sales are summed per day and product before they meet the product table. Most of that sum happens before
     the shuffle, and a best-seller has afterwards one row per day instead of a large share of all rows, so the
@@ -88,11 +97,12 @@ def daily_totals(sales: DataFrame, dims: Dimensions, products: DataFrame, *attri
     """
     day = "date_key" if "date_key" in sales.columns else "date"
     product = "product_key" if "product_key" in sales.columns else "product_id"
+    parts = amount_parts("revenue", "revenue")
     daily = sales.groupBy(product, day).agg(
-        F.sum("qty").alias("total_qty"), F.sum(to_units("revenue")).alias("revenue_units")
+        F.sum("qty").alias("total_qty"), *(F.sum(part).alias(name) for name, part in parts.items())
     )
     daily = with_product(daily, products, "product_id", *attributes)
     daily = with_date(daily, dims.date, *(("date",) if day == "date_key" else ()))
     return daily.groupBy("product_id", "date", *attributes).agg(
-        F.sum("total_qty").alias("total_qty"), F.sum("revenue_units").alias("revenue_units")
+        *(F.sum(name).alias(name) for name in ("total_qty", *REVENUE_PARTS))
     )

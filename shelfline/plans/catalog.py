@@ -3,11 +3,12 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import demand_columns
 from ..operators import adhoc, cards, clean, dims, facts, innovation, promotion, sales, views
 from ..operators.keys import dense_key
-from ..sources.sample_sources import SAMPLE_BOUNDS, SampleSources
+from ..sources.sample_sources import SampleSources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +77,7 @@ def _clean_query(source: str) -> Callable[[SampleSources], DataFrame]:
 _QUERIES: dict[str, Callable[[SampleSources], DataFrame]] = {
     **{f"clean_{source}": _clean_query(source) for source in clean.CLEAN_SPECS},
     # Dimensions
-    "dim_date": lambda s: dims.dim_date(s.spark, SAMPLE_BOUNDS),
+    "dim_date": lambda s: s.calendar(),
     "dim_product": lambda s: dims.dim_product(s.typed("product_master")),
     "dim_distributor": lambda s: dims.dim_distributor(s.typed("distributor_master")),
     "dim_store": lambda s: dims.dim_store(s.typed("store_master"), s.typed("retailer_master")),
@@ -129,7 +130,7 @@ _QUERIES: dict[str, Callable[[SampleSources], DataFrame]] = {
     ),
     "row_count_audit": _row_count_audit,
     "demand_index": lambda s: demand_columns(
-        _innovation_daily(s), "date", "launch_date", SAMPLE_BOUNDS.start.year
+        _innovation_daily(s), "date", "launch_date", s.calendar().agg(F.min("year")).scalar()
     ),
 }
 

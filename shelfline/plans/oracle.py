@@ -220,7 +220,8 @@ _PARTS["dim_date"] = """
            CASE WHEN month(d) <= 2 THEN 'Tet Season' WHEN month(d) BETWEEN 5 AND 8 THEN 'Summer'
                 WHEN month(d) >= 11 THEN 'Year-End' ELSE 'Regular' END AS season
     FROM (SELECT CAST(t AS DATE) AS d
-          FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS t) AS s) AS days
+          FROM (SELECT unnest(generate_series(make_date(year(min(l_shipdate)), 1, 1), make_date(year(max(l_shipdate)), 12, 31),
+                                              INTERVAL 1 DAY)) AS t FROM lineitem) AS s) AS days
 """
 _PARTS["dim_product"] = """
     SELECT CAST(row_number() OVER (ORDER BY product_id) AS BIGINT) AS product_key, * EXCLUDE (k) FROM k_product_master
@@ -292,13 +293,14 @@ _PARTS["promo_calendar"] = """
 """
 _PARTS["daily_pos"] = """
     SELECT date, product_id, brand, category, CAST(SUM(qty) AS BIGINT) AS qty,
-           SUM(CAST(revenue AS DECIMAL(18,4))) AS amount
+           SUM(CAST(revenue AS DECIMAL(18,4))) AS amount,
+           SUM(revenue - CAST(CAST(revenue AS DECIMAL(18,4)) AS DOUBLE)) AS rest
     FROM fact_pos_sales JOIN dim_date USING (date_key) JOIN dim_product USING (product_key)
     GROUP BY ALL
 """
 _PARTS["with_baseline"] = """
-    SELECT d.*, p.promotion_id, p.promotion_type, p.discount_percent, CAST(d.amount AS DOUBLE) AS revenue,
-           CAST(SUM(d.amount) OVER before AS DOUBLE) / COUNT(d.amount) OVER before AS baseline
+    SELECT d.*, p.promotion_id, p.promotion_type, p.discount_percent, CAST(d.amount AS DOUBLE) + rest AS revenue,
+           (CAST(SUM(d.amount) OVER before AS DOUBLE) + SUM(d.rest) OVER before) / COUNT(d.amount) OVER before AS baseline
     FROM daily_pos AS d LEFT JOIN promo_calendar AS p ON p.product_id = d.product_id AND p.date = d.date
     WINDOW before AS (PARTITION BY d.product_id ORDER BY d.date, p.promotion_id
                       ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)
@@ -314,21 +316,22 @@ _PARTS["promotion_mart"] = """
 """
 _PARTS["launched_sales"] = """
     SELECT date, product_id, brand, category, sub_category, launch_date, sku_name, CAST(SUM(qty) AS BIGINT) AS qty,
-           SUM(CAST(revenue AS DECIMAL(18,4))) AS amount, channel
+           SUM(CAST(revenue AS DECIMAL(18,4))) AS amount,
+           SUM(revenue - CAST(CAST(revenue AS DECIMAL(18,4)) AS DOUBLE)) AS rest, channel
     FROM (SELECT 'POS' AS channel, * FROM fact_pos_sales UNION ALL SELECT 'GT', * FROM fact_sellout) AS f
          JOIN dim_date USING (date_key) JOIN dim_product USING (product_key)
     WHERE innovation_flag = 1
     GROUP BY ALL
 """
 _PARTS["innovation_daily"] = """
-    SELECT * EXCLUDE (amount), CAST(amount AS DOUBLE) AS revenue FROM launched_sales
+    SELECT * EXCLUDE (amount, rest), CAST(amount AS DOUBLE) + rest AS revenue FROM launched_sales
 """
 _PARTS["since_launch"] = """
-    SELECT *, CAST(amount AS DOUBLE) AS revenue,
+    SELECT *, CAST(amount AS DOUBLE) + rest AS revenue,
            CAST(datediff('month', launch_date, date) AS INTEGER) AS month_since_launch,
-           CAST(SUM(amount) OVER (PARTITION BY product_id, channel ORDER BY date ROWS UNBOUNDED PRECEDING) AS DOUBLE)
-               AS cumulative_revenue
+           CAST(SUM(amount) OVER up_to_day AS DOUBLE) + SUM(rest) OVER up_to_day AS cumulative_revenue
     FROM launched_sales
+    WINDOW up_to_day AS (PARTITION BY product_id, channel ORDER BY date ROWS UNBOUNDED PRECEDING)
 """
 _PARTS["innovation_mart"] = """
     SELECT date, product_id, brand, category, sub_category, sku_name, launch_date, channel, month_since_launch, qty,
@@ -340,7 +343,9 @@ _PARTS["innovation_mart"] = """
 
 
 def _total(value: str) -> str:
-    return f"CAST(SUM(CAST({value} AS DECIMAL(18,4))) AS DOUBLE)"
+    """Four decimals are summed exactly, what is finer as double: nothing is cut, and no order matters."""
+    whole = f"CAST({value} AS DECIMAL(18,4))"
+    return f"(CAST(SUM({whole}) AS DOUBLE) + SUM({value} - CAST({whole} AS DOUBLE)))"
 
 
 def _mean(value: str) -> str:
@@ -447,9 +452,9 @@ _OTHERS: dict[str, str] = {
         FROM (SELECT *,
                      CAST(CASE WHEN month(date) <= 2 THEN 1.6 WHEN month(date) BETWEEN 5 AND 8 THEN 1.4
                                WHEN month(date) >= 11 THEN 1.2 ELSE 1.0 END AS DOUBLE) AS season_factor,
-                     CAST(1 AS DOUBLE) + CAST(0.4 AS DOUBLE) * (year(date) - 1995) AS growth_factor,
+                     CAST(1 AS DOUBLE) + CAST(0.4 AS DOUBLE) * (year(date) - (SELECT min(year) FROM dim_date)) AS growth_factor,
                      CASE WHEN months < 0 THEN CAST(0 AS DOUBLE)
-                          ELSE least(CAST(1 AS DOUBLE), CAST(0.1 AS DOUBLE) + CAST(0.15 AS DOUBLE) * months)
+                          WHEN months IS NOT NULL THEN least(CAST(1 AS DOUBLE), CAST(0.1 AS DOUBLE) + CAST(0.15 AS DOUBLE) * months)
                      END AS adoption_factor
               FROM (SELECT *, datediff('month', launch_date, date) AS months FROM innovation_daily) AS m) AS factors
     """,

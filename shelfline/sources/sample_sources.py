@@ -5,15 +5,12 @@ noisy names, and a fixed share of the rows (chosen by ``_k``, a number computed
 junk, negative, fractional or repeated.
 """
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dims import (
-    CalendarBounds,
     Dimensions,
-    dim_date,
+    dim_date_of,
     dim_distributor,
     dim_product,
     dim_promotion,
@@ -24,8 +21,6 @@ from ..operators.dims import (
     store_rows,
 )
 
-SAMPLE_BOUNDS = CalendarBounds(date(1995, 1, 1), date(2001, 12, 31))
-
 # Columns used of the sample tables. With the schema given, reading one needs no look into its files.
 _SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -62,6 +57,10 @@ class SampleSources:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def calendar(self) -> DataFrame:
+        """The whole years in which anything was sold."""
+        return dim_date_of(self.table("lineitem"), "l_shipdate")
+
     def typed(self, source: str) -> DataFrame:
         return getattr(self, f"_{source}")().drop("_k")
 
@@ -89,7 +88,7 @@ class SampleSources:
         return self._dimensions(builders, names)
 
     def _dimensions(self, builders, names) -> Dimensions:
-        return Dimensions(date=dim_date(self.spark, SAMPLE_BOUNDS), **{name: builders[name]() for name in names})
+        return Dimensions(date=self.calendar(), **{name: builders[name]() for name in names})
 
     # Master data
 

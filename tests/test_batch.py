@@ -4,15 +4,18 @@ import pytest
 
 from shelfline.operators import clean, sales
 from shelfline.operators.adhoc import row_count_audit
+from shelfline.operators.dims import CalendarBounds
 from shelfline.plans import batch
 from shelfline.sources.lake import read_clean, read_raw, read_table, write_table
-from shelfline.sources.sample_sources import SAMPLE_BOUNDS, SampleSources
+from shelfline.sources.sample_sources import SampleSources
 from shelfline.sources.schemas import FOLDERS, RAW_COLUMNS
 from shelfline.sources.staging import shared_folder
 
 from .conftest import SAMPLE, plan_of, rows_of
 from .fixtures import natural
 
+SAMPLE_BOUNDS = CalendarBounds(date(1995, 1, 1), date(2001, 12, 31))
+
 
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):

@@ -1,3 +1,4 @@
+import math
 from datetime import date
 
 import pytest
@@ -15,7 +16,9 @@ from shelfline.functions import (
     portable_round,
     season_of,
 )
-from shelfline.operators.dims import CalendarBounds, dim_date
+from shelfline.operators.dims import CalendarBounds, dim_date, dim_date_of
+
+from .conftest import rows_of
 
 
 @pytest.mark.parametrize(
@@ -86,10 +89,36 @@ def test_exact_avg_leaves_nulls_out(spark):
     assert df.agg(exact_avg("x").alias("a")).first().a == 1.75
 
 
-def test_amount_that_is_no_number_fails(spark):
-    df = spark.createDataFrame([(float("nan"),)], "x DOUBLE").agg(exact_sum("x"))
-    with pytest.raises(Exception, match="CAST_OVERFLOW"):
-        df.collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_cut_nothing_and_propagate_what_is_no_number(spark, settings, ansi):
+    settings(ansi__enabled=ansi)
+    nan, inf = float("nan"), float("inf")
+
+    def of(*amounts):
+        df = spark.createDataFrame([(x,) for x in amounts], "x DOUBLE")
+        (row,) = df.agg(exact_sum("x").alias("s"), exact_avg("x").alias("m")).collect()
+        return row.s, row.m
+
+    assert of(*[0.00004] * 1000) == (pytest.approx(0.04), pytest.approx(0.00004))
+    assert all(math.isnan(x) for x in of(5.0, nan))
+    assert of(5.0, inf) == (inf, inf)
+    assert of(1e16, 5.0)[0] == pytest.approx(1e16)
+    assert of(*[9e14] * 3) == (2.7e15, 9e14)
+    assert of(None, 0.1, 0.2) == (0.3, 0.15)
+    assert of(None) == (None, None) and of() == (None, None)
+
+
+def test_calendar_of_the_sales(spark):
+    df = spark.createDataFrame([(date(2023, 3, 5),), (date(2024, 2, 29),), (None,)], "d DATE")
+    assert rows_of(dim_date_of(df, "d")) == rows_of(dim_date(spark, CalendarBounds(date(2023, 1, 1), date(2024, 12, 31))))
+    assert dim_date_of(df.filter("d IS NULL"), "d").count() == 0
+
+
+def test_adoption_of_an_unknown_launch_is_unknown(spark):
+    df = spark.createDataFrame([(date(2023, 3, 5), None), (date(2023, 3, 5), date(2023, 3, 1))], "day DATE, launch DATE")
+    found = demand_columns(df, "day", "launch", 2023).collect()
+    assert (found[0].adoption_factor, found[0].demand_index) == (None, None)
+    assert found[1].adoption_factor is not None
 
 
 def test_calendar(spark):

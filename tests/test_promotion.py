@@ -151,3 +151,19 @@ def test_mart_is_the_same_from_facts_and_from_clean_tables(spark):
     d = s.dimensions("product", "store", "promotion")
     from_facts = promotion.promotion_mart(facts.fact_pos_sales(s.typed("pos_sales"), d), d)
     assert rows_of(from_facts) == rows_of(QUERIES["promotion_mart"](spark, SAMPLE))
+
+
+@pytest.mark.parametrize("copies", [30, 31, 35, 60])
+def test_promotions_that_are_alike_all_count(spark, copies):
+    promos = [("A", "P", FIRST + DAY, FIRST + 2 * DAY, "display", 5.0)] * copies
+    sales = [(FIRST + i * DAY, "S", "P", 1, 10.0 + i) for i in range(4)]
+    found = mart(spark, sales, promos)
+    assert found.filter(found.on_promotion == 1).count() == 2 * copies
+    assert_same(found, brute_force(sales, promos))
+
+
+def test_full_days_of_two_versions_of_a_product(spark):
+    product = products(spark, ("P", "BrandA", date(2022, 1, 1), 0), ("P", None, date(2022, 2, 1), 0))
+    promos = promotions(spark, *[("A", "P", FIRST, FIRST, "display", 5.0)] * 35)
+    found = promotion.promotion_mart(pos_sales(spark, (FIRST, "S", "P", 1, 10.0)), natural(spark, product, promotion=promos))
+    assert sorted(r.brand or "" for r in found.collect()) == [""] * 35 + ["BrandA"] * 35
