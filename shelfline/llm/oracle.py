@@ -29,11 +29,11 @@ FROM m
 
 _OP8 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS ints
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS ints
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.ints, c.ints), z -> z[1] * z[2]))::BIGINT AS score
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.ints, c.ints), lambda z: z[1] * z[2]))::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
