@@ -25,6 +25,11 @@ def date_key(day: Column) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
+def year_of(key: Column) -> Column:
+    """The year of a date_key."""
+    return F.floor(key / 10000).cast("int")
+
+
 def season_of(day: Column) -> Column:
     tag = F.lit(fixed.SEASON_OTHERWISE)
     for name, months in fixed.SEASONS.items():

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 
 def with_date(rows: DataFrame, dim_date: DataFrame, *attributes: str) -> DataFrame:
+    """``rows`` with attributes of their day. An equally named column, as the year of a stored fact, is replaced."""
     key = "date_key" if "date_key" in rows.columns else "date"
+    rows = rows.drop(*(name for name in attributes if name != key))
     return rows.join(F.broadcast(dim_date.select(key, *attributes)), key)
 
 

@@ -1,4 +1,4 @@
-"""The daily batch: raw CSV, clean tables, star schema, marts. Every stage overwrites its tables.
+"""The daily batch: raw CSV, clean tables, star schema, marts. Every stage replaces its tables.
 
     python -m shelfline.plans.batch RAW CLEAN WAREHOUSE [--start 2023-01-01 --end 2025-12-31]
 
@@ -10,12 +10,15 @@ import json
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..operators import dims, facts, innovation, promotion, sales, views
+from ..functions.scalars import year_of
+from ..operators import cards, dims, facts, innovation, promotion, sales, views
 from ..operators.clean import CLEAN_SPECS, clean_table
 from ..sources.lake import read_clean, read_raw, read_table, write_table
 from ..sources.schemas import FOLDERS
+from ..sources.staging import own_staging
 
 FACTS = {
     "fact_sellin": ("sellin", facts.fact_sellin),
@@ -26,6 +29,20 @@ FACTS = {
 }
 DIMENSIONS = ("dim_date", "dim_product", "dim_distributor", "dim_store", "dim_promotion")
 MARTS = ("sales_mart", "promotion_mart", "innovation_mart")
+CARDS = {
+    "sales_mart": (
+        cards.card_monthly_revenue_by_channel,
+        cards.card_si_vs_so_summary,
+        cards.card_sales_by_region,
+        cards.card_top_brands,
+    ),
+    "promotion_mart": (
+        cards.card_promo_uplift_by_type,
+        cards.card_promo_vs_nonpromo,
+        cards.card_top_promoted_products,
+    ),
+    "innovation_mart": (cards.card_adoption_curve, cards.card_innovation_by_brand, cards.card_cohort_revenue),
+}
 
 
 def build_clean(spark: SparkSession, raw_base: str, clean_base: str) -> dict[str, int]:
@@ -45,37 +62,52 @@ def build_warehouse(
     def clean(table: str) -> DataFrame:
         return read_clean(spark, clean_base, table)
 
-    dimensions = {
-        "dim_date": dims.dim_date(spark, bounds),
-        "dim_product": dims.dim_product(clean("product_master")),
-        "dim_distributor": dims.dim_distributor(clean("distributor_master")),
-        "dim_store": dims.dim_store(clean("store_master"), clean("retailer_master")),
-        "dim_promotion": dims.dim_promotion(clean("promotions")),
-    }
-    rows = {name: write_table(df, f"{base}/{name}") for name, df in dimensions.items()}
+    with own_staging(spark, base):
+        dimensions = {
+            "dim_date": dims.dim_date(spark, bounds),
+            "dim_product": dims.dim_product(clean("product_master")),
+            "dim_distributor": dims.dim_distributor(clean("distributor_master")),
+            "dim_store": dims.dim_store(clean("store_master"), clean("retailer_master")),
+            "dim_promotion": dims.dim_promotion(clean("promotions")),
+        }
+        rows = {name: write_table(df, f"{base}/{name}") for name, df in dimensions.items()}
     written = read_dimensions(spark, base)
     for name, (source, build) in FACTS.items():
-        rows[name] = write_table(build(clean(source), written), f"{base}/{name}")
+        fact = build(clean(source), written).withColumn("year", year_of(F.col("date_key")))
+        rows[name] = write_table(fact, f"{base}/{name}", partition_by=["year"])
     return rows
 
 
-def build_marts(spark: SparkSession, base: str) -> dict[str, int]:
-    fact = {name: read_table(spark, base, name) for name in FACTS}
+def build_marts(spark: SparkSession, clean_base: str, base: str) -> dict[str, int]:
+    """The sales mart from clean tables, since facts would be joined to the same dimensions a second time.
+
+    The other two marts show no store, but leave out sales at stores that are unknown, as the facts do; so they start
+    from the facts, whose daily sums meet few dimensions. Reports choose or group by year, so the marts are kept by
+    year, and a report on one year reads only that one.
+    """
+    sellin, sellout, pos, ecommerce = (
+        read_clean(spark, clean_base, name) for name in ("sellin", "sellout", "pos_sales", "ecommerce_orders")
+    )
+    fact_pos, fact_sellout = (read_table(spark, base, name) for name in ("fact_pos_sales", "fact_sellout"))
     d = read_dimensions(spark, base)
-    pos, sellout = fact["fact_pos_sales"], fact["fact_sellout"]
-    mart = sales.sales_mart(fact["fact_sellin"], sellout, pos, fact["fact_ecommerce_sales"], d)
-    return {
-        # Reports choose or group by year, so a report on one year reads only that year.
-        "sales_mart": write_table(mart, f"{base}/sales_mart", partition_by=["year"]),
-        "promotion_mart": write_table(promotion.promotion_mart(pos, d), f"{base}/promotion_mart"),
-        "innovation_mart": write_table(innovation.innovation_mart(pos, sellout, d), f"{base}/innovation_mart"),
-    }
+    with own_staging(spark, base):
+        marts = {
+            "sales_mart": sales.sales_mart(sellin, sellout, pos, ecommerce, d),
+            "promotion_mart": promotion.promotion_mart(fact_pos, d).withColumn("year", F.year("date")),
+            "innovation_mart": innovation.innovation_mart(fact_pos, fact_sellout, d).withColumn("year", F.year("date")),
+        }
+        return {name: write_table(df, f"{base}/{name}", partition_by=["year"]) for name, df in marts.items()}
 
 
 def register_views(spark: SparkSession, base: str) -> None:
-    """Make all tables and the five reporting views known to ``spark.sql``. Views are computed when queried."""
+    """Make all tables, the five reporting views and the eleven cards known to ``spark.sql``.
+
+    Views are computed when queried. They belong to the session, and any session that can read ``base`` can have
+    them: nothing but the tables is needed.
+    """
     for name in (*DIMENSIONS, *FACTS, *MARTS):
         read_table(spark, base, name).createOrReplaceTempView(name)
+    d = read_dimensions(spark, base)
     sales_mart, promotion_mart, innovation_mart = (spark.table(name) for name in MARTS)
     reports = {
         "v_monthly_sales": views.v_monthly_sales(sales_mart),
@@ -83,6 +115,8 @@ def register_views(spark: SparkSession, base: str) -> None:
         "v_innovation_cohort": views.v_innovation_cohort(innovation_mart),
         "v_promotion_effectiveness": views.v_promotion_effectiveness(promotion_mart, spark.table("dim_product")),
         "v_regional_performance": views.v_regional_performance(sales_mart),
+        "card_ecommerce_by_platform": cards.card_ecommerce_by_platform(spark.table("fact_ecommerce_sales"), d),
+        **{card.__name__: card(spark.table(mart)) for mart, of_mart in CARDS.items() for card in of_mart},
     }
     for name, df in reports.items():
         df.createOrReplaceTempView(name)
@@ -99,7 +133,7 @@ def main() -> None:
     spark = SparkSession.builder.appName("shelfline-batch").getOrCreate()
     rows = build_clean(spark, args.raw, args.clean)
     rows |= build_warehouse(spark, args.clean, args.warehouse, dims.CalendarBounds(args.start, args.end))
-    rows |= build_marts(spark, args.warehouse)
+    rows |= build_marts(spark, args.clean, args.warehouse)
     print(json.dumps(rows, indent=1))
 
 

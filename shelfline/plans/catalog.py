@@ -9,6 +9,7 @@ from ..functions import demand_columns
 from ..operators import adhoc, cards, clean, dims, facts, innovation, promotion, sales, views
 from ..operators.keys import dense_key
 from ..sources.sample_sources import SampleSources
+from ..sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,7 +44,9 @@ def _promotion_effectiveness(s: SampleSources) -> DataFrame:
 
 
 def _row_count_audit(s: SampleSources) -> DataFrame:
-    """Row counts of the warehouse: the marts are built from the fact tables here, on surrogate keys."""
+    """Row counts of the warehouse. The marts are built from the fact tables here, on surrogate keys, and each fact
+    is written once, so that no count and no mart computes it again.
+    """
     d = s.dimensions("product", "distributor", "store", "promotion")
     fact = {
         "fact_sellin": facts.fact_sellin(s.typed("sellin"), d),
@@ -52,6 +55,7 @@ def _row_count_audit(s: SampleSources) -> DataFrame:
         "fact_ecommerce_sales": facts.fact_ecommerce_sales(s.typed("ecommerce_orders"), d),
         "fact_inventory": facts.fact_inventory(s.typed("inventory"), d),
     }
+    fact = {name: stage(df, name) for name, df in fact.items()}
     pos, sellout = fact["fact_pos_sales"], fact["fact_sellout"]
     return adhoc.row_count_audit(
         {

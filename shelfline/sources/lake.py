@@ -1,13 +1,19 @@
-"""Raw CSV in, Parquet tables in and out."""
+"""Raw CSV in, Parquet tables in and out.
+
+A table is a folder of versions. A version counts from the moment its ``_SUCCESS`` file is there, which Spark writes
+last, so a table is replaced as a whole or, if the job fails, not at all.
+"""
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import normalize_columns
-from .schemas import FOLDERS, RAW_COLUMNS
+from .files import delete, exists, folders_in
+from .schemas import COLUMN_ORDER, FOLDERS, RAW_COLUMNS
 
 
 def read_raw(spark: SparkSession, raw_base: str, table: str) -> DataFrame:
@@ -29,21 +35,39 @@ def read_raw(spark: SparkSession, raw_base: str, table: str) -> DataFrame:
 
 
 def read_clean(spark: SparkSession, clean_base: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{clean_base}/{FOLDERS[table]}")
+    return read_table(spark, clean_base, FOLDERS[table])
 
 
 def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{table}")
+    """The newest complete version of a table, its columns in the declared order."""
+    path = f"{base}/{table}"
+    versions = _complete(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"{path} holds no complete table")
+    df = spark.read.parquet(f"{path}/{versions[-1]}")
+    return df.select(*COLUMN_ORDER[table]) if table in COLUMN_ORDER else df
+
+
+def _complete(spark: SparkSession, path: str) -> list[str]:
+    return [name for name in folders_in(spark, path) if exists(spark, f"{path}/{name}/_SUCCESS")]
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Overwrite the Parquet table at ``path`` and return the number of rows written.
+    """Replace the Parquet table at ``path`` and return the number of rows written, counted during the write.
 
-    Tasks write their rows where they are, one file per value of ``partition_by`` that they hold, so that column
-    should have few values. Bringing each value together first would shuffle the whole table. The count is taken
-    during the write, not by a second query.
+    The table that was there stays readable until the new one is complete, and one version longer for queries that
+    run at that moment; older versions and the rests of failed writes go. One write at a time may run on a table.
+    With ``partition_by``, rows of a value are brought together, so that there are few files; a value that holds
+    much of the table is split over several tasks by adaptive execution.
     """
+    spark = df.sparkSession
+    before = folders_in(spark, path)
+    number = int(before[-1].split("-")[0]) + 1 if before else 1
     written = Observation()
-    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
+    rows.write.partitionBy(*partition_by).parquet(f"{path}/{number:010d}-{uuid4().hex}")
+    for name in set(before) - set(_complete(spark, path)[-2:]):
+        delete(spark, f"{path}/{name}")
     return written.get["rows"]

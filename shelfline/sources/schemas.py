@@ -1,4 +1,7 @@
-"""Columns of the thirteen source tables, by source system. In the raw layer every column is a string."""
+"""Columns of the thirteen source tables, by source system. In the raw layer every column is a string.
+
+These names are fixed values: the files of the source systems carry them.
+"""
 
 RAW_COLUMNS: dict[str, tuple[str, ...]] = {
     "erp/product_master": (
@@ -23,3 +26,11 @@ RAW_COLUMNS: dict[str, tuple[str, ...]] = {
 
 # Folder of each table: "sellin" is kept under "erp/sellin".
 FOLDERS: dict[str, str] = {path.split("/")[1]: path for path in RAW_COLUMNS}
+
+# Columns of tables whose partition column does not stand last. Parquet puts it there.
+COLUMN_ORDER: dict[str, tuple[str, ...]] = {
+    "sales_mart": (
+        "date", "year", "quarter", "month", "season", "channel", "brand", "category", "sub_category", "product_name",
+        "pack_size", "region", "province", "store_type", "qty", "revenue", "gross_sales", "discount",
+    ),
+}

@@ -1,22 +1,41 @@
-"""Intermediate tables in the folder that the cluster shares for checkpoints."""
+"""Intermediate tables, in a folder that all executors share."""
 
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import delete
+
+#: Session setting that names the folder for staged tables.
+STAGING_DIR = "shelfline.staging.dir"
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder. Only a local session without one gets a folder of its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-            folder = tempfile.mkdtemp(prefix="shelfline-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    """The folder that STAGING_DIR names; without it the checkpoint folder, without that one in the warehouse."""
+    return (
+        spark.conf.get(STAGING_DIR, None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
+    )
+
+
+@contextmanager
+def own_staging(spark: SparkSession, base: str) -> Iterator[str]:
+    """Tables staged meanwhile go to a new folder in ``base``, which is deleted at the end, also after a failure."""
+    before = spark.conf.get(STAGING_DIR, None)
+    folder = f"{base}/_staging-{uuid4().hex}"
+    spark.conf.set(STAGING_DIR, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(STAGING_DIR)
+        else:
+            spark.conf.set(STAGING_DIR, before)
+        delete(spark, folder)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

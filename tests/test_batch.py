@@ -1,15 +1,18 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from shelfline.operators import clean, sales
+from shelfline.operators import clean, innovation, promotion, sales
 from shelfline.operators.adhoc import row_count_audit
 from shelfline.operators.dims import CalendarBounds
 from shelfline.plans import batch
+from shelfline.plans.catalog import QUERIES
 from shelfline.sources.lake import read_clean, read_raw, read_table, write_table
 from shelfline.sources.sample_sources import SampleSources
 from shelfline.sources.schemas import FOLDERS, RAW_COLUMNS
-from shelfline.sources.staging import shared_folder
+from shelfline.sources.staging import own_staging, shared_folder, stage
 
 from .conftest import SAMPLE, plan_of, rows_of
 from .fixtures import natural
@@ -27,7 +30,7 @@ def built(spark, tmp_path_factory):
         writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{raw}/{path}.csv")
     rows = batch.build_clean(spark, raw, cleaned)
     rows |= batch.build_warehouse(spark, cleaned, warehouse, SAMPLE_BOUNDS)
-    rows |= batch.build_marts(spark, warehouse)
+    rows |= batch.build_marts(spark, cleaned, warehouse)
     return raw, cleaned, warehouse, rows
 
 
@@ -59,7 +62,8 @@ def test_mart_equals_the_one_from_the_clean_tables(spark, built):
         bounds=SAMPLE_BOUNDS,
     )
     direct = sales.sales_mart(table["sellin"], table["sellout"], table["pos_sales"], table["ecommerce_orders"], dims)
-    written = read_table(spark, warehouse, "sales_mart").select(direct.columns)
+    written = read_table(spark, warehouse, "sales_mart")
+    assert written.columns == direct.columns
     assert rows_of(written) == rows_of(direct)
 
 
@@ -76,12 +80,70 @@ def test_a_report_on_one_year_reads_that_year(spark, built):
     batch.register_views(spark, built[2])
     plan = plan_of(spark.sql("SELECT * FROM v_regional_performance WHERE year = 1998"))
     assert "PartitionFilters: [isnotnull(year" in plan and "= 1998)" in plan
+    for name in (*batch.FACTS, "promotion_mart", "innovation_mart"):
+        plan = plan_of(spark.sql(f"SELECT * FROM {name} WHERE year = 1998"))
+        assert "PartitionFilters: [isnotnull(year" in plan and "= 1998)" in plan, name
+
+
+def test_facts_have_the_year_of_their_day(spark, built):
+    days = read_table(spark, built[2], "dim_date").select("date_key", F.col("year").alias("of_day"))
+    for name in batch.FACTS:
+        assert read_table(spark, built[2], name).join(days, "date_key").filter("year != of_day").isEmpty()
+
+
+def test_marts_equal_those_from_the_stored_facts(spark, built):
+    d = batch.read_dimensions(spark, built[2])
+    fact = {name: read_table(spark, built[2], name) for name in batch.FACTS}
+    pos, sellout = fact["fact_pos_sales"], fact["fact_sellout"]
+    from_facts = {
+        "sales_mart": sales.sales_mart(fact["fact_sellin"], sellout, pos, fact["fact_ecommerce_sales"], d),
+        "promotion_mart": promotion.promotion_mart(pos, d),
+        "innovation_mart": innovation.innovation_mart(pos, sellout, d),
+    }
+    for name, df in from_facts.items():
+        assert rows_of(read_table(spark, built[2], name).select(df.columns)) == rows_of(df), name
+
+
+def test_cards_can_be_queried_in_another_session(spark, built):
+    other = spark.newSession()
+    batch.register_views(other, built[2])
+    cards = [name for name in QUERIES if name.startswith("card_")]
+    assert len(cards) == 11
+    assert all(not other.table(name).isEmpty() for name in cards)
+
+
+def test_nothing_staged_remains(built):
+    assert not [path for path in Path(built[2]).iterdir() if path.name.startswith("_")]
+
+
+def test_failed_write_leaves_the_old_table(spark, tmp_path):
+    write_table(spark.range(10), str(tmp_path / "t"))
+    failing = spark.range(100).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("stop"))).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        write_table(failing, str(tmp_path / "t"))
+    assert read_table(spark, str(tmp_path), "t").count() == 10
+    assert write_table(spark.range(5), str(tmp_path / "t")) == 5
+    assert read_table(spark, str(tmp_path), "t").count() == 5
+    assert write_table(spark.range(6), str(tmp_path / "t")) == 6
+    assert len(list((tmp_path / "t").iterdir())) == 2
+
+
+def test_reader_of_the_version_before_is_not_disturbed(spark, tmp_path):
+    write_table(spark.range(10), str(tmp_path / "t"))
+    old = read_table(spark, str(tmp_path), "t")
+    write_table(spark.range(5), str(tmp_path / "t"))
+    assert old.count() == 10
+
+
+def test_no_table(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, str(tmp_path), "t")
 
 
 def test_building_again_replaces_the_tables(spark, built):
     _, cleaned, warehouse, rows = built
     again = batch.build_warehouse(spark, cleaned, warehouse, SAMPLE_BOUNDS)
-    again |= batch.build_marts(spark, warehouse)
+    again |= batch.build_marts(spark, cleaned, warehouse)
     assert again == {name: rows[name] for name in again}
 
 
@@ -113,8 +175,17 @@ def test_raw_files_with_different_headers_are_refused(spark, tmp_path):
 def test_hot_value_of_the_partition_column_is_written_whole(spark, tmp_path):
     df = spark.range(1000).selectExpr("id", "IF(id % 3 = 0, 7, id % 50) AS year")
     assert write_table(df, str(tmp_path / "t"), ["year"]) == 1000
-    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "t")).collect()) == list(range(1000))
+    assert sorted(r.id for r in read_table(spark, str(tmp_path), "t").collect()) == list(range(1000))
 
 
 def test_shared_folder_is_the_one_of_the_session(spark):
     assert shared_folder(spark).removeprefix("file:").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_own_staging_is_deleted_also_after_a_failure(spark, tmp_path):
+    before = shared_folder(spark)
+    with pytest.raises(KeyError), own_staging(spark, str(tmp_path)) as folder:
+        assert shared_folder(spark) == folder
+        assert stage(spark.range(3), "x").count() == 3 and list(tmp_path.iterdir())
+        raise KeyError
+    assert not list(tmp_path.iterdir()) and shared_folder(spark) == before
