@@ -16,6 +16,9 @@ FIT_STEPS = 200
 #: Marginal probability from which a mention counts, and rounds of message passing.
 SURE = 0.9
 ROUNDS = 12
+#: Mentions of as many documents as are inferred together, and messages that are computed at once.
+_NODES_AT_ONCE = 20_000
+_MESSAGES_AT_ONCE = 1 << 16
 
 # The patterns of the four kinds, fixed by the contract of the query.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -215,16 +218,18 @@ def marginals(g: Graph, field: Field, clamp: bool = True, rounds: int = ROUNDS)
     both = [np.concatenate([e, e[:, ::-1]]) for e in (g.chain, g.skip)]
     senders, receivers = (np.concatenate([e[:, i] for e in both]) for i in (0, 1))
     half = [len(g.chain), len(g.skip)]
-    tables = np.concatenate(
-        [np.broadcast_to(t, (h, LABELS, LABELS)) for w, h in zip((field.chain, field.skip), half) for t in (w, w.T)] or [np.zeros((0, LABELS, LABELS))]
-    )
+    tables = np.stack([t for w in (field.chain, field.skip) for t in (w, w.T)])
+    table = np.repeat(np.arange(4), np.repeat(half, 2))
     back = np.concatenate([np.r_[h : 2 * h, 0:h] + o for h, o in zip(half, (0, 2 * half[0]))]).astype(int)
     message = np.zeros((len(senders), LABELS))
     for _ in range(rounds if len(senders) else 0):
         belief = scores.copy()
         np.add.at(belief, receivers, message)
-        cavity = belief[senders] - message[back]
-        new = _log_sum(cavity[:, :, None] + tables, axis=1)
+        new = np.empty_like(message)
+        for start in range(0, len(senders), _MESSAGES_AT_ONCE):
+            part = slice(start, start + _MESSAGES_AT_ONCE)
+            cavity = belief[senders[part]] - message[back[part]]
+            new[part] = _log_sum(cavity[:, :, None] + tables[table[part]], axis=1)
         new -= _log_sum(new, axis=1)[:, None]
         message = 0.5 * message + 0.5 * new
     belief = scores.copy()
@@ -328,20 +333,29 @@ def fit(docs: DataFrame, text: str = "text", fit_rows: int = FIT_ROWS) -> Field:
 def find_spans(texts: Sequence[str | None], field: Field) -> list[tuple[list[Span], list[Span]]]:
     """For every text its base spans and all spans, both by kind and start."""
     base = [base_spans(t) for t in texts]
-    nodes = [mentions(t, b) for t, b in zip(texts, base)]
-    # A document whose mentions all have labels has nothing left to infer.
-    open_ones = [i for i, ms in enumerate(nodes) if any(m.kind == 0 for m in ms)]
     found = [list(b) for b in base]
-    if open_ones:
-        g = graph([nodes[i] for i in open_ones])
-        sure = marginals(g, field)
-        at = 0
-        for i in open_ones:
-            for m in nodes[i]:
-                label = int(sure[at].argmax())
-                if m.kind == 0 and label and sure[at, label] >= SURE:
-                    found[i].append(Span(label - 1, m.start, m.end))
-                at += 1
+    held: list[tuple[int, list[Mention]]] = []
+
+    def infer() -> None:
+        sure = marginals(graph([nodes for _, nodes in held]), field)
+        for (i, m), p in zip(((i, m) for i, nodes in held for m in nodes), sure):
+            label = int(p.argmax())
+            if m.kind == 0 and label and p[label] >= SURE:
+                found[i].append(Span(label - 1, m.start, m.end))
+        held.clear()
+
+    n_held = 0
+    for i, t in enumerate(texts):
+        nodes = mentions(t, base[i])
+        # A document whose mentions all have labels has nothing left to infer.
+        if any(m.kind == 0 for m in nodes):
+            held.append((i, nodes))
+            n_held += len(nodes)
+        if n_held >= _NODES_AT_ONCE:
+            infer()
+            n_held = 0
+    if held:
+        infer()
     return [(b, sorted(f)) for b, f in zip(base, found)]
 
 

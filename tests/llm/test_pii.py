@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 
+from shelfline.llm import pii
 from shelfline.llm.pii import (
     KINDS, LABELS, Field, Mention, base_spans, edges, find_personal_data, find_spans, fit, fit_field, graph, luhn, marginals, masked,
 )
@@ -118,3 +119,13 @@ def test_columns_rows_and_empty_tables(spark):
     assert [r.masked_text for r in found[:3]] == ["[EMAIL]", "[EMAIL]", ""]
     assert find_personal_data(df.filter("false"), nothing).collect() == []
     assert fit(df.filter("false")).unary.any() == 0
+
+
+def test_spans_do_not_depend_on_what_is_inferred_together(monkeypatch):
+    texts = [f"call +1 415 555 {n:04d} or 415-555-{n:04d}, mail a{n}@b.org, a{n} (at) b.org, order {n * 7919}" for n in range(40)]
+    field = pii.fit_field(texts)
+    together = pii.find_spans([*texts, None, " ".join(texts)], field)
+    monkeypatch.setattr(pii, "_NODES_AT_ONCE", 5)
+    monkeypatch.setattr(pii, "_MESSAGES_AT_ONCE", 3)
+    assert pii.find_spans([*texts, None, " ".join(texts)], field) == together
+    assert any(len(found) > len(base) for base, found in together)
