@@ -23,6 +23,17 @@ _ROWS_AT_ONCE = 500
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _SPACES = re.compile(f"[{_SPACE}]+")
 _ODD_SPACE = re.compile("[\\x1c-\\x1f]")
+# Letters and numbers, by first and last code point, that are younger than the Unicode tables of the
+# tokenizers library, which therefore takes them for neither.
+_YOUNG = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CF A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB "
+    "11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 "
+    "191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED "
+    "1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+)
+# Young capitals that the library lower-cases, whether or not this Python knows them.
+_CAPITALS = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+_CAPITALS |= {c: c + 32 for c in range(0x10D50, 0x10D66)} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
 
 
 def byte_letters() -> list[str]:
@@ -79,6 +90,14 @@ class Vocabulary:
         self.special: dict[str, int] = {x["content"]: x["id"] for x in spec["added_tokens"]}
 
 
+def word_pattern(pattern: str) -> regex.Pattern:
+    """The file's pattern of words with the library's white space, letters and numbers."""
+    young = "".join("-".join(f"\\U{int(c, 16):08X}" for c in span.split("-")) for span in _YOUNG.split())
+    for kind in (r"\p{L}", r"\p{N}"):
+        pattern = pattern.replace(kind, f"[{kind}--[{young}]]")
+    return regex.compile(pattern.replace("\\s", _SPACE), regex.V1)
+
+
 class _Pieces(dict):
     """Ids of a piece of text without white space, made when it is first asked for."""
 
@@ -102,7 +121,9 @@ class Codec:
         self.inner = [ids[c] for c in letters]
         self.last = [ids[c + suffix] for c in letters]
         self.ranks = {ids[a] << 20 | ids[b]: (rank, ids[a + b]) for rank, (a, b) in enumerate(vocabulary.merges)}
-        self.words = regex.compile(vocabulary.pattern.replace("\\s", _SPACE))
+        self.words = word_pattern(vocabulary.pattern)
+        # The same for ASCII, and faster.
+        self.ascii_words = regex.compile(vocabulary.pattern.replace("\\s", _SPACE))
         self.special = vocabulary.special
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special))) + ")") if vocabulary.special else None
         self.strings = [""] * (max(*ids.values(), *vocabulary.special.values()) + 1)
@@ -124,7 +145,8 @@ class Codec:
                 continue
             # Letter by letter: a sigma at the end of a word has no form of its own here.
             lower = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for word in self.words.findall(lower):
+            words = self.ascii_words.findall(lower) if lower.isascii() else self.words.findall(lower.translate(_CAPITALS))
+            for word in words:
                 found.extend(self.of_word[word])
         return tuple(found)
 

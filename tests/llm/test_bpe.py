@@ -51,6 +51,15 @@ def test_random_texts_against_the_library(library, codec):
         assert (codec.encode(text), codec.decode(codec.encode(text))) == (ids, decoded), repr(text)
 
 
+def test_every_code_point_against_the_library(codec):
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = [f"?a{chr(i)}b?{chr(i)}?" for i in range(0x110000) if not 0xD800 <= i < 0xE000 and i < 0xF0000]
+    for start in range(0, len(texts), 20_000):
+        part = texts[start : start + 20_000]
+        for text, found in zip(part, tokenizer.encode_batch(part, add_special_tokens=False)):
+            assert codec.encode(text) == found.ids, ascii(text)
+
+
 def test_merge_against_plain_search():
     draw = random.Random(1)
     for _ in range(300):
