@@ -13,9 +13,11 @@ KINDS = ("email", "ip", "card", "phone")
 #: Expected number of documents the field is fitted on; they are drawn by a hash of the text.
 FIT_ROWS = 4_000
 FIT_STEPS = 200
-#: Marginal probability from which a mention counts, and rounds of message passing.
+#: Marginal probability from which a mention counts.
 SURE = 0.9
-ROUNDS = 12
+#: Messages that change by less have settled. Rounds without a new least change after which steps are halved.
+STILL = 1e-4
+_PATIENCE = 50
 #: Mentions of as many documents as are inferred together, and messages that are computed at once.
 _NODES_AT_ONCE = 20_000
 _MESSAGES_AT_ONCE = 1 << 16
@@ -150,23 +152,55 @@ class Field(NamedTuple):
 LABELS = 1 + len(KINDS)
 
 
+def _endings(nodes: Sequence[Mention]) -> dict[str, list[str]]:
+    """For every key of seven or more figures the other ones among the keys that end it, shortest first."""
+    found, ending = {}, []
+    for back in sorted({m.key[::-1] for m in nodes if m.key.isdigit() and len(m.key) >= 7}):
+        while ending and not back.startswith(ending[-1][::-1]):
+            ending.pop()
+        key = back[::-1]
+        found[key] = list(ending)
+        ending.append(key)
+    return found
+
+
 def edges(nodes: Sequence[Mention]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges between neighbours, and skip edges from a mention to the next one that is similar.
+    """Chain edges between neighbours, and skip edges between mentions that are similar.
 
     Mentions are similar if they have the same key, or one has seven or more figures that end the other's.
-    Each is linked with the nearest later similar one of a kind, so there are at most two a mention, however
-    often it is repeated.
+    Each is linked with the one of the same key before it, and with the last one of every other similar key
+    since then, whatever else has the same last figures. One that no pattern labels is also linked directly
+    with a similar one of every label that a pattern gives. So the edges grow with the mentions, times the
+    number of keys that end one another, however often one is repeated.
     """
     chain = [(i, i + 1) for i in range(len(nodes) - 1)]
-    skip, last = [], {}
+    endings = _endings(nodes)
+    skip: set[tuple[int, int]] = set()
+    last: dict[str, int] = {}
+    longer: dict[str, dict[str, int]] = {}  # by key, mentions of longer similar keys since its last mention
+    known: dict[str, dict[int, int]] = {}  # by key and label, its first mention with that label
+    known_longer: dict[str, dict[int, int]] = {}
+    for i, m in enumerate(nodes):
+        own = last.get(m.key, -1)
+        partners = [own] if own >= 0 else []
+        partners += longer.pop(m.key, {}).values()
+        for key in endings.get(m.key, ()):
+            if last.get(key, -1) > own:
+                partners.append(last[key])
+            longer.setdefault(key, {})[m.key] = i
+            if m.kind:
+                known_longer.setdefault(key, {}).setdefault(m.kind, i)
+        skip.update((j, i) for j in partners)
+        last[m.key] = i
+        if m.kind:
+            known.setdefault(m.key, {}).setdefault(m.kind, i)
     for i, m in enumerate(nodes):
-        tail = m.key[-7:] if m.key.isdigit() and len(m.key) >= 7 else None
-        for name in {("key", m.key), ("tail", tail)} if tail else {("key", m.key)}:
-            j = last.get(name)
-            if j is not None and (name[0] == "key" or nodes[j].key.endswith(m.key) or m.key.endswith(nodes[j].key)):
-                skip.append((j, i))
-            last[name] = i
-    return chain, sorted(set(skip))
+        if not m.kind:
+            labelled: dict[int, int] = {}
+            for found in (known.get(m.key), *(known.get(key) for key in reversed(endings.get(m.key, ()))), known_longer.get(m.key)):
+                labelled = (found or {}) | labelled
+            skip.update((min(i, j), max(i, j)) for j in labelled.values())
+    return chain, sorted(skip)
 
 
 class Graph(NamedTuple):
@@ -177,20 +211,22 @@ class Graph(NamedTuple):
     known: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    document: np.ndarray
 
 
 def graph(documents: Sequence[Sequence[Mention]]) -> Graph:
-    features, known, chains, skips, n = [], [], [], [], 0
-    for nodes in documents:
+    features, known, chains, skips, document, n = [], [], [], [], [], 0
+    for k, nodes in enumerate(documents):
         chain, skip = edges(nodes)
         chains += [(a + n, b + n) for a, b in chain]
         skips += [(a + n, b + n) for a, b in skip]
         for m in nodes:
             features += [(n, f) for f in m.features]
             known.append(m.kind)
+            document.append(k)
             n += 1
     pairs = lambda x: np.array(x, dtype=np.int64).reshape(-1, 2)
-    return Graph(pairs(features), n, np.array(known, dtype=np.int64), pairs(chains), pairs(skips))
+    return Graph(pairs(features), n, np.array(known, dtype=np.int64), pairs(chains), pairs(skips), np.array(document, dtype=np.int64))
 
 
 def _unary(g: Graph, field: Field) -> np.ndarray:
@@ -204,17 +240,18 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def marginals(g: Graph, field: Field, clamp: bool = True, rounds: int = ROUNDS) -> np.ndarray:
+def marginals(g: Graph, field: Field, clamp: bool = True, rounds: int | None = None) -> np.ndarray:
     """Label probabilities of every node by loopy message passing along chain and skip edges.
 
-    Nodes that a fixed pattern labels are clamped to that label. Messages of a round are all computed from
-    those of the round before, and damped by half.
+    Nodes that a fixed pattern labels are clamped to that label, whatever is sent to them. Messages of a round
+    are all computed from those of the round before, and damped by half. A document's messages are passed until
+    they stop changing, or for ``rounds`` if given; where they keep swinging, the steps become smaller until
+    they do stop.
     """
     scores = _unary(g, field)
-    if clamp:
-        fixed = np.flatnonzero(g.known > 0)
-        scores[fixed] = -50.0
-        scores[fixed, g.known[fixed]] = 50.0
+    fixed = (g.known > 0) & clamp
+    scores[fixed] = -50.0
+    scores[fixed, g.known[fixed]] = 50.0
     both = [np.concatenate([e, e[:, ::-1]]) for e in (g.chain, g.skip)]
     senders, receivers = (np.concatenate([e[:, i] for e in both]) for i in (0, 1))
     half = [len(g.chain), len(g.skip)]
@@ -222,16 +259,29 @@ def marginals(g: Graph, field: Field, clamp: bool = True, rounds: int = ROUNDS)
     table = np.repeat(np.arange(4), np.repeat(half, 2))
     back = np.concatenate([np.r_[h : 2 * h, 0:h] + o for h, o in zip(half, (0, 2 * half[0]))]).astype(int)
     message = np.zeros((len(senders), LABELS))
-    for _ in range(rounds if len(senders) else 0):
+    n = int(g.document.max(initial=-1)) + 1
+    step, least, stalled = np.full(n, 0.5), np.full(n, np.inf), np.zeros(n, dtype=np.int64)
+    live, done = np.flatnonzero(~fixed[receivers]), 0
+    while len(live) and (rounds is None or done < rounds):
+        home = g.document[receivers[live]]
         belief = scores.copy()
-        np.add.at(belief, receivers, message)
-        new = np.empty_like(message)
-        for start in range(0, len(senders), _MESSAGES_AT_ONCE):
-            part = slice(start, start + _MESSAGES_AT_ONCE)
+        np.add.at(belief, receivers[live], message[live])
+        change = np.zeros(n)
+        new = np.empty((len(live), LABELS))
+        for start in range(0, len(live), _MESSAGES_AT_ONCE):
+            part = live[start : start + _MESSAGES_AT_ONCE]
             cavity = belief[senders[part]] - message[back[part]]
-            new[part] = _log_sum(cavity[:, :, None] + tables[table[part]], axis=1)
+            new[start : start + len(part)] = _log_sum(cavity[:, :, None] + tables[table[part]], axis=1)
         new -= _log_sum(new, axis=1)[:, None]
-        message = 0.5 * message + 0.5 * new
+        new = (new - message[live]) * step[home][:, None]
+        message[live] += new
+        np.maximum.at(change, home, np.abs(new).max(axis=1))
+        better = change < 0.9 * least
+        least = np.where(better, change, least)
+        stalled = np.where(better, 0, stalled + 1)
+        step[stalled >= _PATIENCE] /= 2
+        stalled[stalled >= _PATIENCE] = 0
+        live, done = live[change[home] >= STILL], done + 1
     belief = scores.copy()
     np.add.at(belief, receivers, message)
     return np.exp(belief - _log_sum(belief, axis=1)[:, None])

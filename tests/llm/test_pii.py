@@ -132,3 +132,33 @@ def test_marginals_do_not_depend_on_what_is_inferred_together(monkeypatch):
     monkeypatch.setattr(pii, "_NODES_AT_ONCE", 5)
     monkeypatch.setattr(pii, "_MESSAGES_AT_ONCE", 3)
     assert find_spans(texts, field) == together
+
+
+def test_an_unrelated_number_with_the_same_tail_hides_no_repeat(field):
+    text = "call +1 415 555 1234 or +1 212 555 1234, then 415-555-1234"
+    nodes = pii.mentions(text, base_spans(text))
+    assert [m.kind for m in nodes] == [4, 4, 0] and edges(nodes)[1] == [(0, 2)]
+    assert added(field, text) == [("phone", "415-555-1234")]
+
+
+def test_every_repeat_has_the_evidence_of_its_label_however_far_it_is(field):
+    text = "Call the office at +1 (017) 555-7713 today. " + "Erhe on the, and so 017 555-7713 again in the end. " * 30
+    nodes = pii.mentions(text, base_spans(text))
+    assert {(0, i) for i in range(1, 31)} <= set(edges(nodes)[1])
+    assert added(field, text) == [("phone", "017 555-7713")] * 30
+    # Numbers that hold a repeat at their end are many, the edges still grow with the mentions.
+    keys = [f"{n:05d}5557713" if i % 2 else "5557713" for i, n in enumerate(range(2000))]
+    assert len(edges([Mention(i, i + 1, k, 4 * (i == 1), (0,)) for i, k in enumerate(keys)])[1]) < 3 * len(keys)
+    keys = ["5557713"] + [f"{n:05d}5557713" for n in range(1000)] + ["5557713"] * 1000
+    assert len(edges([Mention(i, i + 1, k, 0, (0,)) for i, k in enumerate(keys)])[1]) == 3000
+
+
+def test_messages_are_passed_until_they_stop_changing():
+    # Evidence at one end of a long chain of strong links reaches the other end, and links that never agree end as well.
+    nodes = [Mention(i, i + 1, str(i), 4 * (i == 0), (0,)) for i in range(31)]
+    field = Field(np.zeros((40, LABELS)), 6.0 * np.eye(LABELS), np.zeros((LABELS, LABELS)))
+    exact = 0.2 + 0.8 * ((np.exp(6) - 1) / (np.exp(6) + 4)) ** np.arange(31)
+    assert np.abs(marginals(graph([nodes]), field)[:, 4] - exact).max() < 1e-2
+    draw = np.random.default_rng(5)
+    swinging = Field(draw.normal(size=(40, LABELS)), -9.0 * np.eye(LABELS), -9.0 * np.eye(LABELS))
+    assert np.isfinite(marginals(graph([[Mention(i, i + 1, "5551234567", 0, (i % 40,)) for i in range(60)]]), swinging)).all()
