@@ -21,7 +21,10 @@ _ATTRIBUTE = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)\s*=\s*(?:\"([^\"]*)\"|'([
 _WORDS = re.compile(r"[a-z]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript iframe template textarea title svg math object select".split())
+#: Elements whose content is no text of the page; skipped up to their end tag.
+_RAW = frozenset("script style iframe template textarea title".split())
+#: Elements of other vocabularies: in them, any element may end itself.
+_FOREIGN = frozenset("svg math".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
@@ -29,7 +32,7 @@ _BLOCK = frozenset(
 # An opening tag of the left side closes an open one of the right side, if that is the nearest such.
 _CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = frozenset("ul ol dl table tbody thead tfoot div article section aside main nav header footer form body blockquote td th li".split())
-_TAGS = "html body article main section div aside nav header footer form p ul ol li h1 h2 h3 blockquote pre table td a b span button figure".split()
+_TAGS = "html body article main section div aside nav header footer form p ul ol li h1 h2 h3 blockquote pre table td a b span button figure svg math noscript object select".split()
 _HOLDERS = frozenset("article aside body div footer form head header html main menu nav ol section ul".split())
 #: Words of class, id and role attributes, by what they say about an element.
 _HINTS = {
@@ -69,7 +72,7 @@ def _hints(attributes: str) -> tuple[str, ...]:
 def parse(html: str | None) -> Page:
     """The page's element tree and text, as forgiving as readers of broken markup have to be.
 
-    Scripts, styles, comments and the like hold no text. Text runs with the same block number belong to one
+    Scripts, styles, titles, templates, text areas, frames and comments hold no text. Text runs with the same block number belong to one
     block: nothing that begins or ends a block lies between them. Character references are decoded.
     """
     nodes, runs = [Node(-1, "", ())], []
@@ -105,7 +108,10 @@ def parse(html: str | None) -> Page:
                 if names[-1] == name:
                     names.pop(), stack.pop()
             continue
+        ends_itself = token[3].rstrip().endswith("/")
         if name in _RAW:
+            if ends_itself and next((n in _FOREIGN for n in reversed(names) if n in _FOREIGN or n in _BLOCK), False):
+                continue
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
             at = close.end() if close else len(html)
             continue
@@ -116,6 +122,10 @@ def parse(html: str | None) -> Page:
             continue
         if name in _BLOCK:
             block += 1
+            if "select" in names:
+                # A list of options holds no blocks: one that is not ended ends here.
+                last = len(names) - 1 - names[::-1].index("select")
+                del names[last:], stack[last:]
             if "p" in names:
                 # A block ends a paragraph that is still open, and what is open in it.
                 last = len(names) - 1 - names[::-1].index("p")
@@ -127,8 +137,10 @@ def parse(html: str | None) -> Page:
                 break
             if names[k] in _SCOPES and names[k] not in _CLOSES.get(name, ()):
                 break
-        nodes.append(Node(stack[-1], name, _hints(token[3])))
-        if not token[3].rstrip().endswith("/") or name in _BLOCK:
+        # A list of options is a control like those of a form, wherever it stands.
+        hints = _hints(token[3])
+        nodes.append(Node(stack[-1], name, hints if name != "select" or "form" in hints else (*hints, "form")))
+        if not ends_itself or name in _BLOCK:
             stack.append(len(nodes) - 1)
             names.append(name)
     return Page(nodes, runs)

@@ -93,3 +93,22 @@ def test_query(spark):
     for r in op9_main_text(spark, SF).collect():
         text = article(pages[r.page_id].html)
         assert (r.url, r.text, r.n_chars) == (pages[r.page_id].url, text, len(text))
+
+
+def test_elements_of_other_vocabularies_and_fallbacks_lose_no_text(model):
+    page = "<html><body><nav><ul><li><a href=/a>Home</a></li></ul></nav>%s<article><h1>Headline</h1><p>First paragraph of it, with some words.</p>%s<p>Last paragraph of it.</p></article><footer><p>&copy; 2020</p></footer></body></html>"
+    first, last = "Headline\nFirst paragraph of it, with some words.\n", "Last paragraph of it."
+    # Nothing up to the next end tag, or the end of the page, is lost.
+    for tag in ("<svg width=3/>", "<math/>", "<svg><title/><style/><path d='M0'/></svg>", "<object data=a>", "<noscript>", "<select>"):
+        assert main_texts([page % (tag, ""), page % ("", tag)], model) == [first + last] * 2, tag
+    inside = {
+        "<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p>": "Let x=1 hold.",
+        "<object data=a><p>Shown instead of it.</p></object>": "Shown instead of it.",
+        "<noscript><p>Read without scripts.</p></noscript>": "Read without scripts.",
+        "<p>Drawn: <svg><title>no</title><path d='M0'/><text>a word</text></svg></p>": "Drawn: a word",
+        "<iframe src=x>no</iframe><template><p>no</p></template><textarea>no</textarea><p>Yes.</p>": "Yes.",
+    }
+    for html, text in inside.items():
+        assert main_texts([page % ("", html)], model) == [f"{first}{text}\n{last}"], html
+    for outside in ("<noscript><p>Please turn on scripts.</p></noscript>", "<div><select><option>German<option>English</select></div>", "<header><svg><text>Logo</text></svg></header>"):
+        assert main_texts([page % (outside, "")], model) == [first + last], outside
