@@ -114,7 +114,8 @@ def nearest(
     keys and the largest inner product with it, found among the lists nearest to it.
 
     Both tables have ``key`` and ``vector``. Vectors that are null, zero, or hold null or non-finite components
-    take no part, nor do null keys; of rows with the same key one counts. A vector shorter than others ends in
+    take no part, nor do null keys. Rows with the same key and other vectors
+    all count, and as queries share one list, as in the SQL of op8; of full copies one counts. A vector shorter than others ends in
     zeros. Ties go to the smaller key. A query whose lists hold fewer than ``k`` others gets what all lists
     hold. Empty tables give no rows.
 
@@ -156,7 +157,7 @@ def nearest(
     placed = rows.select("id", "v").mapInArrow(in_lists(lifted, 1), listed).select(F.col("places")[0].alias("place"), "id", "v", F.lit(0.0).alias("bound"))
 
     def dealt(df: DataFrame, n: int) -> DataFrame:
-        order = ["place", F.xxhash64("id"), "id"]
+        order = ["place", F.xxhash64("id"), "id", F.xxhash64("v")]
         return df.repartitionByRange(max(1, -(-n // ROWS_PER_TASK)), *order).sortWithinPartitions(*order)
 
     tiles = sided(frozen(packed(dealt(placed, count), width, tile_rows)), "t")

@@ -87,7 +87,8 @@ def top_k(
     whose scaled integer vectors have the largest inner product with it; fewer, if there are fewer.
 
     Both tables have ``key`` and ``vector``. Vectors that are null or hold null or non-finite components take
-    no part, nor do null keys; of rows with the same key one counts. A vector shorter than others ends in
+    no part, nor do null keys. Rows with the same key and other vectors
+    all count, and as queries share one list, as in the SQL of op8; of full copies one counts. A vector shorter than others ends in
     zeros. Ties go to the smaller key. Scaled components beyond the range of a long end there, and so do
     scores. Empty tables give no rows.
 
@@ -131,7 +132,7 @@ def top_k(
     by_length = rows.repartitionByRange(max(1, -(-count // ROWS_PER_TASK)), F.desc("norm"), "id").sortWithinPartitions(F.desc("norm"), "id")
     tiles = packed(by_length.select(place, "id", "v", F.lit(0.0).alias("bound")), width, tile_rows)
     tiles = frozen(tiles.withColumn("number", F.monotonically_increasing_id()))
-    with_bounds = asked.mapInArrow(bounded, "id long, v array<double>, bound double").repartition(max(1, -(-n_asked // ROWS_PER_TASK)), "id")
+    with_bounds = asked.mapInArrow(bounded, "id long, v array<double>, bound double").repartition(max(1, -(-n_asked // ROWS_PER_TASK)), "id", "v")
     chunks = sided(packed(with_bounds.select(place, "id", "v", "bound"), width, chunk_rows), "q")
     # Every chunk is sent to every slot, a slot has about TILES_PER_SLOT tiles.
     slots = max(1, -(-tiles.count() // TILES_PER_SLOT))

@@ -18,14 +18,14 @@ ROWS_PER_TASK = 4096
 def finite_vectors(df: DataFrame, key: str, vector: str, component: Callable[[Column], Column] = lambda x: x) -> DataFrame:
     """(id, v) with v an array<double> of ``component`` of every component.
 
-    Rows with a null key, a null vector, or a null or non-finite component are left out; of rows with the same
-    key the smallest vector stays.
+    Rows with a null key, a null vector, or a null or non-finite component are left out. Rows with the same key
+    and other vectors all stay, of full copies one.
     """
     v = F.col(vector).cast("array<double>")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = df.select(F.col(key).cast("long").alias("id"), v.alias("v"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & F.coalesce(good, F.lit(False)))
-    return rows.groupBy("id").agg(F.min("v").alias("v")).select("id", F.transform("v", component).cast("array<double>").alias("v"))
+    return rows.distinct().select("id", F.transform("v", component).cast("array<double>").alias("v"))
 
 
 def norm(v: Column) -> Column:

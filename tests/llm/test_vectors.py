@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from shelfline.llm.ann import nearest
+from shelfline.llm.oracle import ORACLE
 from shelfline.llm.topk import surviving, rotation, top_k
 from shelfline.llm.vectors import Block, best_of_block
 
@@ -116,3 +117,18 @@ def test_best_of_block_breaks_ties_by_id():
     ids = np.array([9, 4, 7])
     q, v, s = best_of_block(np.array([1, 2]), ids, np.array([0, 0, 0, 1]), np.array([0, 1, 2, 0]), np.array([5.0, 5.0, 6.0, 1.0]), 2)
     assert (list(q), list(v), list(s)) == ([1, 1, 2], [7, 4, 9], [6.0, 5.0, 1.0])
+
+
+def test_rows_that_repeat_a_key_with_other_vectors_all_count(spark):
+    duckdb = pytest.importorskip("duckdb")
+    rows = make(60, 6, 8) + [(i % 30, v) for i, v in make(90, 6, 9)] + [(7, [9.0] * 6), (7, [-9.0] * 6), (20, [9.0] * 6), (20, [-9.0] * 6)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings(vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", [list(r) for r in rows])
+    assert sorted(tuple(r) for r in top_k(df, df.filter("vec_id % 20 = 0")).collect()) == sorted(con.execute(ORACLE["op8_top_k"]).fetchall())
+    found = grouped(nearest(df, df.filter("vec_id % 20 = 0"), probed=1.0))
+    for q, near in found.items():
+        scores = [(i, float(np.dot(np.float32(a).astype(float), np.float32(b).astype(float)))) for o, a in rows if o == q for i, b in rows if i != q]
+        best = sorted(scores, key=lambda x: (-x[1], x[0]))[:20]
+        assert [i for i, _ in near][:5] == [i for i, _ in best][:5] and len(near) == 20
