@@ -5,20 +5,14 @@ import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain
+from collections.abc import Iterable, Sequence
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
+
+from . import tokens
+from .tokens import Remembered
 
-#: Pieces and words whose ids a task remembers; then it forgets all and starts anew.
-CACHED = 200_000
-_ROWS_AT_ONCE = 500
 # Unicode white space; what Python's str.split() takes for white space besides are four control characters.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _SPACES = re.compile(f"[{_SPACE}]+")
@@ -98,30 +92,20 @@ def word_pattern(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace("\\s", _SPACE), regex.V1)
 
 
-class _Pieces(dict):
-    """Ids of a piece of text without white space, made when it is first asked for."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= CACHED:
-            self.clear()
-        ids = self[piece] = self.make(piece)
-        return ids
-
-
 class Codec:
     """Encodes and decodes as the tokenizers library does without added, truncated or padded tokens."""
 
+    #: What decoding puts between vocabulary strings, and the end id, which this kind of file has none of.
+    joint = b" "
+    end = None
+
     def __init__(self, vocabulary: Vocabulary):
         ids, suffix = vocabulary.ids, vocabulary.suffix
         letters = byte_letters()
         self.inner = [ids[c] for c in letters]
         self.last = [ids[c + suffix] for c in letters]
         self.ranks = {ids[a] << 20 | ids[b]: (rank, ids[a + b]) for rank, (a, b) in enumerate(vocabulary.merges)}
-        self.words = word_pattern(vocabulary.pattern)
+        self.words_of = word_pattern(vocabulary.pattern)
         # The same for ASCII, and faster.
         self.ascii_words = regex.compile(vocabulary.pattern.replace("\\s", _SPACE))
         self.special = vocabulary.special
@@ -130,73 +114,48 @@ class Codec:
         for table in (ids, vocabulary.special):
             for string, i in table.items():
                 self.strings[i] = string
-        self.of_word = _Pieces(self._word)
-        self.of_piece = _Pieces(self._piece)
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        data = word.encode()
-        return tuple(merge([*(self.inner[b] for b in data[:-1]), self.last[data[-1]]], self.ranks))
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        found: list[int] = []
-        for part in self.split.split(piece) if self.split else [piece]:
-            if part in self.special:
-                found.append(self.special[part])
+        self.data = [string.encode() for string in self.strings]
+        self.of_part = Remembered(self._part, tokens.PARTS_REMEMBERED)
+        self.of_word = Remembered(self._word, tokens.WORDS_REMEMBERED)
+
+    def _part(self, part: str) -> bytes:
+        data = part.encode()
+        return array("i", merge([*(self.inner[b] for b in data[:-1]), self.last[data[-1]]], self.ranks)).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        found: list[bytes] = []
+        for stretch in self.split.split(word) if self.split else [word]:
+            if stretch in self.special:
+                found.append(array("i", [self.special[stretch]]).tobytes())
                 continue
             # Letter by letter: a sigma at the end of a word has no form of its own here.
-            lower = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            words = self.ascii_words.findall(lower) if lower.isascii() else self.words.findall(lower.translate(_CAPITALS))
-            for word in words:
-                found.extend(self.of_word[word])
-        return tuple(found)
+            lower = unicodedata.normalize("NFC", stretch).replace("Σ", "σ").lower()
+            parts = self.ascii_words.findall(lower) if lower.isascii() else self.words_of.findall(lower.translate(_CAPITALS))
+            found.extend(map(self.of_part.__getitem__, parts))
+        return b"".join(found)
+
+    def words(self, text: str) -> list[str]:
+        """No part that the pattern finds holds white space, so what is between is encoded by itself."""
+        return _SPACES.split(text) if _ODD_SPACE.search(text) else text.split()
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        # No word holds white space, so the pieces between are encoded one by one, and remembered.
-        pieces = _SPACES.split(text) if _ODD_SPACE.search(text) else text.split()
-        return list(chain.from_iterable(map(self.of_piece.__getitem__, pieces)))
+        return array("i", b"".join(map(self.of_word.__getitem__, self.words(text))) if text else b"").tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         """The vocabulary strings joined by a space, as this kind of file, which names no decoder, has it."""
         return " ".join(map(self.strings.__getitem__, ids))
 
+    def finished(self, first: int | None, data: bytes) -> str:
+        """The text of the joined vocabulary strings."""
+        return data.decode()
 
-class Bpe:
-    """The codec on Spark: the driver reads the file, tasks get its tables (some 50,000 entries) by broadcast."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.shared = spark.sparkContext.broadcast(Vocabulary(path))
-        self._ready: list[Codec] = []
-
-    def __getstate__(self):
-        return {"shared": self.shared, "_ready": []}
-
-    def codec(self) -> Codec:
-        """In a task: the codec, made once."""
-        if not self._ready:
-            self._ready.append(Codec(self.shared.value))
-        return self._ready[0]
-
-    def encode(self, text: Column) -> Column:
-        """array<int> of the ids of the whole text; none for a null or empty text."""
-
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            codec = self.codec()
-            for texts in batches:
-                yield pd.Series([np.array(codec.encode(t), dtype=np.int32) for t in texts], dtype=object)
-
-        return F.pandas_udf(run, "array<int>")(text)
 
-    def decode(self, ids: Column) -> Column:
-        """The decoded text; empty for a null or empty array."""
+class Bpe(tokens.OnSpark):
+    """The codec on Spark: the driver reads the file, tasks get its tables (some 50,000 entries) by broadcast, and a
+    worker keeps the codec, with the words that it remembers, for all of its tasks."""
 
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            codec = self.codec()
-            for rows in batches:
-                yield pd.Series([codec.decode(() if x is None else x) for x in rows], dtype=object)
-
-        return F.pandas_udf(run, "string")(ids)
+    def __init__(self, spark: SparkSession, path: str):
+        super().__init__(("bpe", tokens.digest(path)), spark.sparkContext.broadcast(Vocabulary(path)), Codec)
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -205,40 +164,9 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: Seque
     Every whole text is encoded; null and empty texts have no tokens. Repeated rows come out each; an empty
     table gives no rows. Nothing is shuffled. Tasks hand on the ids of some hundred documents at a time.
     """
-    added = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("n_tokens", "token_ids")]
-    bpe = Bpe(docs.sparkSession, path)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = bpe.codec()
-        for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
-                part = batch.slice(start, _ROWS_AT_ONCE)
-                ids, ends = array("i"), [0]
-                for piece in part.column(part.num_columns - 1):
-                    ids.extend(codec.encode(piece.as_py()))
-                    ends.append(len(ids))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, dtype=np.int32)))
-                counts = pa.array(np.diff(ends).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], counts, lists], names=[*kept, "n_tokens", "token_ids"])
-
-    rows = docs.select(*kept, F.col(text).alias("_text"))
-    return rows.mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), *added]))
-
-
-def with_round_trip(docs: DataFrame, path: str, measure, schema: str, text: str = "text") -> DataFrame:
-    """``docs`` with the columns of ``schema``, which ``measure(ids, decoded)`` gives for each whole text.
-
-    Encodes and decodes within one task, for results far smaller than ids and decoded text.
-    """
-    bpe = Bpe(docs.sparkSession, path)
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = bpe.codec()
-        for texts in batches:
-            yield pd.DataFrame([measure(ids, codec.decode(ids)) for ids in map(codec.encode, texts)])
+    return tokens.encoded(docs, Bpe(docs.sparkSession, path).codec, text, keep)
 
-    rows = docs.withColumn("_found", F.pandas_udf(run, schema)(F.col(text)))
-    names = [field.strip().split()[0] for field in schema.split(",")]
-    return rows.select(*(c for c in docs.columns if c not in names), "_found.*")
 
+def with_digests(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with n_tokens, ids_sha256 and decoded_sha256 of every whole text, see ``tokens.with_digests``."""
+    return tokens.with_digests(docs, Bpe(docs.sparkSession, path).codec, text)

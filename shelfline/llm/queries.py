@@ -1,14 +1,13 @@
 """The registered queries of this subpackage, each over its whole table."""
 
-import hashlib
 from uuid import uuid4
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe, piece_bpe
 from .ann import nearest
-from .bpe import with_round_trip
 from .html_text import extract_main_text
 from .html_text import fit as fit_pages
 from .langid import fit, identify_languages
@@ -52,18 +51,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
-def _digests(ids: list[int], decoded: str) -> dict:
-    return {
-        "n_tokens": len(ids),
-        "ids_sha256": hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
-        "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest(),
-    }
-
-
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return with_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), _digests, schema).drop("text")
+    return bpe.with_digests(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,6 +105,11 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(sized, size="words").select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_bpe.with_digests(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_language_id": op2_language_id,
@@ -126,4 +121,5 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_main_text": op9_main_text,
     "op10_mix_sources": op10_mix_sources,
+    "op11_piece_bpe": op11_piece_bpe,
 }

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfline.llm import bpe
+from shelfline.llm import tokens
 from shelfline.llm.bpe import Bpe, Codec, Vocabulary, encode_documents, merge
 from shelfline.llm.queries import op3_bpe
 
@@ -74,9 +74,12 @@ def test_merge_against_plain_search():
 
 
 def test_forgetting_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHED", 3)
+    monkeypatch.setattr(tokens, "WORDS_REMEMBERED", 3)
+    monkeypatch.setattr(tokens, "PARTS_REMEMBERED", 2)
     text = "one two three four five one two Three FOUR " * 5
-    assert Codec(Vocabulary(PATH)).encode(text) == library(text)[0]
+    codec = Codec(Vocabulary(PATH))
+    assert codec.encode(text) == library(text)[0]
+    assert len(codec.of_word) <= 3 and len(codec.of_word.older) <= 3
 
 
 def test_query_on_the_samples(spark, library):

@@ -12,7 +12,7 @@ TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VA
 
 
 def test_all_are_registered():
-    assert len(QUERIES) == 10 and set(ORACLE) <= set(QUERIES)
+    assert [int(name[2:].split('_')[0]) for name in QUERIES] == list(range(1, len(QUERIES) + 1)) and set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
