@@ -19,6 +19,8 @@ from .simhash import simhash_components
 from .topk import top_k
 from .url_filter import ALLOW, BLOCK, Rule, judge_urls, link_edges
 from .warc import archived, page_of
+from .whitening import fit as fit_whitening
+from .whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +112,12 @@ def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.with_digests(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    # Beyond 64 bits the contract's column has no value; the operator has 38 digits.
+    return whiten(vectors, fit_whitening(vectors)).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_language_id": op2_language_id,
@@ -122,4 +130,5 @@ QUERIES = {
     "op9_main_text": op9_main_text,
     "op10_mix_sources": op10_mix_sources,
     "op11_piece_bpe": op11_piece_bpe,
+    "op13_whitening": op13_whitening,
 }

@@ -1,0 +1,145 @@
+from collections import Counter
+from fractions import Fraction
+from math import floor, inf, nan
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfline.llm.queries import op13_whitening
+from shelfline.llm.whitening import covariance, fit, whiten
+
+SAMPLE = "/root/testdata/sf0.001"
+SCHEMA = "vec_id long, embedding array<double>"
+
+
+def _plain(vectors):
+    """n, S, V (exact) and the centred x of a list of vectors of one width."""
+    x = [[floor(64 * c) + 1_000_000 for c in v] for v in vectors]
+    n, width = len(x), len(x[0])
+    s = [sum(row[i] for row in x) for i in range(width)]
+    centred = [[n * row[i] - s[i] for i in range(width)] for row in x]
+    v = [[Fraction(sum(row[i] * row[j] for row in centred), n**3) for j in range(width)] for i in range(width)]
+    return n, centred, v
+
+
+def _checked(rows, vectors):
+    """The rows of a result against their definition, for vectors by key; eigenvectors are recovered by sign."""
+    keys = list(vectors)
+    n, centred, v = _plain([vectors[k] for k in keys])
+    exact = np.array([[float(c) for c in row] for row in v])
+    values, components = np.linalg.eigh(exact)
+    values, components = values[::-1], components[:, ::-1]
+    k = min(32, len(values))
+    found = {(r.vec_id, r.component): r for r in rows}
+    assert len(rows) == len(found) == n * k
+    z = np.array([[float(Fraction(c, n)) for c in row] for row in centred])
+    for c in range(1, k + 1):
+        mine = np.array([found[key, c].whitened for key in keys])
+        plain = z @ components[:, c - 1] / np.sqrt(values[c - 1])
+        sign = np.sign(mine @ plain)
+        assert np.abs(mine - sign * plain).max() < 1e-7
+        assert all(abs(found[key, c].explained - values[c - 1] / np.trace(exact)) <= 1e-10 for key in keys)
+    for key, row in zip(keys, centred):
+        assert {(found[key, c].n, int(found[key, c].deviation)) for c in range(1, k + 1)} == {(n, sum(c * c for c in row))}
+    errors = {r.identity_error for r in rows}
+    assert len(errors) == 1 and 0 <= errors.pop() <= 1e-4
+    w = np.array([[found[key, c].whitened for c in range(1, k + 1)] for key in keys])
+    assert np.abs(np.cov(w.T, bias=True) - np.eye(k)).max() <= 1e-4
+
+
+def test_query_against_its_definition(spark):
+    df = op13_whitening(spark, SAMPLE)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema][:7] == [
+        ("vec_id", "bigint"), ("component", "int"), ("n", "bigint"), ("deviation", "bigint"), ("whitened", "double"), ("explained", "double"),
+        ("identity_error", "double"),
+    ]
+    _checked(df.collect(), {r.vec_id: r.embedding for r in spark.read.parquet(f"{SAMPLE}/embeddings.parquet").collect()})
+
+
+def test_covariance_of_whole_numbers_is_exact():
+    draw = np.random.default_rng(3)
+    x = draw.integers(-(10**9), 10**9, (50, 6))
+    x[:, 3] = x[:, 2] + 1
+    x = x - (x.sum(axis=0) // 50)
+    squares = [int(s) for s in (x.astype(object) ** 2).sum(axis=0)]
+    squares += [int(((x[:, i].astype(object) + x[:, j]) ** 2).sum()) for i in range(6) for j in range(i + 1, 6)]
+    found = covariance(50, [int(s) for s in x.sum(axis=0)], squares)
+    sums = [int(s) for s in x.sum(axis=0)]
+    for i in range(6):
+        for j in range(6):
+            plain = Fraction(sum((50 * int(r[i]) - sums[i]) * (50 * int(r[j]) - sums[j]) for r in x), 50**3)
+            assert found[i, j] == float(plain)
+
+
+def _table(spark, rows, partitions=3):
+    return spark.createDataFrame(rows, SCHEMA).repartition(partitions)
+
+
+def test_random_table_over_partitions(spark):
+    draw = np.random.default_rng(4)
+    vectors = {i: (draw.normal(size=5) * [1, 5, 0.3, 100, 2]).tolist() for i in range(200)}
+    df = _table(spark, list(vectors.items()), 7)
+    _checked(whiten(df, fit(df)).collect(), vectors)
+
+
+def test_rows_that_are_left_out(spark):
+    good = [(1, [1.0, 2.0]), (2, [0.5, -1.0]), (3, [3.0, 1.0]), (None, [2.0, 7.0])]
+    bad = [(5, None), (6, [None, 1.0]), (7, [nan, 1.0]), (8, [inf, 1.0]), (9, [1.0, -inf]), (10, [2.0**56, 0.0]), (None, None)]
+    df = _table(spark, [*good, *bad])
+    _checked(whiten(df, fit(df)).collect(), dict(good))
+
+
+def test_repeated_rows_count_each(spark):
+    rows = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (1, [4.0, 2.5]), (2, [0.0, -3.0])]
+    df = _table(spark, rows)
+    found = whiten(df, fit(df)).collect()
+    assert len(found) == 8 and {r.n for r in found} == {4}
+    n, centred, _ = _plain([v for _, v in rows])
+    assert Counter((r.vec_id, int(r.deviation)) for r in found if r.component == 1) == Counter(
+        (key, sum(c * c for c in row)) for (key, _), row in zip(rows, centred)
+    )
+
+
+def test_shorter_vectors_end_in_zeros(spark):
+    rows = {1: [1.0, 2.0, 3.0], 2: [0.5], 3: [], 4: [4.0, -1.0, 0.0], 5: [2.0, 2.0]}
+    df = _table(spark, list(rows.items()))
+    _checked(whiten(df, fit(df)).collect(), {k: [*v, 0.0, 0.0, 0.0][:3] for k, v in rows.items()})
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, []), (2, [])]])
+def test_nothing_to_whiten(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = whiten(df, fit(df))
+    assert found.collect() == [] and found.columns[0] == "vec_id"
+
+
+def test_no_spread(spark):
+    df = _table(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])])
+    found = whiten(df, fit(df)).collect()
+    assert {(r.n, int(r.deviation), r.whitened, r.explained, r.identity_error) for r in found} == {(2, 0, None, None, None)}
+    # Of three dimensions one is a copy and one is constant.
+    df = _table(spark, [(i, [float(i), float(i), 5.0]) for i in range(10)])
+    found = whiten(df, fit(df)).collect()
+    assert all((r.whitened is None) == (r.component > 1) for r in found) and found[0].identity_error < 1e-9
+    assert {r.explained for r in found if r.component > 1} == {0.0} or all(r.explained < 1e-12 for r in found if r.component > 1)
+
+
+def test_numbers_beyond_64_bits(spark):
+    vectors = {1: [1e15, 1.0], 2: [-1e15, 4.0], 3: [3e14, -2.0], 4: [7e13, 0.5]}
+    df = _table(spark, list(vectors.items()))
+    n, centred, v = _plain(list(vectors.values()))
+    model = fit(df)
+    assert model.eigenvalues[0] == pytest.approx(float(v[0][0]), rel=1e-12)
+    found = {r.vec_id: int(r.deviation) for r in whiten(df, model).collect()}
+    assert found == {k: sum(c * c for c in row) for k, row in zip(vectors, centred)}
+    largest = _table(spark, [(1, [7e16]), (2, [-7e16])])
+    assert {(r.component, abs(r.whitened) > 0.99, r.deviation is None) for r in whiten(largest, fit(largest)).collect()} <= {(1, True, True), (1, True, False)}
+
+
+def test_clashing_columns(spark):
+    rows = [(1, [1.0, 2.0], 5, "a"), (2, [0.0, 1.0], 6, "b"), (3, [3.0, 0.0], 7, "c")]
+    df = spark.createDataFrame(rows, "`id.x` long, v array<float>, component int, key string")
+    found = whiten(df, fit(df, "v"), "id.x", "v")
+    assert found.columns == ["id.x", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    assert found.count() == 6 and found.select(F.countDistinct("`id.x`")).first()[0] == 3
