@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, piece_bpe
 from .ann import nearest
+from .filter_audit import audit_filters
 from .html_text import extract_main_text
 from .html_text import fit as fit_pages
 from .langid import fit, identify_languages
@@ -112,6 +113,10 @@ def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.with_digests(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     # Beyond 64 bits the contract's column has no value; the operator has 38 digits.
@@ -130,5 +135,6 @@ QUERIES = {
     "op9_main_text": op9_main_text,
     "op10_mix_sources": op10_mix_sources,
     "op11_piece_bpe": op11_piece_bpe,
+    "op12_filter_audit": op12_filter_audit,
     "op13_whitening": op13_whitening,
 }

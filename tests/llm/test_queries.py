@@ -19,7 +19,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_query_against_its_sql(spark, name):
     with duckdb.connect() as engine:
-        for table in ("pages", "embeddings", "documents"):
+        for table in ("pages", "embeddings", "documents", "labels"):
             engine.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
         result = engine.execute(ORACLE[name])
         types = {column[0]: str(column[1]) for column in result.description}
