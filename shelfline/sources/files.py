@@ -17,6 +17,20 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(entry.getPath().getName() for entry in files.listStatus(where) if entry.isDirectory())
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of all that lies in ``path``, sorted; none if there is no such folder."""
+    files, where = _located(spark, path)
+    if not files.exists(where) or not files.getFileStatus(where).isDirectory():
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(where))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``."""
+    files, where = _located(spark, path)
+    files.create(where).close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     files, where = _located(spark, path)
     return files.exists(where)

@@ -4,16 +4,21 @@ A table is a folder of versions. A version counts from the moment its ``_SUCCESS
 last, so a table is replaced as a whole or, if the job fails, not at all.
 """
 
+import re
 from collections.abc import Sequence
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.adhoc import row_count_audit
 from ..operators.clean import normalize_columns
-from .files import delete, exists, folders_in
-from .schemas import COLUMN_ORDER, FOLDERS, RAW_COLUMNS
+from .files import delete, exists, folders_in, names_in, touch
+from .schemas import CLEAN_TYPES, COLUMN_ORDER, FOLDERS, RAW_COLUMNS
+
+_VERSION = re.compile("[0-9]{10}-[0-9a-f]{32}")
+_ROWS = "_rows-"
 
 
 def read_raw(spark: SparkSession, raw_base: str, table: str) -> DataFrame:
@@ -35,21 +40,93 @@ def read_raw(spark: SparkSession, raw_base: str, table: str) -> DataFrame:
 
 
 def read_clean(spark: SparkSession, clean_base: str, table: str) -> DataFrame:
-    return read_table(spark, clean_base, FOLDERS[table])
+    """A clean table, whoever wrote it, with the columns and types of ``CLEAN_TYPES``; see ``read_parquet``."""
+    df = read_table(spark, clean_base, FOLDERS[table])
+    return as_declared(df, CLEAN_TYPES[table], f"{clean_base}/{FOLDERS[table]}")
 
 
 def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """The newest complete version of a table, its columns in the declared order."""
+    """The newest complete version of a table that ``write_table`` wrote, its columns in the declared order; else all
+    Parquet files of the folder, see ``read_parquet``."""
     path = f"{base}/{table}"
     versions = _complete(spark, path)
-    if not versions:
+    if versions:
+        df = spark.read.parquet(f"{path}/{versions[-1]}")
+    elif _foreign(spark, path):
+        df = read_parquet(spark, path)
+    else:
         raise FileNotFoundError(f"{path} holds no complete table")
-    df = spark.read.parquet(f"{path}/{versions[-1]}")
     return df.select(*COLUMN_ORDER[table]) if table in COLUMN_ORDER else df
 
 
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Plain Parquet: a file, a folder of files, also by partition values, or a glob like ``sales/*.parquet``.
+
+    Files may have different columns: the table has those of all files, in the order in which they first come, and
+    a file gives NULL for the ones it lacks. A column of different types in two files is refused when the table is
+    read for its schema, which a job finds out from the footers of all files.
+    """
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
+def as_declared(df: DataFrame, types: dict[str, str], where: str) -> DataFrame:
+    """``df`` with the declared columns, in their order; others are left out.
+
+    A column of another type is taken if that is one which other writers give for the same values: whole numbers of
+    any size for int (one that has no room there fails the query), real and whole numbers for double, a timestamp
+    for its date, and nothing but NULL for anything. Missing columns and all other types are refused by name.
+    """
+    found = {name.lower(): (name, kind) for name, kind in df.dtypes}
+    missing = [name for name in types if name not in found]
+    if missing:
+        raise ValueError(f"{where} lacks the columns {missing}")
+    others = {n: found[n][1] for n, kind in types.items() if found[n][1] not in (kind, "void") and found[n][1].split("(")[0] not in _TAKEN_FOR.get(kind, ())}
+    if others:
+        raise ValueError(f"{where} has columns of other types than declared: {others}")
+    return df.select(*(_cast(F.col(f"`{found[n][0]}`"), found[n][1], kind).alias(n) for n, kind in types.items()))
+
+
+#: Types that other writers give to columns of a type.
+_TAKEN_FOR = {
+    "int": ("tinyint", "smallint", "bigint"),
+    "double": ("float", "decimal", "tinyint", "smallint", "int", "bigint"),
+    "date": ("timestamp", "timestamp_ntz"),
+}
+
+
+def _cast(col: Column, found: str, kind: str) -> Column:
+    if found != "bigint" or kind != "int":
+        return col if found == kind else col.cast(kind)
+    small = col.try_cast("int")
+    return F.when(col.isNotNull() & small.isNull(), F.raise_error(F.concat(F.lit("no room in an int for "), col.cast("string")))).otherwise(small)
+
+
 def _complete(spark: SparkSession, path: str) -> list[str]:
-    return [name for name in folders_in(spark, path) if exists(spark, f"{path}/{name}/_SUCCESS")]
+    return [name for name in folders_in(spark, path) if _VERSION.fullmatch(name) and exists(spark, f"{path}/{name}/_SUCCESS")]
+
+
+def _foreign(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a table's folder and is no version. Names that begin by an underscore or a dot are not looked at."""
+    return [name for name in names_in(spark, path) if name[0] not in "_." and not _VERSION.fullmatch(name)]
+
+
+def recorded_rows(spark: SparkSession, base: str, table: str) -> int | None:
+    """The number of rows that was counted when the newest version was written; None if it was not written here.
+
+    The count lies in the folder of the version, as the name of an empty file, so it cannot be of another version.
+    """
+    versions = _complete(spark, f"{base}/{table}")
+    names = names_in(spark, f"{base}/{table}/{versions[-1]}") if versions else []
+    return next((int(name.removeprefix(_ROWS)) for name in names if name.startswith(_ROWS)), None)
+
+
+def row_counts(spark: SparkSession, base: str, tables: Sequence[str]) -> DataFrame:
+    """(table_name, n) of stored tables: from the record of the write, without reading a row, where there is one, and
+    counted for tables that others wrote."""
+    recorded = {table: recorded_rows(spark, base, table) for table in tables}
+    known = spark.createDataFrame([(t, n) for t, n in recorded.items() if n is not None], "table_name string, n long")
+    others = {table: read_table(spark, base, table) for table, n in recorded.items() if n is None}
+    return known.unionByName(row_count_audit(others)) if others else known
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
@@ -58,16 +135,22 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     The table that was there stays readable until the new one is complete, and one version longer for queries that
     run at that moment; older versions and the rests of failed writes go. One write at a time may run on a table.
     With ``partition_by``, rows of a value are brought together, so that there are few files; a value that holds
-    much of the table is split over several tasks by adaptive execution.
+    much of the table is split over several tasks by adaptive execution. A folder that holds anything but versions,
+    such as Parquet files of another writer, is refused, so that these are neither mixed nor lost.
     """
     spark = df.sparkSession
-    before = folders_in(spark, path)
+    foreign = _foreign(spark, path)
+    if foreign:
+        raise ValueError(f"{path} holds what is no version of a table: {foreign[:5]}")
+    before = [name for name in folders_in(spark, path) if _VERSION.fullmatch(name)]
     number = int(before[-1].split("-")[0]) + 1 if before else 1
     written = Observation()
     rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
-    rows.write.partitionBy(*partition_by).parquet(f"{path}/{number:010d}-{uuid4().hex}")
+    version = f"{path}/{number:010d}-{uuid4().hex}"
+    rows.write.partitionBy(*partition_by).parquet(version)
+    touch(spark, f"{version}/{_ROWS}{written.get['rows']}")
     for name in set(before) - set(_complete(spark, path)[-2:]):
         delete(spark, f"{path}/{name}")
     return written.get["rows"]

@@ -27,6 +27,18 @@ RAW_COLUMNS: dict[str, tuple[str, ...]] = {
 # Folder of each table: "sellin" is kept under "erp/sellin".
 FOLDERS: dict[str, str] = {path.split("/")[1]: path for path in RAW_COLUMNS}
 
+_TYPES = {
+    "int": ("innovation_flag", "qty", "stock_on_hand", "year"),
+    "double": ("gross_sales", "discount", "net_sales", "revenue", "discount_percent", "market_share"),
+    "date": ("date", "launch_date", "start_date", "end_date"),
+}
+
+# Types of the columns of each clean table; what is no number and no date is a string.
+CLEAN_TYPES: dict[str, dict[str, str]] = {
+    table: {name: next((kind for kind, names in _TYPES.items() if name in names), "string") for name in RAW_COLUMNS[path]}
+    for table, path in FOLDERS.items()
+}
+
 # Columns of tables whose partition column does not stand last. Parquet puts it there.
 COLUMN_ORDER: dict[str, tuple[str, ...]] = {
     "sales_mart": (

@@ -9,7 +9,7 @@ from shelfline.operators.adhoc import row_count_audit
 from shelfline.operators.dims import CalendarBounds
 from shelfline.plans import batch
 from shelfline.plans.catalog import QUERIES
-from shelfline.sources.lake import read_clean, read_raw, read_table, write_table
+from shelfline.sources.lake import read_clean, read_parquet, read_raw, read_table, recorded_rows, row_counts, write_table
 from shelfline.sources.sample_sources import SampleSources
 from shelfline.sources.schemas import FOLDERS, RAW_COLUMNS
 from shelfline.sources.staging import own_staging, shared_folder, stage
@@ -44,6 +44,108 @@ def test_clean_tables_are_those_of_the_operators(spark, built):
         assert rows[table] == direct.count()
 
 
+def test_recorded_row_counts_are_the_real_ones(spark, built):
+    _, _, warehouse, rows = built
+    names = (*batch.DIMENSIONS, *batch.FACTS, *batch.MARTS)
+    df = row_counts(spark, warehouse, names)
+    assert "FileScan" not in plan_of(df)
+    assert {r.table_name: r.n for r in df.collect()} == {name: read_table(spark, warehouse, name).count() for name in names}
+    assert {name: recorded_rows(spark, warehouse, name) for name in names} == {name: rows[name] for name in names}
+
+
+def test_a_count_belongs_to_its_version(spark, tmp_path):
+    base = str(tmp_path)
+    for n in (4, 0, 7):
+        write_table(spark.range(n), f"{base}/t")
+        assert recorded_rows(spark, base, "t") == n == read_table(spark, base, "t").count()
+    # A write that did not get to its end leaves the version before, and its count.
+    broken = tmp_path / "t" / f"{9:010d}-{'0' * 32}"
+    broken.mkdir()
+    (broken / "_rows-99").touch()
+    assert recorded_rows(spark, base, "t") == 7 == read_table(spark, base, "t").count()
+
+
+def test_counts_of_tables_of_other_writers(spark, tmp_path):
+    base = str(tmp_path)
+    write_table(spark.range(3), f"{base}/own")
+    spark.range(5).write.parquet(f"{base}/other")
+    assert recorded_rows(spark, base, "other") is None
+    assert rows_of(row_counts(spark, base, ["own", "other"])) == [("other", 5), ("own", 3)]
+    assert rows_of(row_counts(spark, base, ["other"])) == [("other", 5)]
+
+
+def _market_share(spark, *rows):
+    return spark.createDataFrame(list(rows), "year int, brand string, market_share double")
+
+
+def test_plain_parquet_folder(spark, tmp_path):
+    rows = [(2023, "A", 0.5), (2024, "B", None)]
+    _market_share(spark, *rows).repartition(2).write.parquet(f"{tmp_path}/external/market_share")
+    assert rows_of(read_clean(spark, str(tmp_path), "market_share")) == rows
+    assert read_clean(spark, str(tmp_path), "market_share").dtypes == [("year", "int"), ("brand", "string"), ("market_share", "double")]
+
+
+def test_folder_of_another_writer_by_partition_values(spark, tmp_path):
+    rows = [("A", 0.5, 2023), ("B", 0.25, 2024)]
+    df = spark.createDataFrame(rows, "brand string, market_share double, year int")
+    df.write.partitionBy("year").parquet(f"{tmp_path}/external/market_share")
+    assert rows_of(read_clean(spark, str(tmp_path), "market_share")) == [(2023, "A", 0.5), (2024, "B", 0.25)]
+    with pytest.raises(ValueError, match="year=2023"):
+        write_table(df, f"{tmp_path}/external/market_share")
+    assert read_table(spark, str(tmp_path), "external/market_share").count() == 2
+
+
+def test_parquet_files_by_glob_and_one_file(spark, tmp_path):
+    for i in range(3):
+        spark.range(i, i + 1).coalesce(1).write.parquet(f"{tmp_path}/part{i}")
+    assert rows_of(read_parquet(spark, f"{tmp_path}/part*/*.parquet")) == [(0,), (1,), (2,)]
+    one = next((tmp_path / "part2").glob("*.parquet"))
+    assert rows_of(read_parquet(spark, str(one))) == [(2,)]
+
+
+def test_files_that_differ_are_merged_or_refused(spark, tmp_path):
+    table = f"{tmp_path}/external/market_share"
+    _market_share(spark, (2023, "A", 0.5)).write.parquet(table)
+    # More columns, in another order, and one less.
+    spark.createDataFrame([("x", "B", 2024)], "note string, brand string, year int").write.mode("append").parquet(table)
+    assert rows_of(read_clean(spark, str(tmp_path), "market_share")) == [(2023, "A", 0.5), (2024, "B", None)]
+    spark.createDataFrame([("2025", "C", 0.1)], "year string, brand string, market_share double").write.mode("append").parquet(table)
+    with pytest.raises(Exception, match="(?i)merge"):
+        read_clean(spark, str(tmp_path), "market_share").collect()
+
+
+def test_types_of_other_writers(spark, tmp_path):
+    df = spark.sql("SELECT 3L AS Year, 'A' AS brand, 0.5BD AS market_share, true AS more")
+    df.write.parquet(f"{tmp_path}/external/market_share")
+    assert rows_of(read_clean(spark, str(tmp_path), "market_share")) == [(3, "A", 0.5)]
+    days = spark.sql("SELECT TIMESTAMP '2024-02-03 00:00:00' AS date, 'P' AS product_id, CAST(7 AS SMALLINT) AS stock_on_hand")
+    days.write.parquet(f"{tmp_path}/supply_chain/inventory")
+    assert rows_of(read_clean(spark, str(tmp_path), "inventory")) == [(date(2024, 2, 3), "P", 7)]
+
+
+def test_tables_that_are_not_the_declared_ones(spark, tmp_path):
+    base, table = str(tmp_path), f"{tmp_path}/external/market_share"
+    spark.sql("SELECT 3 AS year, 'A' AS brand").write.parquet(table)
+    with pytest.raises(ValueError, match=r"lacks the columns \['market_share'\]"):
+        read_clean(spark, base, "market_share")
+    spark.sql("SELECT 'x' AS year, 'A' AS brand, 1D AS market_share").write.mode("overwrite").parquet(table)
+    with pytest.raises(ValueError, match="year"):
+        read_clean(spark, base, "market_share")
+    spark.sql("SELECT 3000000000 AS year, 'A' AS brand, 1D AS market_share").write.mode("overwrite").parquet(table)
+    with pytest.raises(Exception, match="no room in an int for 3000000000"):
+        read_clean(spark, base, "market_share").collect()
+
+
+def test_batch_from_plain_parquet_of_another_writer(spark, built, tmp_path):
+    _, cleaned, warehouse, rows = built
+    for table in FOLDERS:
+        read_clean(spark, cleaned, table).write.parquet(f"{tmp_path}/clean/{FOLDERS[table]}")
+    again = batch.build_warehouse(spark, f"{tmp_path}/clean", f"{tmp_path}/warehouse", SAMPLE_BOUNDS)
+    assert again == {name: rows[name] for name in again}
+    for name in ("dim_store", "fact_sellout"):
+        assert rows_of(read_table(spark, f"{tmp_path}/warehouse", name)) == rows_of(read_table(spark, warehouse, name))
+
+
 def test_reported_row_counts(spark, built):
     _, _, warehouse, rows = built
     names = (*batch.DIMENSIONS, *batch.FACTS, *batch.MARTS)
