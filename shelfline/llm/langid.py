@@ -8,16 +8,22 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .scratch import frozen
+
 UNKNOWN = "und"
-#: Expected number of documents the model is fitted on; they are drawn by a hash of the text.
-FIT_ROWS = 12_000
-#: Bounds of the model: words and n-grams kept, the most frequent ones over all languages.
-MAX_WORDS = 60_000
-MAX_GRAMS = 40_000
+#: Distinct texts of a language that the model is fitted on at most, those with the lowest hashes.
+FIT_TEXTS = 3_000
+#: Bounds of the model: words and n-grams kept of a language, its most frequent ones.
+MAX_WORDS = 15_000
+MAX_GRAMS = 10_000
 LONGEST_GRAM = 4
-SMOOTHING = 0.1
+#: A language's counts are shares of their sum and so many more, so that one with few texts is not sure of them.
+DAMPING = 1_000.0
+#: The share of all that is unseen in a language, alike for all languages, however much of each is seen.
+UNSEEN = 1e-3
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHED_WORDS = 200_000
 
@@ -72,59 +78,66 @@ def _with_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield _frame(lang, "gram", grams)
 
 
+def _drawn(known: DataFrame, texts: int) -> DataFrame:
+    """(lang, text): of every language the ``texts`` distinct texts with the lowest hashes, or all, if it has fewer.
+
+    Copies of a text are one hash before anything is shuffled, so neither a text nor a language that a third of the
+    rows have crowds out others or fills a task: tasks send on their own lowest hashes alone.
+    """
+    hashed = known.withColumn("_hash", F.xxhash64("text"))
+    lowest = W.partitionBy("lang").orderBy("_hash")
+    hashes = hashed.groupBy("lang", "_hash").agg(F.lit(1)).select("lang", "_hash", F.row_number().over(lowest).alias("_place"))
+    chosen = hashes.filter(F.col("_place") <= texts).drop("_place")
+    return hashed.join(chosen, ["lang", "_hash"]).groupBy("lang", "_hash").agg(F.any_value("text").alias("text")).select("lang", "text")
+
+
 def _most_frequent(counts: DataFrame, what: str, bound: int) -> list:
-    """The ``bound`` most frequent values as rows (value, {lang: n})."""
-    per_value = counts.groupBy(what).agg(
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")
-    )
-    return per_value.orderBy(F.desc("total"), what).limit(bound).collect()
+    """The ``bound`` most frequent values of every language, as rows (value, {lang: n}) with all of their counts."""
+    order = W.partitionBy("lang").orderBy(F.desc("n"), what)
+    kept = counts.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= bound).select(what).distinct()
+    rows = counts.join(kept, what).groupBy(what).agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")).collect()
+    return sorted(rows, key=lambda row: row[what])
 
 
 def fit(
     docs: DataFrame,
     text: str = "text",
     lang: str = "lang",
-    fit_rows: int = FIT_ROWS,
+    fit_texts: int = FIT_TEXTS,
     max_words: int = MAX_WORDS,
     max_grams: int = MAX_GRAMS,
 ) -> Model:
-    """Fit on about ``fit_rows`` documents (all, if there are fewer) with text and language.
+    """Fit on ``fit_texts`` distinct texts of every language, or on all of a language that has fewer.
 
-    Counting runs on Spark; the driver gets at most ``max_words`` words and ``max_grams`` n-grams. Without
-    any such document the model knows no language.
+    Counting runs on Spark; the driver gets at most ``max_words`` words and ``max_grams`` n-grams of a language. A
+    language whose texts have no letters is known, but nothing speaks for it. Without any document that has a text
+    and a language the model knows no language.
     """
-    known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
-    rows = known.count()
-    part = int(min(1.0, fit_rows / max(1, rows)) * (1 << 31))
-    drawn = known.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 31)) < part)
-    words = drawn.mapInPandas(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    grams = words.mapInPandas(_with_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # A word seen once says little; its n-grams are counted all the same.
-    word_rows = _most_frequent(words.filter("n > 1"), "word", max_words)
+    known = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).filter("text is not null and lang is not null")
+    drawn = frozen(_drawn(known, fit_texts))
+    words = frozen(drawn.mapInPandas(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    grams = frozen(words.mapInPandas(_with_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    word_rows = _most_frequent(words, "word", max_words)
     gram_rows = _most_frequent(grams, "gram", max_grams)
-    langs = tuple(sorted({name for row in gram_rows for name in row["by_lang"]}))
+    langs = tuple(sorted(row["lang"] for row in drawn.select("lang").distinct().collect()))
     place = {name: i for i, name in enumerate(langs)}
 
-    def table(found: list) -> np.ndarray:
+    def log_frequency(found: list) -> np.ndarray:
         counts = np.zeros((len(found), len(langs)))
         for i, row in enumerate(found):
             for name, n in row["by_lang"].items():
                 counts[i, place[name]] = n
-        return counts
-
-    def log_frequency(counts: np.ndarray) -> np.ndarray:
-        return np.log((counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * (len(counts) + 1)))
+        return np.log(counts / (counts.sum(axis=0) + DAMPING) + UNSEEN / max(1, len(found)))
 
-    tables, floor = [log_frequency(table(word_rows))], np.zeros(len(langs))
-    grams_by_length = [[r for r in gram_rows if len(r["gram"]) == n] for n in range(1, LONGEST_GRAM + 1)]
+    tables, floor = [log_frequency(word_rows)], np.zeros(len(langs))
     index: dict[str, int] = {}
-    for rows_of_length in grams_by_length:
-        counts = table(rows_of_length)
-        tables.append(log_frequency(counts))
-        for row in rows_of_length:
+    for n in range(1, LONGEST_GRAM + 1):
+        of_length = [r for r in gram_rows if len(r["gram"]) == n]
+        tables.append(log_frequency(of_length))
+        for row in of_length:
             index[row["gram"]] = len(word_rows) + len(index)
-        if rows_of_length and len(rows_of_length[0]["gram"]) == 1:
-            floor = np.full(len(langs), np.log(SMOOTHING / (counts.sum() + SMOOTHING)))
+        if n == 1:
+            floor = np.full(len(langs), np.log(UNSEEN / max(1, len(of_length))))
     return Model(langs, {r["word"]: i for i, r in enumerate(word_rows)}, index, np.concatenate(tables), floor)
 
 
@@ -203,5 +216,5 @@ def identify_languages(docs: DataFrame, model: Model, text: str = "text") -> Dat
     each; an empty table gives no rows.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.withColumn("_found", predicted(docs.sparkSession, model, F.col(text)))
-    return rows.select(*kept, F.col("_found.lang").alias("lang_pred"), F.col("_found.score").alias("score"))
+    rows = docs.withColumn("_found", predicted(docs.sparkSession, model, F.col(f"`{text}`")))
+    return rows.select(*(F.col(f"`{c}`") for c in kept), F.col("_found.lang").alias("lang_pred"), F.col("_found.score").alias("score"))

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from shelfline.llm.langid import Scorer, fit, grams_of, identify_languages
+from shelfline.llm.langid import Scorer, _drawn, fit, grams_of, identify_languages
 from shelfline.llm.queries import is_held_out
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -86,3 +86,52 @@ def test_held_out_share_of_the_samples(spark):
     found = identify_languages(docs, fit(docs.filter("not held_out"))).filter("held_out and lang is not null").collect()
     assert len(found) > 150
     assert np.mean([r.lang == r.lang_pred for r in found]) > 0.98
+
+
+def _languages(n):
+    """Languages with letters of their own shares: four of eight syllables that the next language has as well."""
+    draw = random.Random(9)
+    return {f"l{i:02}": ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(12)] for i in range(n)}
+
+
+def _text(draw, stems, words=40):
+    return " ".join("".join(draw.choice(stems) for _ in range(draw.randrange(1, 4))) for _ in range(words))
+
+
+def test_forty_languages_of_very_different_size(spark):
+    draw, stems = random.Random(10), _languages(40)
+    sizes = {lang: round(20_000 ** (i / 39)) for i, lang in enumerate(stems)}
+    rows = [(0, _text(draw, stems[lang], draw.randrange(5, 30)), lang) for lang, n in sizes.items() for _ in range(n)]
+    # A third of the rows are one text.
+    hot = _text(draw, stems["l39"], 50)
+    rows += [(0, hot, "l39")] * (len(rows) // 2)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    model = fit(df, fit_texts=500)
+    assert model.langs == tuple(sorted(stems))
+    held = [(i, _text(draw, stems[lang]), lang) for i, lang in enumerate(list(stems) * 10)]
+    found = identify_languages(spark.createDataFrame(held, SCHEMA), model).collect()
+    right = {lang: np.mean([r.lang_pred == lang for r in found if r.lang == lang]) for lang in stems}
+    # The first languages have one to four short texts.
+    assert all(share == 1 for lang, share in right.items() if sizes[lang] >= 5), right
+    assert np.mean([right[lang] for lang in list(stems)[:7]]) >= 0.9, right
+
+
+def test_a_language_without_frequent_words_is_known(spark):
+    rows = [(i, t, "en") for i, (_, t, _) in enumerate(sentences(5, 800))] + [(1, "აბგდ ევზ", "ka"), (2, "თიკ", "ka"), (3, "12 34", "xx")]
+    model = fit(spark.createDataFrame(rows, SCHEMA), max_words=50, max_grams=40)
+    assert model.langs == ("en", "ka", "xx") and {"აბგდ", "თიკ"} <= set(model.words)
+    found = identify_languages(spark.createDataFrame([(1, "ევზ თიკ", None), (2, "კგ", None)], SCHEMA), model).collect()
+    assert [r.lang_pred for r in found] == ["ka", "ka"]
+
+
+def test_texts_are_drawn_by_language_without_copies(spark):
+    rows = [(0, f"text {i % 300}", "a") for i in range(3000)] + [(0, "one", "b")] * 50 + [(0, f"x{i}", "c") for i in range(9)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    drawn = [tuple(r) for r in _drawn(df, 20).collect()]
+    assert len(drawn) == len(set(drawn)) == 20 + 1 + 9
+    assert sorted(drawn) == sorted(tuple(r) for r in _drawn(df.repartition(3), 20).collect())
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1, "ka lo", "xx")], SCHEMA).toDF("doc_id", "t.x", "l.y")
+    assert [r.lang_pred for r in identify_languages(df, fit(df, "t.x", "l.y"), "t.x").collect()] == ["xx"]
