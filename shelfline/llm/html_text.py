@@ -16,8 +16,17 @@ FIT_STEPS = 200
 #: Characters of a page's text that a training page holds at most. Pages to extract from are read whole.
 TRAINING_CHARS = 6_000
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>?", re.S)
-_ATTRIBUTE = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# An attribute is a name, and after = a value, in quotes if one opens it. A quote anywhere else, or one without its like, is an
+# ordinary character.
+def _attribute(group: str) -> str:
+    return rf"{group}=?[^\s/>=]++|=)(?:\s*+=\s*+(?:\"{group}[^\"]*+)\"|'{group}[^']*+)'|{group}[^\s>]*+)))?+"
+
+
+_ATTRIBUTE = re.compile(_attribute("("))
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[\s/]++|" + _attribute("(?:") + ")*+)>?",
+    re.S,
+)
 _WORDS = re.compile(r"[a-z]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -63,12 +72,45 @@ class Page(NamedTuple):
 
 def _hints(attributes: str) -> tuple[str, ...]:
     words = set()
-    for m in _ATTRIBUTE.finditer(attributes):
+    for m in _ATTRIBUTE.finditer(attributes) if "=" in attributes else ():
         if m[1].lower() in ("class", "id", "role"):
             words.update(_WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", m[2] or m[3] or m[4] or "").lower()))
     return tuple(k for k, ws in _HINTS.items() if words.intersection(ws))
 
 
+class _Open:
+    """The elements that are open, the page itself first. Where a name is open last is known without a search, so the
+    time for a page does not grow with its depth."""
+
+    def __init__(self):
+        self.nodes, self.names = [0], [""]
+        self._places: dict[str, list[int]] = {}
+        # How many of the names up to each element have a scope of their own.
+        self._scopes = [0]
+
+    def push(self, node: int, name: str) -> None:
+        self._places.setdefault(name, []).append(len(self.names))
+        self._scopes.append(self._scopes[-1] + (name in _SCOPES))
+        self.nodes.append(node)
+        self.names.append(name)
+
+    def close(self, place: int) -> None:
+        """End the element at ``place`` and all in it."""
+        while len(self.names) > place:
+            self._places[self.names.pop()].pop()
+            self._scopes.pop()
+            self.nodes.pop()
+
+    def last(self, name: str) -> int:
+        """The place of the innermost open element of the name, or 0."""
+        places = self._places.get(name)
+        return places[-1] if places else 0
+
+    def scoped(self, place: int) -> bool:
+        """Whether an element from ``place`` on has a scope of its own."""
+        return self._scopes[-1] > self._scopes[place - 1]
+
+
 def parse(html: str | None) -> Page:
     """The page's element tree and text, as forgiving as readers of broken markup have to be.
 
@@ -76,15 +118,15 @@ def parse(html: str | None) -> Page:
     block: nothing that begins or ends a block lies between them. Character references are decoded.
     """
     nodes, runs = [Node(-1, "", ())], []
-    stack, names = [0], [""]
+    opened = _Open()
     block, at = 0, 0
     html = html or ""
 
     def text(piece: str) -> None:
         if piece and not piece.isspace():
-            runs.append((stack[-1], block, unescape(piece)))
+            runs.append((opened.nodes[-1], block, unescape(piece)))
         elif piece:
-            runs.append((stack[-1], block, " "))
+            runs.append((opened.nodes[-1], block, " "))
 
     while at < len(html):
         token = _TOKEN.search(html, at)
@@ -99,50 +141,42 @@ def parse(html: str | None) -> Page:
         if token[1]:
             if name in _BLOCK:
                 block += 1
-            if name in names:
-                while names[-1] != name:
-                    # A block's end tag closes what is open in it; that of anything else no block around it.
-                    if name not in _BLOCK and names[-1] in _BLOCK:
-                        break
-                    names.pop(), stack.pop()
-                if names[-1] == name:
-                    names.pop(), stack.pop()
+            if last := opened.last(name):
+                # A block's end tag closes what is open in it; that of anything else no block around it.
+                if name not in _BLOCK:
+                    last = max(last, 1 + max(map(opened.last, _BLOCK)))
+                opened.close(last)
             continue
         ends_itself = token[3].rstrip().endswith("/")
         if name in _RAW:
-            if ends_itself and next((n in _FOREIGN for n in reversed(names) if n in _FOREIGN or n in _BLOCK), False):
+            if ends_itself and max(map(opened.last, _FOREIGN)) > max(map(opened.last, _BLOCK)):
                 continue
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
             at = close.end() if close else len(html)
             continue
         if name == "br":
-            runs.append((stack[-1], block, " "))
+            runs.append((opened.nodes[-1], block, " "))
         if name in _VOID:
             block += name == "hr"
             continue
         if name in _BLOCK:
             block += 1
-            if "select" in names:
+            if last := opened.last("select"):
                 # A list of options holds no blocks: one that is not ended ends here.
-                last = len(names) - 1 - names[::-1].index("select")
-                del names[last:], stack[last:]
-            if "p" in names:
+                opened.close(last)
+            last = opened.last("p")
+            if last and not opened.scoped(last):
                 # A block ends a paragraph that is still open, and what is open in it.
-                last = len(names) - 1 - names[::-1].index("p")
-                if not _SCOPES.intersection(names[last:]):
-                    del names[last:], stack[last:]
-        for k in range(len(names) - 1, 0, -1):
-            if names[k] in _CLOSES.get(name, ()):
-                del names[k:], stack[k:]
-                break
-            if names[k] in _SCOPES and names[k] not in _CLOSES.get(name, ()):
-                break
+                opened.close(last)
+        if name in _CLOSES:
+            last = max(map(opened.last, _CLOSES[name]))
+            if last and last >= max(opened.last(scope) for scope in _SCOPES - _CLOSES[name]):
+                opened.close(last)
         # A list of options is a control like those of a form, wherever it stands.
         hints = _hints(token[3])
-        nodes.append(Node(stack[-1], name, hints if name != "select" or "form" in hints else (*hints, "form")))
+        nodes.append(Node(opened.nodes[-1], name, hints if name != "select" or "form" in hints else (*hints, "form")))
         if not ends_itself or name in _BLOCK:
-            stack.append(len(nodes) - 1)
-            names.append(name)
+            opened.push(len(nodes) - 1, name)
     return Page(nodes, runs)
 
 

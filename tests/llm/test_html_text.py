@@ -1,10 +1,11 @@
 import re
+import time
 from html import unescape
 
 import numpy as np
 import pytest
 
-from shelfline.llm.html_text import Model, _FEATURES, extract_main_text, fit, forest, labelled, main_texts, marginals, parse, training_page
+from shelfline.llm.html_text import Model, _FEATURES, _hints, extract_main_text, fit, forest, labelled, main_texts, marginals, parse, training_page
 from shelfline.llm.queries import op9_main_text
 
 SF = "/root/testdata/sf0.01"
@@ -112,3 +113,65 @@ def test_elements_of_other_vocabularies_and_fallbacks_lose_no_text(model):
         assert main_texts([page % ("", html)], model) == [f"{first}{text}\n{last}"], html
     for outside in ("<noscript><p>Please turn on scripts.</p></noscript>", "<div><select><option>German<option>English</select></div>", "<header><svg><text>Logo</text></svg></header>"):
         assert main_texts([page % (outside, "")], model) == [first + last], outside
+
+
+@pytest.mark.parametrize(
+    "tag",
+    ["<p title=it's>", "<p data-size=5\">", "<p 'x>", "<p title='one' it's>", "<p title=a\"b class='x>y'>", '<p title = "a > b">', "<p =\"x>y\">", "<p title='>"],
+)
+def test_a_stray_quote_in_a_tag_loses_no_text(model, tag):
+    page = f"<html><body><nav><a href=/a>Home</a></nav><article><h1>Headline</h1>{tag}First paragraph of it.</p><p>It's the \"middle\".</p><p>It's the end.</p></article></body></html>"
+    first = {"<p =\"x>y\">": 'y">First paragraph of it.', "<p title='>": None}.get(tag, "First paragraph of it.")
+    if first is None:
+        # The quote has its like in the text, so what lies between is the value; what comes after is all there.
+        assert main_texts([page], model)[0].endswith("It's the end.")
+    else:
+        assert main_texts([page], model)[0] == f'Headline\n{first}\nIt\'s the "middle".\nIt\'s the end.'
+
+
+def test_attributes():
+    for html, hints in (
+        (" class=nav", ("menu",)), (" title=it's class=\"nav x\" id='sidebar'", ("menu", "side")), (" data-x='class=nav'", ()), (" class", ()), (" class = 'advert'", ("advert",)),
+        (" title=\"x class=nav\"", ()), (" disabled class=nav", ("menu",)),
+    ):
+        assert _hints(html) == hints, html
+
+
+def test_time_grows_with_the_page_alone():
+    def seconds(html):
+        start = time.perf_counter()
+        parse(html)
+        return time.perf_counter() - start
+
+    for make in (
+        lambda n: "<div>" * n + "x" + "</div>" * n, lambda n: "<p><table>" + "<div>" * n, lambda n: "<b>" * n + "</i>" * n, lambda n: "<li>" * n,
+        lambda n: "<a " + "x=\"" * n, lambda n: "<a b='" * n, lambda n: "<a " + "x" * 20 * n + ">", lambda n: "<a =" * n,
+    ):
+        seconds(make(2000))
+        assert seconds(make(40_000)) < 20 * max(0.02, seconds(make(10_000)))
+
+
+#: Layouts written by hand, unlike those that the model is trained on.
+LAYOUTS = [
+    "<body><table width=100%><tr><td class=navbar><a href=/>Start</a> <a href=/n>News</a></td></tr><tr><td>{}</td></tr><tr><td class=copyright>Copyright 1999</td></tr></table></body>",
+    "<body><div id=top class=masthead>The Daily</div><div role=navigation class=menu><a href=1>One</a><a href=2>Two</a></div><div id=content>{}</div><div class=sidebar><ul><li><a href=x>Related</a></ul></div></body>",
+    "<body><section class='hero banner'><span>Sign up to our newsletter</span></section><main>{}</main><div class='widget recommended'><a href=q>More stories</a></div><footer><span>Legal</span></footer></body>",
+]
+
+
+BLOCKS = [f"Paragraph {i} says something that is long enough to be read by people who like to read." for i in range(6)]
+
+
+def _found(model, layout):
+    return set(main_texts([layout.format("<h1>A headline</h1>" + "".join(f"<p>{b}</p>" for b in BLOCKS))], model)[0].split("\n"))
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_layouts_of_another_hand_keep_the_article(model, layout):
+    assert set(BLOCKS) <= _found(model, layout)
+
+
+# No training page is laid out by a table, and so the cells around the article are taken for it as well.
+@pytest.mark.parametrize("layout", [pytest.param(LAYOUTS[0], marks=pytest.mark.xfail(strict=True)), *LAYOUTS[1:]])
+def test_layouts_of_another_hand_lose_what_is_around(model, layout):
+    assert _found(model, layout) <= {"A headline", *BLOCKS}
