@@ -60,7 +60,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = archived(_table(spark, sf_dir, "pages"), f"{shared_folder(spark)}/warc-{uuid4().hex}").filter("gap is null")
+    records = archived(_table(spark, sf_dir, "pages"), f"{shared_folder(spark)}/warc-{uuid4().hex}")
     return records.select(
         page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of(F.col("refers_to")).alias("refers_to")
     )

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder, from spark.checkpoint.dir; only where that is unset, as in tests, one is made."""
+    """The checkpoint folder, from spark.checkpoint.dir. Where that is unset, a cluster, whose executors have no folder
+    of this machine, gets one in the warehouse, and a session on this machine alone a new one here."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        local = context.master.startswith("local")
+        context.setCheckpointDir(named or (tempfile.mkdtemp(prefix="llm-") if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"))
     return context.getCheckpointDir()
 
 

@@ -13,13 +13,12 @@ from pyspark.sql import functions as F
 RESPONSE, REVISIT = "response", "revisit"
 #: Payloads shorter than this are stored again each time.
 LEAST_SHARED_BYTES = 1000
-#: Records of one archive at most; an archive is read by one task.
-RECORDS_PER_ARCHIVE = 2000
+#: An archive is read by one task. It has at most so many records of less than so many bytes, and one of the largest.
+ARCHIVES = ((1 << 16, 2000), (1 << 20, 128), (1 << 24, 8), (None, 1))
 _END = b"\r\n\r\n"
-_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_VERSION = re.compile(rb"WARC/[0-9]\.[0-9]{1,2}\r\n")
 _GZIP = b"\x1f\x8b\x08"
-_START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
-_MOST_HEADERS = 1 << 20
+_START = re.compile(rb"WARC/[0-9]\.[0-9]{1,2}\r\n|\x1f\x8b\x08")
 _STEP = 1 << 16
 
 
@@ -68,14 +67,22 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
     keyed = long_ones.join(shared.drop("least"), ["digest", "size"]).filter("key < refers_to").distinct()
     staged = f"{folder}-revisits"
     keyed.write.parquet(staged)
+    # A size that no record has needs no further pass over the pages.
+    most = rows.agg(F.max(F.col("size") + F.coalesce(F.octet_length("url"), F.lit(0)))).first()[0] or 0
     # Read back, so that Spark knows how large it is.
     revisits = pages.sparkSession.read.schema(keyed.schema).parquet(staged)
     marked = rows.join(revisits, ["key", "digest", "size"], "left")
     nothing = F.lit("")
     parts = [F.col("key"), F.col("url"), F.col("digest"), F.col("size"), F.col("refers_to")]
     record = F.when(F.col("refers_to").isNull(), _record(RESPONSE, *parts, F.col("payload"))).otherwise(_record(REVISIT, *parts, nothing))
-    writer = marked.select(record.alias("value")).write.option("lineSep", _END.decode()).option("maxRecordsPerFile", RECORDS_PER_ARCHIVE)
-    writer.text(folder)
+    bytes_of = F.col("size") + F.coalesce(F.octet_length("url"), F.lit(0))
+    at_least = 0
+    for below, records in ARCHIVES:
+        own = bytes_of >= at_least if below is None else (bytes_of >= at_least) & (bytes_of < below)
+        if at_least == 0 or most >= at_least:
+            writer = marked.filter(own).select(record.alias("value")).write.mode("append").option("lineSep", _END.decode())
+            writer.option("maxRecordsPerFile", records).text(folder)
+        at_least = below
 
 
 class Record(NamedTuple):
@@ -88,13 +95,17 @@ class Record(NamedTuple):
     gap: str | None
 
 
-def _headers(block: bytes) -> dict[str, str] | None:
+def _headers(data: bytes, at: int, close: int) -> dict[str, str] | None:
+    """The lines behind the version line, up to ``close``; None, and no further look, once a line is no header."""
     found = {}
-    for line in block.split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
+    at = data.find(b"\r\n", at) + 2
+    while at < close:
+        end = data.find(b"\r\n", at, close)
+        name, colon, value = data[at : end if end >= 0 else close].partition(b":")
         if not colon:
             return None
         found[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
+        at = end + 2 if end >= 0 else close
     return found
 
 
@@ -106,14 +117,13 @@ def _valid(headers: dict[str, str], payload: bytes) -> str | None:
     return None
 
 
-def _record_at(data: bytes, at: int) -> Record | str:
-    """The record that begins at ``at``, or the check that it fails.
+def _record_at(data: bytes, at: int, close: int) -> Record | str:
+    """The record that begins at ``at``, or the check that it fails; ``close`` is where its headers end, or negative.
 
     It has to begin with a version line and headers, be as long as its Content-Length says, be closed by two
     line ends and have the payload that its digest says.
     """
-    close = data.find(_END, at, at + _MOST_HEADERS)
-    headers = _headers(data[at:close]) if close >= 0 else None
+    headers = _headers(data, at, close) if close >= 0 else None
     size = (headers or {}).get("content-length", "")
     if headers is None or not size.isdecimal() or len(size) > 18:
         return "headers"
@@ -142,10 +152,14 @@ def salvaged(data: bytes) -> Iterator[Record]:
     Records and gaps inside a member have the member's offsets in the archive.
     """
     at, gap, why = 0, 0, ""
+    close = data.find(_END)
     while at < len(data):
         found: list[Record] | None = None
         if _VERSION.match(data, at):
-            record = _record_at(data, at)
+            # The same end of headers may serve many version lines before it; it is looked for once.
+            if 0 <= close < at:
+                close = data.find(_END, at)
+            record = _record_at(data, at, close)
             if isinstance(record, str):
                 why = why or record
             else:
@@ -202,8 +216,10 @@ def page_of(record_id: Column) -> Column:
 
 
 def archived(pages: DataFrame, folder: str, **names: str) -> DataFrame:
-    """Write ``pages`` to ``folder`` and read all records back, without payloads."""
+    """Write ``pages`` to ``folder`` and read all records back, without payloads. What was just written has no gaps; if
+    one is read, the query fails rather than to lose a page."""
     write_warc(pages, folder, **names)
     files = pages.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
-    return read_warc(files, payloads=False)
+    gap = F.raise_error(F.concat(F.lit("gap in "), F.col("archive"), F.lit(": "), F.col("gap"))).cast("boolean")
+    return read_warc(files, payloads=False).filter(F.when(F.col("gap").isNotNull(), gap).otherwise(True))
 

@@ -1,8 +1,13 @@
 import gzip
 import hashlib
 import random
+import time
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
+from shelfline.llm import warc
 from shelfline.llm.queries import op4_warc
 from shelfline.llm.warc import archived, page_of, read_warc, salvaged, write_warc
 
@@ -103,3 +108,42 @@ def test_query_on_the_samples(spark):
     assert len(read) == len(pages)
     for p in pages:
         assert read[p.page_id].payload_digest == hashlib.sha1((p.html or "").encode()).hexdigest()
+
+
+def test_urls_of_any_length_come_back(spark, tmp_path):
+    rows = [(1, "http://a/" + "x" * 3_000_000, "short"), (2, "http://a/" + "y" * (1 << 20), LONG), (3, "http://b", LONG), (4, "u", "z" * 2_000_000)]
+    _, read = rows_of(spark, tmp_path, rows)
+    assert {r.p: (len(r.target_uri), r.gap) for r in read} == {k: (len(u), None) for k, u, _ in rows}
+    assert {r.p: r.r for r in read} == {1: None, 2: 3, 3: None, 4: None}
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVES", ((100, 20), (1000, 4), (None, 1)))
+    rows = [(i, "u", "a" * (10 if i % 3 else 500 if i % 2 else 5000)) for i in range(90)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    assert archived(df, str(tmp_path / "w")).count() == 90
+    records = [f.read_bytes().count(b"WARC/1.1") for f in (tmp_path / "w").glob("*.txt")]
+    assert sorted(records) == [1] * 15 + [3] + [4] * 3 + [20] * 3
+
+
+def test_a_gap_in_own_archives_fails_the_query(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "_record", lambda kind, key, *rest: F.concat(F.lit("WARC/1.1\r\nno header"), key.cast("string")))
+    with pytest.raises(Exception, match="gap in .*headers"):
+        archived(spark.createDataFrame([(1, "u", "text")], SCHEMA), str(tmp_path / "w")).count()
+
+
+def test_older_versions():
+    for version in (b"0.9", b"0.17", b"0.18", b"1.0", b"1.1"):
+        data = record(b"one").replace(b"WARC/1.0", b"WARC/" + version)
+        assert found(b"junk" + data + data) == ([b"one", b"one"], [(0, 4, "no version line")])
+
+
+def test_time_to_salvage_grows_with_the_archive_alone():
+    def seconds(data):
+        start = time.perf_counter()
+        assert found(data)[0] == [b"last"] * data.endswith(b"last\r\n\r\n")
+        return time.perf_counter() - start
+
+    # Version lines without an end of headers, and with one far behind them.
+    for make in (lambda n: b"WARC/1.0\r\nA: b\r\n" * n, lambda n: b"WARC/1.0\r\nA: b\r\n" * n + record(b"last"), lambda n: b"WARC/1.0\r\n" * n + b"x"):
+        assert seconds(make(40_000)) < 20 * max(0.02, seconds(make(10_000)))
