@@ -25,7 +25,8 @@ _MESSAGES_AT_ONCE = 1 << 16
 # The patterns of the four kinds, fixed by the contract of the query.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A match that does not begin at the start of a run of figures would begin there too, so no other place is tried.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
@@ -126,18 +127,16 @@ def _key(s: str) -> str:
 
 
 def mentions(text: str | None, base: Sequence[Span]) -> list[Mention]:
-    """The nodes of a document's field: base spans, and whatever else looks like figures or an address."""
+    """The nodes of a document's field: base spans, and whatever between them looks like figures or an address."""
     if not text or not (base or "@" in text or _DIGITS.search(text) or "(at)" in text.lower() or "[at]" in text.lower()):
         return []
     found = [Mention(s.start, s.end, _key(text[s.start : s.end]), 1 + s.kind, _features(text, s.start, s.end)) for s in base]
-    taken = sorted((s.start, s.end) for s in base)
-    at = 0
-    for m in _MENTION.finditer(text):
-        while at < len(taken) and taken[at][1] <= m.start():
-            at += 1
-        if at < len(taken) and taken[at][0] < m.end():
-            continue
-        found.append(Mention(m.start(), m.end(), _key(m[0]), 0, _features(text, m.start(), m.end())))
+    free = 0
+    for start, end in [*sorted((s.start, s.end) for s in base), (len(text), len(text))]:
+        if free < start:
+            for m in _MENTION.finditer(text, free, start):
+                found.append(Mention(m.start(), m.end(), _key(m[0]), 0, _features(text, m.start(), m.end())))
+        free = max(free, end)
     return sorted(found)
 
 

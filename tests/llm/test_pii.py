@@ -1,13 +1,14 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
 from shelfline.llm import pii
 from shelfline.llm.pii import (
-    KINDS, LABELS, Field, Mention, base_spans, edges, find_personal_data, find_spans, fit, fit_field, graph, luhn, marginals, masked,
+    KINDS, LABELS, Field, Mention, base_spans, edges, find_personal_data, find_spans, fit, fit_field, graph, luhn, marginals, masked, mentions,
 )
 from shelfline.llm.queries import op6_pii
 
@@ -162,3 +163,34 @@ def test_messages_are_passed_until_they_stop_changing():
     draw = np.random.default_rng(5)
     swinging = Field(draw.normal(size=(40, LABELS)), -9.0 * np.eye(LABELS), -9.0 * np.eye(LABELS))
     assert np.isfinite(marginals(graph([[Mention(i, i + 1, "5551234567", 0, (i % 40,)) for i in range(60)]]), swinging)).all()
+
+
+def test_runs_of_figures_against_the_patterns():
+    draw = random.Random(12)
+    for _ in range(3000):
+        parts = ["".join(draw.choice("0123456789") for _ in range(draw.choice([1, 2, 3, 4, 9, 16]))), ".", "..", "+", " ", "-", "(", "255", "a", "@", "é"]
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(30)))
+        assert [(KINDS[s.kind], s.start, s.end) for s in base_spans(text)] == plain(text), repr(text)
+
+
+def test_time_grows_with_the_text_alone():
+    for text in (
+        "7" * 1_000_000, "1." * 500_000, "12.34.56 " * 110_000, "+1 " * 330_000, "+1" + "(" * 1_000_000, "1 " * 500_000, "a@" * 500_000, "a@" + "b" * 1_000_000,
+        "4111111111111111 " * 60_000, "1-" * 500_000 + "x",
+    ):
+        start = time.perf_counter()
+        base = base_spans(text)
+        took = time.perf_counter() - start
+        mentions(text, base)
+        assert took < 4 and time.perf_counter() - start < 15, text[:10]
+    start = time.perf_counter()
+    mentions("7" * 1_000_000, base_spans("7" * 1_000_000))
+    assert time.perf_counter() - start < 3
+
+
+def test_mentions_between_base_spans_are_nodes():
+    text = "call +1 017 555-7713 or write 017 555-7713 10.0.0.1 a@b.co 4111 1111 1111 1111, 5557713"
+    nodes = [(text[m.start : m.end], m.kind) for m in mentions(text, base_spans(text))]
+    assert [n for n in nodes if n[1] == 0] == [("017 555-7713", 0), ("5557713", 0)]
+    for a, b in zip(mentions(text, base_spans(text)), mentions(text, base_spans(text))[1:]):
+        assert a.end <= b.start or a.kind and b.kind
