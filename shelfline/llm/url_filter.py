@@ -38,9 +38,26 @@ def path_of(url: Column) -> Column:
     return _part(url, 3)
 
 
+def _without_dots(path: Column) -> Column:
+    """The path without ``.`` and ``..`` segments, each of the latter with the segment before it; ``/`` if empty."""
+    dots = F.array(F.lit("."), F.lit(".."))
+    parts = F.split(F.substring(path, 2, 1 << 30), "/")
+    # What a dot segment at the end leaves behind is a folder.
+    ended = F.when(F.array_contains(dots, F.element_at(parts, -1)), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+
+    def step(kept: Column, part: Column) -> Column:
+        above = F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(part == "..", above).when(part == ".", kept).otherwise(F.concat(kept, F.array(part)))
+
+    kept = F.aggregate(ended, F.array().cast("array<string>"), step)
+    clean = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    return F.when(path == "", F.lit("/")).when(path.rlike(r"/\.{1,2}(/|$)"), clean).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """The url as a graph node: scheme and host lower-cased, without fragment; null if it has no ``://``."""
-    node = F.concat(_ascii_lower(_part(url, 1)), F.lit("://"), host_of(url), path_of(url), _part(url, 4))
+    """The url as a graph node: scheme and host lower-cased, without dot segments and fragment, an empty path as ``/``;
+    null if it has no ``://``."""
+    node = F.concat(_ascii_lower(_part(url, 1)), F.lit("://"), host_of(url), _without_dots(path_of(url)), _part(url, 4))
     return F.when(F.contains(url, F.lit("://")), node)
 
 
@@ -56,12 +73,15 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def _resolved(href: Column, url: Column) -> Column:
-    """``href`` as an absolute url, as seen from ``url``; null if it is empty or ``url`` has no ``://``."""
+    """``href`` as an absolute url, as seen from ``url``; null if it is empty, of a scheme without hosts, or ``url`` has
+    no ``://``."""
     origin = F.concat(_part(url, 1), F.lit("://"), host_of(url))
     folder = F.regexp_replace(path_of(url), "[^/]*$", "")
     return (
         F.when(~F.contains(url, F.lit("://")) | (href == ""), F.lit(None).cast("string"))
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), href)
+        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+        .when(href.startswith("#"), url)
         .when(href.startswith("//"), F.concat(_part(url, 1), F.lit(":"), href))
         .when(href.startswith("/"), F.concat(origin, href))
         .when(href.startswith("?"), F.concat(origin, path_of(url), href))
@@ -72,7 +92,8 @@ def _resolved(href: Column, url: Column) -> Column:
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Distinct edges (src, dst) from a page to its canonical link and to the target of a refresh redirect.
 
-    Comments and scripts don't count, ``&amp;`` is decoded, relative links are resolved against the page's url.
+    Comments and scripts don't count, ``&amp;`` is decoded, relative links are resolved against the page's first
+    ``base`` that has a link, and that against the page's url.
     """
     text, here = F.col(html), F.col(url)
     hint = r"(?i)rel\s*=\s*[\"']?[^\"'>]*canonical|http-equiv\s*=\s*[\"']?\s*refresh"
@@ -82,17 +103,21 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     def attribute(tag: Column, name: str) -> Column:
         return F.concat(*(F.regexp_extract(tag, value % rf"\s{name}", i) for i in (1, 2, 3)))
 
-    tags = (
-        pages.filter(here.isNotNull() & text.rlike(hint))
-        .select(here.alias("_url"), F.explode(F.regexp_extract_all(marked, F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), 1)).alias("_tag"))
+    def tags(names: str) -> Column:
+        return F.regexp_extract_all(marked, F.lit(rf"(?is)(<(?:{names})\b[^>]*>)"), 1)
+
+    bases = F.filter(F.transform(tags("base"), lambda tag: F.trim(attribute(tag, "href"))), lambda link: link != "")
+    found = pages.filter(here.isNotNull() & text.rlike(hint)).select(
+        here.alias("_url"), F.get(bases, F.lit(0)).alias("_base"), F.explode(tags("link|meta")).alias("_tag")
     )
     tag = F.col("_tag")
     canonical = tag.rlike(r"(?i)^<link") & attribute(tag, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)")
     refresh = tag.rlike(r"(?i)^<meta") & attribute(tag, "http-equiv").rlike(r"(?i)^\s*refresh\s*$")
     aim = F.regexp_extract(attribute(tag, "content"), r"(?is)url\s*=\s*[\"']?([^\"']*)", 1)
     href = F.trim(F.regexp_replace(F.when(canonical, attribute(tag, "href")).when(refresh, aim), "&amp;", "&"))
+    at = F.coalesce(_resolved(F.regexp_replace("_base", "&amp;", "&"), F.col("_url")), F.col("_url"))
     return (
-        tags.select(node_of(F.col("_url")).alias("src"), node_of(_resolved(href, F.col("_url"))).alias("dst"))
+        found.select(node_of(F.col("_url")).alias("src"), node_of(_resolved(href, at)).alias("dst"))
         .filter("src is not null and dst is not null and src != dst")
         .distinct()
     )

@@ -1,4 +1,5 @@
 import random
+from urllib.parse import urljoin, urlsplit
 
 from shelfline.llm.components import connected_components
 from shelfline.llm.queries import URL_RULES
@@ -113,3 +114,58 @@ def test_plan_has_no_python(spark):
     pages = spark.createDataFrame([(1, "http://a.net/", "x")], PAGES)
     plan = judge_urls(pages, URL_RULES, link_edges(pages))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_aliases_by_dot_segments_empty_paths_and_base(spark):
+    def page(href, base=""):
+        return f"<head>{base}<link rel=canonical href='{href}'></head>"
+
+    found = judged(
+        spark,
+        [
+            (1, "https://y.com/a/b", page("../de/1")),
+            (2, "https://y.net/a/q", page("http://z.com/fr/../de/9")),
+            (3, "https://w.net", page("http://x.com/de/2")),
+            (4, "https://w.net/", None),
+            (5, "https://w.net#top", None),
+            (6, "https://v.net/p", page("1", "<base target=_top><BASE href='http://x.com/de/'><base href='/fr/'>")),
+            (7, "https://u.com/p/q", page("x", "<base href='../de/'>")),
+            (8, "https://t.net/", page("#part")),
+            (9, "https://s.net/", page("mailto:x.com/de/1")),
+            (10, "https://r.net/a/./b/../../c", page("http://x.com/de/3")),
+            (11, "https://r.net/c", None),
+            (12, "https://q.com/", page("..")),
+        ],
+    )
+    assert {page for page, row in found.items() if row[3] == "block"} == {1, 2, 3, 4, 5, 6, 7, 10, 11}
+    assert found[1][:3] == ("y.com", "/a/b", None)
+
+
+def test_links_are_resolved_as_the_standard_library_does(spark):
+    draw = random.Random(4)
+    parts = ["a", "b", "c.d", "..", ".", "...", "..", "de"]
+
+    def path(n):
+        return "/".join(draw.choice(parts) for _ in range(draw.randrange(1, n)))
+
+    rows = []
+    for i in range(400):
+        url = f"http://h{i}.net/" + path(5)
+        href = draw.choice(["", "/", "//k.net/", "http://k.net/", "?q=", ""]) + path(6) + draw.choice(["", "/", "?x=../y"])
+        rows.append((i, url, f'<link rel="canonical" href="{href}">', href))
+    edges = link_edges(spark.createDataFrame(rows, PAGES + ", href string")).collect()
+    found = {r.src.split("/")[2]: r.dst for r in edges}
+    def clean(link):
+        """The library leaves the dot segments of a link with a host, but not those of a path."""
+        query = urlsplit(link).query
+        return urljoin(link, urlsplit(link).path or "/") + (f"?{query}" if query else "")
+
+    for i, url, _, href in rows:
+        assert found.get(f"h{i}.net", clean(url)) == clean(urljoin(url, href)), (url, href)
+
+
+def test_very_long_paths(spark):
+    long = "http://x.com/" + "a/../" * 500 + "de/1"
+    assert judged(spark, [(1, "http://z.net/", f"<link rel=canonical href='{long}'>"), (2, long, None)]) == {
+        1: ("z.net", "/", None, "block"), 2: ("x.com", long.removeprefix("http://x.com"), None, "block"),
+    }
