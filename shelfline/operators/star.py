@@ -13,6 +13,9 @@ of products or stores that hold much of the rows (``spark.sql.adaptive.skewJoin.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Column of tables that lie in buckets by product, and how many numbers it has; see ``sources.lake.Buckets``.
+SPREAD, SPREADS = "_spread", 8
+
 
 def with_date(rows: DataFrame, dim_date: DataFrame, *attributes: str) -> DataFrame:
     """``rows`` with attributes of their day. An equally named column, as the year of a stored fact, is replaced."""
@@ -30,6 +33,11 @@ def _with(rows: DataFrame, dim: DataFrame, surrogate: str, row_id: str, dim_id:
 
 
 def with_product(rows: DataFrame, dim_product: DataFrame, *attributes: str) -> DataFrame:
+    """``rows`` that lie in buckets by product stay where they are: each product is repeated for every spread."""
+    if SPREAD in rows.columns and "product_key" not in rows.columns:
+        side = dim_product.select("product_id", *(a for a in attributes if a != "product_id"))
+        side = side.withColumn(SPREAD, F.explode(F.sequence(F.lit(0), F.lit(SPREADS - 1))))
+        return rows.join(side, ["product_id", SPREAD]).drop(SPREAD)
     return _with(rows, dim_product, "product_key", "product_id", "product_id", attributes)
 
 

@@ -16,7 +16,7 @@ from ..functions import fixed_values as fixed
 from ..functions.scalars import year_of
 from ..operators import cards, dims, facts, innovation, promotion, sales, views
 from ..operators.clean import CLEAN_SPECS, clean_table
-from ..sources.lake import read_clean, read_raw, read_table, write_table
+from ..sources.lake import Buckets, read_clean, read_raw, read_table, write_table
 from ..sources.schemas import FOLDERS
 from ..sources.staging import own_staging
 
@@ -27,6 +27,7 @@ FACTS = {
     "fact_ecommerce_sales": ("ecommerce_orders", facts.fact_ecommerce_sales),
     "fact_inventory": ("inventory", facts.fact_inventory),
 }
+SALES = ("sellin", "sellout", "pos_sales", "ecommerce_orders")
 DIMENSIONS = ("dim_date", "dim_product", "dim_distributor", "dim_store", "dim_promotion")
 MARTS = ("sales_mart", "promotion_mart", "innovation_mart")
 CARDS = {
@@ -45,9 +46,16 @@ CARDS = {
 }
 
 
-def build_clean(spark: SparkSession, raw_base: str, clean_base: str) -> dict[str, int]:
+def build_clean(spark: SparkSession, raw_base: str, clean_base: str, product_buckets: int | None = None) -> dict[str, int]:
+    """With ``product_buckets``, the sales of the four channels lie in so many buckets by product, and the joins of
+    facts and marts to a product table too large to be broadcast move none of them."""
+    buckets = Buckets("product_id", product_buckets) if product_buckets else None
     return {
-        table: write_table(clean_table(read_raw(spark, raw_base, table), spec), f"{clean_base}/{FOLDERS[table]}")
+        table: write_table(
+            clean_table(read_raw(spark, raw_base, table), spec),
+            f"{clean_base}/{FOLDERS[table]}",
+            buckets=buckets if table in SALES else None,
+        )
         for table, spec in CLEAN_SPECS.items()
     }
 
@@ -86,7 +94,7 @@ def build_marts(spark: SparkSession, clean_base: str, base: str) -> dict[str, in
     year, and a report on one year reads only that one.
     """
     sellin, sellout, pos, ecommerce = (
-        read_clean(spark, clean_base, name) for name in ("sellin", "sellout", "pos_sales", "ecommerce_orders")
+        read_clean(spark, clean_base, name) for name in SALES
     )
     fact_pos, fact_sellout = (read_table(spark, base, name) for name in ("fact_pos_sales", "fact_sellout"))
     d = read_dimensions(spark, base)
@@ -128,10 +136,11 @@ def main() -> None:
     parser.add_argument("clean")
     parser.add_argument("warehouse")
     parser.add_argument("--start", type=date.fromisoformat, default=fixed.CALENDAR_START)
+    parser.add_argument("--product-buckets", type=int)
     parser.add_argument("--end", type=date.fromisoformat, default=fixed.CALENDAR_END)
     args = parser.parse_args()
     spark = SparkSession.builder.appName("shelfline-batch").getOrCreate()
-    rows = build_clean(spark, args.raw, args.clean)
+    rows = build_clean(spark, args.raw, args.clean, args.product_buckets)
     rows |= build_warehouse(spark, args.clean, args.warehouse, dims.CalendarBounds(args.start, args.end))
     rows |= build_marts(spark, args.clean, args.warehouse)
     print(json.dumps(rows, indent=1))

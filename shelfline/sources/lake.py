@@ -6,6 +6,7 @@ last, so a table is replaced as a whole or, if the job fails, not at all.
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,11 +15,27 @@ from pyspark.sql import types as T
 
 from ..operators.adhoc import row_count_audit
 from ..operators.clean import normalize_columns
+from ..operators.star import SPREAD, SPREADS
 from .files import delete, exists, folders_in, names_in, touch
 from .schemas import CLEAN_TYPES, COLUMN_ORDER, FOLDERS, RAW_COLUMNS
 
+
+@dataclass(frozen=True)
+class Buckets:
+    """A layout that joins on ``key`` without moving the table: rows lie in ``number`` files by key and spread.
+
+    Each row has one of ``SPREADS`` numbers by a hash of its columns, so that the rows of a hot key lie in as many
+    files; ``operators.star`` repeats the other side, which is far smaller, once for each. ``number`` has to be
+    ``spark.sql.shuffle.partitions`` at least, or Spark moves both sides to have as many tasks as that.
+    """
+
+    key: str
+    number: int
+
+
 _VERSION = re.compile("[0-9]{10}-[0-9a-f]{32}")
 _ROWS = "_rows-"
+_BUCKETS = re.compile("_buckets-([0-9]+)-(.+)")
 
 
 def read_raw(spark: SparkSession, raw_base: str, table: str) -> DataFrame:
@@ -51,7 +68,7 @@ def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
     path = f"{base}/{table}"
     versions = _complete(spark, path)
     if versions:
-        df = spark.read.parquet(f"{path}/{versions[-1]}")
+        df = _read_version(spark, f"{path}/{versions[-1]}")
     elif _foreign(spark, path):
         df = read_parquet(spark, path)
     else:
@@ -70,7 +87,7 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def as_declared(df: DataFrame, types: dict[str, str], where: str) -> DataFrame:
-    """``df`` with the declared columns, in their order; others are left out.
+    """``df`` with the declared columns, in their order; others are left out, but for the spread of a bucketed table.
 
     A column of another type is taken if that is one which other writers give for the same values: whole numbers of
     any size for int (one that has no room there fails the query), real and whole numbers for double, a timestamp
@@ -83,7 +100,8 @@ def as_declared(df: DataFrame, types: dict[str, str], where: str) -> DataFrame:
     others = {n: found[n][1] for n, kind in types.items() if found[n][1] not in (kind, "void") and found[n][1].split("(")[0] not in _TAKEN_FOR.get(kind, ())}
     if others:
         raise ValueError(f"{where} has columns of other types than declared: {others}")
-    return df.select(*(_cast(F.col(f"`{found[n][0]}`"), found[n][1], kind).alias(n) for n, kind in types.items()))
+    columns = [_cast(F.col(f"`{found[n][0]}`"), found[n][1], kind).alias(n) for n, kind in types.items()]
+    return df.select(*columns, *([SPREAD] if SPREAD in df.columns else []))
 
 
 #: Types that other writers give to columns of a type.
@@ -101,6 +119,22 @@ def _cast(col: Column, found: str, kind: str) -> Column:
     return F.when(col.isNotNull() & small.isNull(), F.raise_error(F.concat(F.lit("no room in an int for "), col.cast("string")))).otherwise(small)
 
 
+def _read_version(spark: SparkSession, version: str) -> DataFrame:
+    """A version that has buckets is read as a table of the session's catalog, which alone knows of buckets."""
+    df = spark.read.parquet(version)
+    found = next(filter(None, map(_BUCKETS.fullmatch, names_in(spark, version))), None)
+    if found is None:
+        return df
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    name = _catalog_name(version)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (`{found[2]}`, {SPREAD}) INTO {found[1]} BUCKETS LOCATION '{version}'")
+    return spark.table(name)
+
+
+def _catalog_name(version: str) -> str:
+    return f"shelfline_{version.rsplit('-', 1)[-1]}"
+
+
 def _complete(spark: SparkSession, path: str) -> list[str]:
     return [name for name in folders_in(spark, path) if _VERSION.fullmatch(name) and exists(spark, f"{path}/{name}/_SUCCESS")]
 
@@ -129,7 +163,7 @@ def row_counts(spark: SparkSession, base: str, tables: Sequence[str]) -> DataFra
     return known.unionByName(row_count_audit(others)) if others else known
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), buckets: Buckets | None = None) -> int:
     """Replace the Parquet table at ``path`` and return the number of rows written, counted during the write.
 
     The table that was there stays readable until the new one is complete, and one version longer for queries that
@@ -137,6 +171,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     With ``partition_by``, rows of a value are brought together, so that there are few files; a value that holds
     much of the table is split over several tasks by adaptive execution. A folder that holds anything but versions,
     such as Parquet files of another writer, is refused, so that these are neither mixed nor lost.
+
+    With ``buckets`` the table is shuffled once, here, and later joins on the key find it in place; it has the column
+    ``_spread`` then.
     """
     spark = df.sparkSession
     foreign = _foreign(spark, path)
@@ -149,8 +186,17 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
     version = f"{path}/{number:010d}-{uuid4().hex}"
-    rows.write.partitionBy(*partition_by).parquet(version)
+    if buckets:
+        spread = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(SPREADS)).cast("int")
+        # Dealt as buckets are, so that a bucket is one file.
+        rows = rows.withColumn(SPREAD, spread).repartition(buckets.number, buckets.key, SPREAD)
+        writer = rows.write.partitionBy(*partition_by).bucketBy(buckets.number, buckets.key, SPREAD).sortBy(buckets.key)
+        writer.option("path", version).format("parquet").saveAsTable(_catalog_name(version))
+        touch(spark, f"{version}/_buckets-{buckets.number}-{buckets.key}")
+    else:
+        rows.write.partitionBy(*partition_by).parquet(version)
     touch(spark, f"{version}/{_ROWS}{written.get['rows']}")
     for name in set(before) - set(_complete(spark, path)[-2:]):
+        spark.sql(f"DROP TABLE IF EXISTS {_catalog_name(name)}")
         delete(spark, f"{path}/{name}")
     return written.get["rows"]

@@ -1,0 +1,96 @@
+"""Sales in buckets by product: the same rows, and no move of the sales for the product."""
+
+import re
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfline.operators import facts, sales
+from shelfline.operators.star import SPREAD, SPREADS
+from shelfline.sources.lake import Buckets, read_clean, read_table, recorded_rows, write_table
+from shelfline.sources.schemas import FOLDERS
+
+from . import fixtures as fx
+from .conftest import plan_of, rows_of
+
+DAY = date(2023, 5, 1)
+N = 600
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    """A third of all sales are of one product."""
+    products = fx.products(spark, *((f"P{i}", f"B{i % 3}", DAY, 0) for i in range(40)))
+    dims = fx.natural(spark, products, fx.distributors(spark, "D1", "D2"), (fx.stores(spark, "S1", "S2"), fx.retailers(spark, "R1")))
+
+    def of(i):
+        return f"P{0 if i % 3 == 0 else i % 45}"
+
+    days = [DAY + timedelta(i % 50) for i in range(N)]
+    rows = {
+        "sellin": fx.sellin(spark, *((days[i], f"D{1 + i % 3}", of(i), i, i / 4, 1.0, i / 2) for i in range(N))),
+        "sellout": fx.sellout(spark, *((days[i], "R1", "D1", of(i), i, i / 4) for i in range(N))),
+        "pos_sales": fx.pos_sales(spark, *((days[i], f"S{1 + i % 2}", of(i), i, i / 4) for i in range(N))),
+        "ecommerce_orders": fx.ecommerce(spark, *((days[i], "Shop", of(i), i, i / 4) for i in range(N))),
+    }
+    return rows, dims
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tables, tmp_path_factory):
+    base = str(tmp_path_factory.mktemp("buckets"))
+    for name, df in tables[0].items():
+        assert write_table(df, f"{base}/{FOLDERS[name]}", buckets=Buckets("product_id", 8)) == N
+    return base
+
+
+def _mart(spark, stored, tables):
+    return sales.sales_mart(*(read_clean(spark, stored, name) for name in tables[0]), tables[1])
+
+
+def test_same_rows(spark, tables, stored):
+    for name, df in tables[0].items():
+        found = read_clean(spark, stored, name)
+        assert found.columns == [*df.columns, SPREAD]
+        assert rows_of(found.drop(SPREAD)) == rows_of(df) and recorded_rows(spark, stored, FOLDERS[name]) == N
+    assert rows_of(_mart(spark, stored, tables)) == rows_of(sales.sales_mart(*tables[0].values(), tables[1]))
+    assert _mart(spark, stored, tables).columns == sales.sales_mart(*tables[0].values(), tables[1]).columns
+
+
+def test_facts_from_buckets(spark, tables, stored):
+    rows, dims = tables
+    numbered = dims.product.withColumn("product_key", F.substring("product_id", 2, 9).cast("long"))
+    d = type(dims)(dims.date, numbered)
+    assert rows_of(facts.fact_ecommerce_sales(read_clean(spark, stored, "ecommerce_orders"), d)) == rows_of(
+        facts.fact_ecommerce_sales(rows["ecommerce_orders"], d)
+    )
+
+
+def test_sales_are_not_moved_for_the_product(spark, tables, stored, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    plan = plan_of(_mart(spark, stored, tables))
+    assert "Bucketed: true" in plan and "NestedLoop" not in plan
+    moved = len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan))
+    plain = len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan_of(sales.sales_mart(*tables[0].values(), tables[1]))))
+    # Of each channel the sales stay; the product table is moved, for all channels in the same way.
+    assert plain - moved >= 4
+    assert rows_of(_mart(spark, stored, tables)) == rows_of(sales.sales_mart(*tables[0].values(), tables[1]))
+
+
+def test_a_hot_product_lies_in_several_files(spark, stored):
+    hot = read_table(spark, stored, FOLDERS["pos_sales"]).filter("product_id = 'P0'")
+    assert hot.select(SPREAD).distinct().count() == SPREADS
+    of_file = hot.groupBy(F.input_file_name()).count().collect()
+    assert len(of_file) >= 4 and max(r["count"] for r in of_file) < N / 3 / 2
+
+
+def test_a_new_version_and_another_session(spark, tables, stored, tmp_path):
+    path = f"{tmp_path}/t"
+    df = tables[0]["pos_sales"]
+    for n in (50, 40, 30):
+        write_table(df.limit(n), path, buckets=Buckets("product_id", 8))
+        assert read_table(spark, str(tmp_path), "t").count() == n
+        assert read_table(spark.newSession(), str(tmp_path), "t").count() == n
+    write_table(df.limit(20), path)
+    assert SPREAD not in read_table(spark, str(tmp_path), "t").columns and read_table(spark, str(tmp_path), "t").count() == 20
