@@ -1,0 +1,111 @@
+"""Stored reports against the views, after changes of some years."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfline.operators import views
+from shelfline.plans import reports
+from shelfline.plans.catalog import QUERIES
+from shelfline.plans.reports import REPORTS, read_report, refresh
+from shelfline.sources.lake import write_table
+
+from . import fixtures as fx
+from .conftest import SAMPLE, plan_of, rows_of
+
+
+@pytest.fixture(scope="module")
+def marts(spark):
+    found = {name: QUERIES[name](spark, SAMPLE) for name in ("sales_mart", "promotion_mart", "innovation_mart")}
+    found = {name: df if "year" in df.columns else df.withColumn("year", F.year("date")) for name, df in found.items()}
+    return {name: spark.createDataFrame(df.collect(), df.schema) for name, df in found.items()} | {"dim_product": QUERIES["dim_product"](spark, SAMPLE)}
+
+
+def _view(name, marts):
+    mart = marts[REPORTS[name].mart]
+    if name == "active_sku_sketches":
+        return views.regional_sketches(mart)
+    return getattr(views, name)(mart, marts["dim_product"]) if name == "v_promotion_effectiveness" else getattr(views, name)(mart)
+
+
+def _written(base, marts):
+    for name, df in marts.items():
+        write_table(df, f"{base}/{name}", partition_by=["year"] if "year" in df.columns else ())
+
+
+@pytest.fixture(scope="module")
+def base(spark, marts, tmp_path_factory):
+    base = str(tmp_path_factory.mktemp("reports"))
+    _written(base, marts)
+    return base
+
+
+@pytest.mark.parametrize("name", [n for n in REPORTS if n != "active_sku_sketches"])
+def test_a_changed_year_alone_is_computed(spark, marts, tmp_path, name):
+    base, mart = str(tmp_path), REPORTS[name].mart
+    own = {mart: marts[mart], "dim_product": marts["dim_product"]}
+    _written(base, own)
+    years = sorted(r.year for r in marts[mart].select("year").distinct().collect())
+    assert len(years) > 3 and refresh(spark, base, name) == years and refresh(spark, base, name) == []
+    found = read_report(spark, base, name)
+    assert found.columns == _view(name, own).columns and rows_of(found) == rows_of(_view(name, own))
+    # One year has other sales, one is gone, the others are written anew with the same rows in another order.
+    changed = marts[mart].filter(F.col("year") != years[1]).withColumn(
+        "revenue", F.when(F.col("year") == years[2], F.col("revenue") + 0.25).otherwise(F.col("revenue"))
+    )
+    own[mart] = changed.repartition(5)
+    _written(base, {mart: own[mart]})
+    assert refresh(spark, base, name) == [years[2]]
+    assert rows_of(read_report(spark, base, name)) == rows_of(_view(name, own))
+
+
+def test_the_other_years_of_the_mart_are_not_read(spark, marts, base, monkeypatch):
+    plans = []
+    monkeypatch.setattr(reports, "write_table", lambda df, path, partition_by: plans.append(plan_of(df)))
+    refresh(spark, base, "v_monthly_sales")
+    monkeypatch.undo()
+    refresh(spark, base, "v_monthly_sales")
+    marks = reports._marks
+    monkeypatch.setattr(reports, "_marks", lambda mart, columns: marks(mart, columns) | {1998: "another"})
+    monkeypatch.setattr(reports, "write_table", lambda df, path, partition_by: plans.append(plan_of(df)))
+    assert refresh(spark, base, "v_monthly_sales") == [1998]
+    assert "PartitionFilters: [isnotnull(year" in plans[1] and "year#" in plans[1] and "= 1998)" in plans[1]
+
+
+def test_columns_that_a_report_does_not_show_change_nothing(spark, marts, tmp_path):
+    base = str(tmp_path)
+    _written(base, {"sales_mart": marts["sales_mart"]})
+    refresh(spark, base, "v_si_vs_so")
+    _written(base, {"sales_mart": marts["sales_mart"].withColumn("pack_size", F.lit("other"))})
+    assert refresh(spark, base, "v_si_vs_so") == []
+
+
+def test_sketches_of_quarters_are_merged_without_the_mart(spark, marts, base):
+    refresh(spark, base, "active_sku_sketches")
+    sketches = read_report(spark, base, "active_sku_sketches")
+    mart = marts["sales_mart"].filter("region IS NOT NULL")
+    for by in ([], ["year"], ["region"], ["year", "quarter", "region"]):
+        exact = {tuple(r)[:-1]: r.n for r in mart.groupBy(*by).agg(F.countDistinct("product_name").alias("n")).collect()}
+        for r in views.approx_active_skus(sketches, *by).collect():
+            assert abs(r.approx_active_skus - exact[tuple(r)[:-1]]) <= max(1, 0.03 * exact[tuple(r)[:-1]])
+
+
+def test_sketches_of_many_products(spark):
+    mart = spark.range(300_000).selectExpr("2024 AS year", "1 + id % 4 AS quarter", "IF(id % 7 = 0, NULL, 'N') AS region", "'p' || (id % 60000) AS product_name")
+    sketches = views.regional_sketches(mart)
+    exact = mart.filter("region IS NOT NULL").select("product_name").distinct().count()
+    assert abs(views.approx_active_skus(sketches).first()[0] - exact) <= 0.03 * exact
+    assert views.approx_active_skus(views.regional_sketches(mart.filter("false")), "year").collect() == []
+
+
+def test_promotions_of_several_versions_of_a_product(spark):
+    mart = spark.createDataFrame(
+        [("P1", "A", "T", 10.0, 1, 5.0, 2.0), ("P1", "A", "T", None, 1, 1.0, None), ("P1", None, None, None, 0, 7.0, 0.0), ("P2", "A", "T", 20.0, 1, 0.5, 4.0), ("P9", "B", "T", 1.0, 1, 1.0, 1.0)],
+        "product_id string, promotion_id string, promotion_type string, discount_percent double, on_promotion int, revenue double, uplift_pct double",
+    )
+    day = date(2023, 1, 1)
+    products = fx.products(spark, ("P1", "X", day, 0), ("P1", "X", day, 1), ("P2", "X", day, 0))
+    assert rows_of(views.v_promotion_effectiveness(mart, products)) == [
+        ("T", "X", "Water", 1, 40 / 3, 12.5, 0.0, 8 / 3), (None, "X", "Water", 0, None, 0.0, 14.0, None),
+    ]
