@@ -7,6 +7,7 @@ The stages can also be called one by one. Each returns the number of rows it wro
 
 import argparse
 import json
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from ..functions import fixed_values as fixed
 from ..functions.scalars import year_of
 from ..operators import cards, dims, facts, innovation, promotion, sales, views
 from ..operators.clean import CLEAN_SPECS, clean_table
-from ..sources.lake import Buckets, read_clean, read_raw, read_table, write_table
+from ..sources.lake import Buckets, read_clean, read_raw, read_table, split_raw, write_table
 from ..sources.schemas import FOLDERS
 from ..sources.staging import own_staging
 
@@ -46,18 +47,32 @@ CARDS = {
 }
 
 
-def build_clean(spark: SparkSession, raw_base: str, clean_base: str, product_buckets: int | None = None) -> dict[str, int]:
+def build_clean(
+    spark: SparkSession,
+    raw_base: str,
+    clean_base: str,
+    product_buckets: int | None = None,
+    rejected_base: str | None = None,
+    tables: Sequence[str] = tuple(CLEAN_SPECS),
+) -> dict[str, int]:
     """With ``product_buckets``, the sales of the four channels lie in so many buckets by product, and the joins of
-    facts and marts to a product table too large to be broadcast move none of them."""
+    facts and marts to a product table too large to be broadcast move none of them.
+
+    With ``rejected_base``, malformed lines are not cleaned as far as they can be read, but kept there, by table, with
+    the reason; their number is returned as that of ``rejected <table>``.
+    """
     buckets = Buckets("product_id", product_buckets) if product_buckets else None
-    return {
-        table: write_table(
-            clean_table(read_raw(spark, raw_base, table), spec),
-            f"{clean_base}/{FOLDERS[table]}",
-            buckets=buckets if table in SALES else None,
-        )
-        for table, spec in CLEAN_SPECS.items()
-    }
+    rows = {}
+    for table in tables:
+        if rejected_base:
+            raw = split_raw(spark, raw_base, table)
+            rows[f"rejected {table}"] = write_table(raw.rejected, f"{rejected_base}/{FOLDERS[table]}")
+            lines = raw.rows
+        else:
+            lines = read_raw(spark, raw_base, table)
+        cleaned = clean_table(lines, CLEAN_SPECS[table])
+        rows[table] = write_table(cleaned, f"{clean_base}/{FOLDERS[table]}", buckets=buckets if table in SALES else None)
+    return rows
 
 
 def read_dimensions(spark: SparkSession, base: str) -> dims.Dimensions:
@@ -137,10 +152,11 @@ def main() -> None:
     parser.add_argument("warehouse")
     parser.add_argument("--start", type=date.fromisoformat, default=fixed.CALENDAR_START)
     parser.add_argument("--product-buckets", type=int)
+    parser.add_argument("--rejected")
     parser.add_argument("--end", type=date.fromisoformat, default=fixed.CALENDAR_END)
     args = parser.parse_args()
     spark = SparkSession.builder.appName("shelfline-batch").getOrCreate()
-    rows = build_clean(spark, args.raw, args.clean, args.product_buckets)
+    rows = build_clean(spark, args.raw, args.clean, args.product_buckets, args.rejected)
     rows |= build_warehouse(spark, args.clean, args.warehouse, dims.CalendarBounds(args.start, args.end))
     rows |= build_marts(spark, args.clean, args.warehouse)
     print(json.dumps(rows, indent=1))

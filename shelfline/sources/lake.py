@@ -38,24 +38,67 @@ _ROWS = "_rows-"
 _BUCKETS = re.compile("_buckets-([0-9]+)-(.+)")
 
 
-def read_raw(spark: SparkSession, raw_base: str, table: str) -> DataFrame:
-    """The raw CSV of a source table: a file ``<table>.csv``, all columns as strings, names normalised.
+def read_raw(spark: SparkSession, raw_base: str, table: str, quoted_line_ends: bool = False) -> DataFrame:
+    """The raw CSV of a source table: a file ``<table>.csv`` or a folder of that name, all columns as strings, names
+    normalised. Lines of a wrong length come with what they have: see ``split_raw`` for those.
 
     Names come from the header line, so only that line is read ahead (type inference would read all the data).
-    With the names fixed, every further file has to have the same header. A byte-order mark is skipped.
+    With the names fixed, every further file has to have the same header. A byte-order mark is skipped. With
+    ``quoted_line_ends`` a value in quotes may hold line ends; a file is then read by one task, so it is no default.
     """
+    return normalize_columns(_raw(spark, raw_base, table, quoted_line_ends))
+
+
+def _raw(spark: SparkSession, raw_base: str, table: str, quoted_line_ends: bool, more: str | None = None) -> DataFrame:
     path = f"{raw_base}/{FOLDERS[table]}.csv"
-    header = spark.read.option("header", True).csv(path).columns
-    strings = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    df = normalize_columns(
-        spark.read.schema(strings).option("header", True).option("enforceSchema", False).csv(path)
-    )
-    missing = [name for name in RAW_COLUMNS[FOLDERS[table]] if name not in df.columns]
+    reader = spark.read.option("header", True).option("multiLine", quoted_line_ends)
+    header = reader.csv(path).columns
+    fields = [T.StructField(name, T.StringType()) for name in (*header, *([more] if more else []))]
+    if more:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", more)
+    df = reader.schema(T.StructType(fields)).option("enforceSchema", False).csv(path)
+    names = normalize_columns(df).columns
+    missing = [name for name in RAW_COLUMNS[FOLDERS[table]] if name not in names]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
     return df
 
 
+@dataclass(frozen=True)
+class RawTable:
+    """The well-formed lines of a raw table, and the others: ``rejected`` has (file, line, reason)."""
+
+    rows: DataFrame
+    rejected: DataFrame
+
+
+#: A value in quotes, in which a quote is doubled or behind a backslash.
+_QUOTED = r'"(?:[^"\\]|\\.|"")*+"'
+
+
+def split_raw(spark: SparkSession, raw_base: str, table: str, quoted_line_ends: bool = False) -> RawTable:
+    """The raw table with its malformed lines apart, so that none vanishes or is taken for what it is not.
+
+    A line is rejected if it has fewer or more fields than the header: ``broken`` if that is so because a quote is not
+    closed, else ``short`` or ``long``. Every line is in one of the two tables,
+    but for empty ones, which CSV readers skip. Each table is a scan of its own.
+    """
+    df = _raw(spark, raw_base, table, quoted_line_ends, _LINE)
+    columns = [name for name in df.columns if name != _LINE]
+    outside = F.regexp_replace(_LINE, _QUOTED, "")
+    fields = F.regexp_count(outside, F.lit(",")) + 1
+    reason = F.when(F.contains(outside, F.lit('"')), "broken").when(fields < len(columns), "short").when(fields > len(columns), "long")
+    # Spark refuses to read malformed lines without any other column, which a count would come to; this reads them all.
+    read = F.length(F.concat_ws("", *(F.col(f"`{c}`") for c in columns))) >= 0
+    rejected = df.filter(F.col(_LINE).isNotNull() & read).select(
+        F.col("_metadata.file_path").alias("file"), F.col(_LINE).alias("line"), F.coalesce(reason, F.lit("broken")).alias("reason")
+    )
+    return RawTable(normalize_columns(df.filter(F.col(_LINE).isNull() & read).drop(_LINE)), rejected)
+
+
+_LINE = "_line"
+
+
 def read_clean(spark: SparkSession, clean_base: str, table: str) -> DataFrame:
     """A clean table, whoever wrote it, with the columns and types of ``CLEAN_TYPES``; see ``read_parquet``."""
     df = read_table(spark, clean_base, FOLDERS[table])

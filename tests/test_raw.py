@@ -1,0 +1,74 @@
+"""Raw CSV files with malformed lines, quoted line ends, and several files."""
+
+import json
+
+import pytest
+
+from shelfline.operators.clean import clean_market_share
+from shelfline.plans import batch
+from shelfline.sources.lake import read_raw, read_table, split_raw
+
+from .conftest import rows_of
+
+GOOD = ['2023,"A, and B",0.5', '2024,"say \\"yes\\"",0.25', "2025,,"]
+BAD = [("2023,B", "short"), ("2023,C,0.1,more", "long"), ('2023,"D,0.1', "broken"), ("x", "short"), (",,,", "long")]
+
+
+def _write(folder, lines, name="market_share.csv"):
+    path = folder / "external" / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("﻿Year, Brand ,market share\n" + "\n".join(lines) + "\n", encoding="utf-8")
+
+
+def _reasons(rejected):
+    return sorted((r.line, r.reason) for r in rejected.collect())
+
+
+def test_malformed_lines_are_set_apart(spark, tmp_path):
+    _write(tmp_path, [GOOD[0], BAD[0][0], GOOD[1], *(line for line, _ in BAD[1:]), GOOD[2], ""])
+    found = split_raw(spark, str(tmp_path), "market_share")
+    assert rows_of(found.rows) == sorted([("2023", "A, and B", "0.5"), ("2024", 'say "yes"', "0.25"), ("2025", None, None)], key=repr)
+    assert found.rows.columns == ["year", "brand", "market_share"] and found.rejected.columns == ["file", "line", "reason"]
+    assert _reasons(found.rejected) == sorted(BAD)
+    assert {r.file.rsplit("/", 1)[-1] for r in found.rejected.collect()} == {"market_share.csv"}
+    # Nothing vanishes.
+    assert found.rows.count() + found.rejected.count() == len(GOOD) + len(BAD)
+
+
+def test_well_formed_lines_are_those_of_the_plain_reader(spark, tmp_path):
+    _write(tmp_path, GOOD)
+    found = split_raw(spark, str(tmp_path), "market_share")
+    assert rows_of(found.rows) == rows_of(read_raw(spark, str(tmp_path), "market_share")) and found.rejected.isEmpty()
+
+
+def test_several_files_of_a_table(spark, tmp_path):
+    for i, lines in enumerate(([GOOD[0], BAD[0][0]], [GOOD[1], BAD[1][0]], [])):
+        _write(tmp_path, lines, f"market_share.csv/part{i}.csv")
+    found = split_raw(spark, str(tmp_path), "market_share")
+    assert found.rows.count() == 2
+    assert sorted((r.file.rsplit("/", 1)[-1], r.reason) for r in found.rejected.collect()) == [("part0.csv", "short"), ("part1.csv", "long")]
+
+
+def test_quoted_line_ends(spark, tmp_path):
+    _write(tmp_path, ['2023,"two\nlines",0.5', "2024,B", '2025,"x, \\"y\\"\n\nz",1'])
+    found = split_raw(spark, str(tmp_path), "market_share", quoted_line_ends=True)
+    assert rows_of(found.rows) == sorted([("2023", "two\nlines", "0.5"), ("2025", 'x, "y"\n\nz', "1")], key=repr)
+    assert _reasons(found.rejected) == [("2024,B", "short")]
+    assert rows_of(clean_market_share(read_raw(spark, str(tmp_path), "market_share", True).filter("brand like 'two%'"))) == [(2023, "two\nlines", 0.5)]
+
+
+def test_a_missing_column_is_refused(spark, tmp_path):
+    (tmp_path / "external").mkdir()
+    (tmp_path / "external" / "market_share.csv").write_text("year,brand\n2023,A\n")
+    with pytest.raises(ValueError, match="market_share"):
+        split_raw(spark, str(tmp_path), "market_share")
+
+
+def test_batch_keeps_rejected_lines(spark, tmp_path):
+    _write(tmp_path / "raw", [GOOD[0], BAD[0][0], BAD[1][0]])
+    rows = batch.build_clean(spark, str(tmp_path / "raw"), str(tmp_path / "clean"), tables=["market_share"], rejected_base=str(tmp_path / "rejected"))
+    assert rows == {"market_share": 1, "rejected market_share": 2}
+    kept = read_table(spark, str(tmp_path / "rejected"), "external/market_share")
+    assert _reasons(kept) == sorted(BAD[:2]) and json.dumps(rows)
+    # Without a place for them, short and long lines are read as far as they go.
+    assert batch.build_clean(spark, str(tmp_path / "raw"), str(tmp_path / "clean"), tables=["market_share"]) == {"market_share": 3}
