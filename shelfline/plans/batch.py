@@ -17,8 +17,8 @@ from ..functions import fixed_values as fixed
 from ..functions.scalars import year_of
 from ..operators import cards, dims, facts, innovation, promotion, sales, views
 from ..operators.clean import CLEAN_SPECS, clean_table
-from ..sources.lake import Buckets, read_clean, read_raw, read_table, split_raw, write_table
-from ..sources.schemas import FOLDERS
+from ..sources.lake import Buckets, read_clean, read_ordered, read_raw, read_table, split_raw, write_table
+from ..sources.schemas import FILE_ORDER, FOLDERS
 from ..sources.staging import own_staging
 
 FACTS = {
@@ -97,7 +97,7 @@ def build_warehouse(
     written = read_dimensions(spark, base)
     for name, (source, build) in FACTS.items():
         fact = build(clean(source), written).withColumn("year", year_of(F.col("date_key")))
-        rows[name] = write_table(fact, f"{base}/{name}", partition_by=["year"])
+        rows[name] = write_table(fact, f"{base}/{name}", partition_by=["year"], sort_by=FILE_ORDER[name])
     return rows
 
 
@@ -119,7 +119,7 @@ def build_marts(spark: SparkSession, clean_base: str, base: str) -> dict[str, in
             "promotion_mart": promotion.promotion_mart(fact_pos, d).withColumn("year", F.year("date")),
             "innovation_mart": innovation.innovation_mart(fact_pos, fact_sellout, d).withColumn("year", F.year("date")),
         }
-        return {name: write_table(df, f"{base}/{name}", partition_by=["year"]) for name, df in marts.items()}
+        return {name: write_table(df, f"{base}/{name}", partition_by=["year"], sort_by=FILE_ORDER[name]) for name, df in marts.items()}
 
 
 def register_views(spark: SparkSession, base: str) -> None:
@@ -129,7 +129,7 @@ def register_views(spark: SparkSession, base: str) -> None:
     them: nothing but the tables is needed.
     """
     for name in (*DIMENSIONS, *FACTS, *MARTS):
-        read_table(spark, base, name).createOrReplaceTempView(name)
+        read_ordered(spark, base, name).createOrReplaceTempView(name)
     d = read_dimensions(spark, base)
     sales_mart, promotion_mart, innovation_mart = (spark.table(name) for name in MARTS)
     reports = {

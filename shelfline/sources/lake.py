@@ -17,7 +17,7 @@ from ..operators.adhoc import row_count_audit
 from ..operators.clean import normalize_columns
 from ..operators.star import SPREAD, SPREADS
 from .files import delete, exists, folders_in, names_in, touch
-from .schemas import CLEAN_TYPES, COLUMN_ORDER, FOLDERS, RAW_COLUMNS
+from .schemas import CLEAN_TYPES, COLUMN_ORDER, FOLDERS, RAW_COLUMNS, ROW_ORDER
 
 
 @dataclass(frozen=True)
@@ -119,6 +119,15 @@ def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
     return df.select(*COLUMN_ORDER[table]) if table in COLUMN_ORDER else df
 
 
+def read_ordered(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """``read_table`` with the rows in the declared order of the table, if it has one; ties by all other columns. A
+    query that does not show the order, such as a sum, does not sort."""
+    df = read_table(spark, base, table)
+    order = ROW_ORDER.get(table, ())
+    others = [name for name in df.columns if name not in order]
+    return df.orderBy(*(F.col(name).asc_nulls_last() for name in (*order, *others))) if order else df
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Plain Parquet: a file, a folder of files, also by partition values, or a glob like ``sales/*.parquet``.
 
@@ -206,7 +215,7 @@ def row_counts(spark: SparkSession, base: str, tables: Sequence[str]) -> DataFra
     return known.unionByName(row_count_audit(others)) if others else known
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), buckets: Buckets | None = None) -> int:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), buckets: Buckets | None = None, sort_by: Sequence[str] = ()) -> int:
     """Replace the Parquet table at ``path`` and return the number of rows written, counted during the write.
 
     The table that was there stays readable until the new one is complete, and one version longer for queries that
@@ -215,6 +224,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), buck
     much of the table is split over several tasks by adaptive execution. A folder that holds anything but versions,
     such as Parquet files of another writer, is refused, so that these are neither mixed nor lost.
 
+    With ``sort_by`` the rows of every file lie in that order, so that the statistics of row groups tell a filter on
+    these columns which to leave out.
+
     With ``buckets`` the table is shuffled once, here, and later joins on the key find it in place; it has the column
     ``_spread`` then.
     """
@@ -228,6 +240,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), buck
     rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
+    if sort_by:
+        # In front the columns by which Spark sorts rows for their folders, so that it need not do so again.
+        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
     version = f"{path}/{number:010d}-{uuid4().hex}"
     if buckets:
         spread = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.lit(SPREADS)).cast("int")

@@ -46,3 +46,18 @@ COLUMN_ORDER: dict[str, tuple[str, ...]] = {
         "pack_size", "region", "province", "store_type", "qty", "revenue", "gross_sales", "discount",
     ),
 }
+
+# Order of the rows of tables that have one.
+ROW_ORDER: dict[str, tuple[str, ...]] = {"innovation_mart": ("product_id", "channel", "date")}
+
+# Order of the rows within a file: what reports choose by.
+FILE_ORDER: dict[str, tuple[str, ...]] = {
+    "fact_sellin": ("date_key", "product_key"),
+    "fact_sellout": ("date_key", "product_key"),
+    "fact_pos_sales": ("date_key", "product_key"),
+    "fact_ecommerce_sales": ("date_key", "product_key"),
+    "fact_inventory": ("date_key", "product_key"),
+    "sales_mart": ("date", "product_name"),
+    "promotion_mart": ("date", "product_id"),
+    "innovation_mart": ("date", "product_id"),
+}

@@ -9,7 +9,7 @@ from shelfline.operators.adhoc import row_count_audit
 from shelfline.operators.dims import CalendarBounds
 from shelfline.plans import batch
 from shelfline.plans.catalog import QUERIES
-from shelfline.sources.lake import read_clean, read_parquet, read_raw, read_table, recorded_rows, row_counts, write_table
+from shelfline.sources.lake import read_clean, read_ordered, read_parquet, read_raw, read_table, recorded_rows, row_counts, write_table
 from shelfline.sources.sample_sources import SampleSources
 from shelfline.sources.schemas import FOLDERS, RAW_COLUMNS
 from shelfline.sources.staging import own_staging, shared_folder, stage
@@ -291,3 +291,48 @@ def test_own_staging_is_deleted_also_after_a_failure(spark, tmp_path):
         assert stage(spark.range(3), "x").count() == 3 and list(tmp_path.iterdir())
         raise KeyError
     assert not list(tmp_path.iterdir()) and shared_folder(spark) == before
+
+
+def _rows_scanned(df):
+    """Rows that left the scan: a row group that its statistics rule out gives none."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    return plan.collectLeaves().head().metrics().get("numOutputRows").get().value()
+
+
+def test_a_filter_reads_few_row_groups_of_a_sorted_file(spark, tmp_path, settings):
+    settings(adaptive__enabled="false")
+    # Small blocks, so that a small file has many row groups.
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("parquet.block.size", "20000"), conf.set("parquet.page.size.row.check.min", "10"), conf.set("parquet.page.size.row.check.max", "10")
+    try:
+        df = spark.range(60_000).selectExpr("2024 AS year", "date_add(DATE '2024-01-01', int(id * 7919 % 366)) AS date", "'P' || (id * 31 % 500) AS product_id", "rand(1) AS revenue")
+        write_table(df, f"{tmp_path}/sorted", ["year"], sort_by=("date", "product_id"))
+        write_table(df, f"{tmp_path}/plain", ["year"])
+    finally:
+        for name in ("parquet.block.size", "parquet.page.size.row.check.min", "parquet.page.size.row.check.max"):
+            conf.unset(name)
+    chosen = "product_id = 'P77' AND date BETWEEN DATE '2024-05-01' AND DATE '2024-05-31'"
+    ordered, plain = (read_table(spark, str(tmp_path), name).filter(chosen) for name in ("sorted", "plain"))
+    assert rows_of(ordered) == rows_of(plain) and ordered.count() > 0
+    assert _rows_scanned(ordered) < 0.3 * _rows_scanned(plain)
+
+
+def test_stored_tables_are_sorted_within_files(spark, built):
+    for name in ("sales_mart", "fact_pos_sales"):
+        table = read_table(spark, built[2], name)
+        day, thing = ("date", "product_name") if name == "sales_mart" else ("date_key", "product_key")
+        files = {}
+        for row in table.select(F.input_file_name().alias("f"), day, thing).collect():
+            files.setdefault(row.f, []).append((row[day], row[thing]))
+        assert all(rows == sorted(rows) for rows in files.values()) and files
+
+
+def test_the_launch_mart_comes_in_its_order(spark, built):
+    rows = [(r.product_id, r.channel, r.date) for r in read_ordered(spark, built[2], "innovation_mart").collect()]
+    assert rows == sorted(rows) and len(rows) > 100
+    batch.register_views(spark, built[2])
+    assert [(r.product_id, r.channel, r.date) for r in spark.sql("SELECT * FROM innovation_mart LIMIT 50").collect()] == rows[:50]
+    # What does not show the order does not sort.
+    assert "Sort" not in plan_of(spark.sql("SELECT SUM(qty) FROM innovation_mart"))
+    assert read_ordered(spark, built[2], "dim_date").columns == read_table(spark, built[2], "dim_date").columns
