@@ -59,17 +59,69 @@ def source_targets(rows: DataFrame, weights: Sequence[float] = WEIGHTS, max_epoc
     return levels.select("_source", "_sid", "_source_size", "_rows", target.alias("_target"))
 
 
-def _queued(rows: DataFrame, targets: DataFrame, fronts: DataFrame | None) -> DataFrame:
-    """Rows with the columns of their source and _slot; with ``fronts`` also _end, the words queued up to the row."""
+#: What rows that may stand for each other have alike.
+_ALIKE = ("_sid", "_mark", "_size")
+
+
+def _placed(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    return rows.join(targets, rows["_source"].eqNullSafe(targets["_source"])).drop("_source")
+
+
+def _slotted(counted: DataFrame, targets: DataFrame) -> DataFrame:
+    """Counted rows with the columns of their source and _slot, a range of the shuffle hash."""
     slots = F.ceil(F.col("_rows") / ROWS_PER_RANGE)
     # The upper 53 bits of the hash as a fraction of 1, exact in a double.
     fraction = (F.shiftright("_mark", 11) + (1 << 52)).cast("double") / float(1 << 53)
-    placed = rows.join(targets, rows["_source"].eqNullSafe(targets["_source"])).drop("_source")
-    placed = placed.withColumn("_slot", F.floor(fraction * slots))
-    if fronts is None:
-        return placed
-    in_slot = W.partitionBy("_sid", "_slot").orderBy("_mark", "_size").rowsBetween(W.unboundedPreceding, 0)
-    return placed.join(fronts, ["_sid", "_slot"]).withColumn("_end", F.col("_front") + F.sum("_size").over(in_slot))
+    return _placed(counted, targets).withColumn("_slot", F.floor(fraction * slots))
+
+
+def _queued(slotted: DataFrame, fronts: DataFrame) -> DataFrame:
+    """Counted rows with _start, the words queued in front of the first of them."""
+    in_front = W.partitionBy("_sid", "_slot").orderBy("_mark", "_size").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("_size") * F.col("_n")).over(in_front), F.lit(0))
+    return slotted.join(fronts, ["_sid", "_slot"]).withColumn("_start", F.col("_front") + before)
+
+
+def _one_by_one(queued: DataFrame) -> DataFrame:
+    """A row with _end, the words queued up to it, for each of the counted ones; many alike are dealt to many tasks."""
+    last = F.col("_n") - 1
+    blocks = queued.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(ROWS_PER_RANGE).cast("long"))))
+    # With a number of its own: by their size, these few rows would be brought together again.
+    tasks = int(queued.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.filter(F.col("_n") > ROWS_PER_RANGE).repartition(tasks, "_mark", "_block")
+    rows = blocks.filter(F.col("_n") <= ROWS_PER_RANGE).unionByName(dealt)
+    of_block = F.sequence(F.col("_block"), F.least(F.col("_block") + (ROWS_PER_RANGE - 1), last))
+    return rows.withColumn("_nth", F.explode(of_block)).withColumn("_end", _end())
+
+
+def _end() -> Column:
+    return F.col("_start") + (F.col("_nth") + 1) * F.col("_size")
+
+
+def _numbered(rows: DataFrame, queued: DataFrame) -> DataFrame:
+    """``rows`` with _start and _nth, their number among those alike from 0 on, in the order of _tie.
+
+    Few that are alike are numbered by a window. Groups of more than ``ROWS_PER_RANGE`` are sorted by range over all
+    tasks, and numbered by the counts of the ranges before, so none is a window's or a task's.
+    """
+    groups = queued.select(*_ALIKE, "_start", "_n")
+    nth = (F.row_number().over(W.partitionBy(*_ALIKE).orderBy("_tie")) - 1).cast("long")
+    large = groups.filter(F.col("_n") > ROWS_PER_RANGE)
+    if large.isEmpty():
+        return rows.join(groups, list(_ALIKE)).withColumn("_nth", nth)
+    large = small_or_shuffled(large)
+    small = rows.join(large.select(*_ALIKE), list(_ALIKE), "left_anti").join(groups, list(_ALIKE)).withColumn("_nth", nth)
+    # The last column tells rows apart that are alike in all others.
+    order = [*_ALIKE, "_tie", "_row"]
+    many = rows.join(large, list(_ALIKE)).withColumn("_row", F.monotonically_increasing_id())
+    many = frozen(many.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()))
+    of_range = F.shiftright("_place", 33)
+    ranges = many.groupBy(*_ALIKE, of_range.alias("_range")).agg(F.count("*").alias("_in_range"), F.min("_place").alias("_first"))
+    in_front = W.partitionBy(*_ALIKE).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.withColumn("_before", F.coalesce(F.sum("_in_range").over(in_front), F.lit(0))).drop("_in_range")
+    many = many.withColumn("_range", of_range).join(small_or_shuffled(ranges), [*_ALIKE, "_range"])
+    many = many.withColumn("_nth", F.col("_before") + F.col("_place") - F.col("_first"))
+    return small.unionByName(many.select(*small.columns))
 
 
 def _copies(max_epochs: int) -> Column:
@@ -86,13 +138,13 @@ def _copies(max_epochs: int) -> Column:
     )
 
 
-def _last_taken(queued: DataFrame, budget: int, max_epochs: int) -> Column:
+def _last_taken(rows: DataFrame, budget: int, max_epochs: int) -> Column:
     """The place of the last copy that still fits the budget when all copies are sorted by their place.
 
     Copies are sorted by range over all tasks; the words of a range give the running total in front of the
     next one, so no task sees more than its range.
     """
-    copies = queued.filter("_size > 0 and _target > 0").select("_size", F.explode(_copies(max_epochs)).alias("_place"))
+    copies = rows.filter("_size > 0 and _target > 0").select("_size", F.explode(_copies(max_epochs)).alias("_place"))
     ranges = frozen(copies.repartitionByRange("_place").withColumn("_range", F.spark_partition_id()))
     in_front = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     sums = ranges.groupBy("_range").agg(F.sum("_size").alias("_sum"))
@@ -130,30 +182,36 @@ def mix_sources(
     the order of that virtual time until the next one would exceed the budget, which is the words of all
     documents. ``copies`` is how often the document is taken, ``taken`` the words of that.
 
-    Null and empty texts have size 0 and are never taken. A null source is a source. Null and repeated keys
-    are rows of their own; rows alike in key and text may stand for each other, so reruns agree. An empty
-    table gives no rows. A source with most of the rows is cut into ranges of the shuffle hash, each queued
-    by its own task behind the words of the ranges before.
+    Null and empty texts, and null sizes, have size 0 and are never taken. A null source is a source. Null and
+    repeated keys are rows of their own; rows alike in source, key and text (or size) stand next to each other in the
+    queue, in the order of a hash of all their columns but maps, so reruns agree. They are queued as one row with a
+    count, and get their places from it. An empty table gives no rows. A source with most of the rows is cut into
+    ranges of the shuffle hash, each queued by its own task behind the words of the ranges before.
     """
     added = ("size", "source_size", "target", "copies", "taken")
-    words = F.col(size).cast("long") if size else word_count(F.col(text))
+    words = F.coalesce(F.col(size).cast("long"), F.lit(0)).cast("long") if size else word_count(F.col(text))
     mark = F.xxhash64(F.lit(seed), F.col(key), F.col(size or text))
-    wide = docs.withColumns({"_size": words, "_mark": mark, "_source": F.col(source)})
-    rows = frozen(wide.select("_source", "_mark", "_size"))
-    targets = small_or_shuffled(source_targets(rows, weights, max_epochs))
+    tie = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()))
+    wide = docs.withColumns({"_size": words, "_mark": mark, "_source": F.col(source), "_tie": tie})
+    counted = frozen(wide.groupBy("_source", "_mark", "_size").agg(F.count("*").alias("_n")))
+    total = F.col("_size") * F.col("_n")
+    targets = small_or_shuffled(source_targets(counted.select("_source", total.alias("_size")), weights, max_epochs))
+    slotted = _slotted(counted, targets)
     in_front = W.partitionBy("_sid").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
-    slots = _queued(rows, targets, None).groupBy("_sid", "_slot").agg(F.sum("_size").alias("_sum"))
+    slots = slotted.groupBy("_sid", "_slot").agg(F.sum(total).alias("_sum"))
     fronts = small_or_shuffled(slots.select("_sid", "_slot", F.coalesce(F.sum("_sum").over(in_front), F.lit(0)).alias("_front")))
-    budget = rows.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
-    last = _last_taken(_queued(rows, targets, fronts), budget, max_epochs)
+    queued = _queued(slotted, fronts)
+    budget = counted.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
+    last = _last_taken(_one_by_one(queued), budget, max_epochs)
     taken = F.size(F.filter(_copies(max_epochs), lambda place: place <= last))
     copies = F.when((F.col("_size") > 0) & (F.col("_target") > 0), taken).otherwise(0)
     if budget == 0:
         copies = F.lit(0)
     kept = [name for name in docs.columns if name not in added]
-    out = _queued(wide.drop(*added), targets, fronts).withColumn("_copies", copies)
+    rows = _numbered(_placed(wide.drop(*added), targets), queued)
+    out = rows.withColumn("_end", _end()).withColumn("_copies", copies)
     return out.select(
-        *kept,
+        *(F.col(f"`{name}`") for name in kept),
         F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"),

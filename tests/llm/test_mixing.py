@@ -1,8 +1,9 @@
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfline.llm import mixing
 from shelfline.llm.mixing import mix_sources
@@ -103,3 +104,38 @@ def test_repeated_and_null_keys_and_clashing_columns(spark):
 def test_long_text_is_counted_whole(spark):
     (row,) = mix_sources(spark.createDataFrame([(1, "word " * 300_000, "s")], SCHEMA)).collect()
     assert (row.size, row.taken) == (300_000, 300_000)
+
+
+def test_rows_alike_are_queued_by_their_number(spark, monkeypatch):
+    """The same mix whether rows that are alike are numbered by a window or by ranges; half of the rows are alike."""
+    rows = [(None, f"t{i % 3}", "a", 5) for i in range(700)] + [(i, "x", "ab"[i % 2], 1 + i % 9) for i in range(500)] + [(7, "same", "b", 4)] * 200
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, words long").repartition(6)
+    found = []
+    for most in (10_000, 100, 7):
+        monkeypatch.setattr(mixing, "ROWS_PER_RANGE", most)
+        found.append(sorted((tuple(r) for r in mix_sources(df, size="words").collect()), key=repr))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    taken, target = Counter(), {}
+    for r in mix_sources(df, size="words").collect():
+        assert r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 20 for s in target)
+
+
+def test_many_rows_alike_fill_no_window(spark):
+    df = spark.range(60_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'t' AS text", "'a' AS source", "3L AS words", "id AS more")
+    wide = df.withColumns({"_sid": F.lit(1), "_mark": F.lit(5).cast("long"), "_size": F.lit(3).cast("long"), "_tie": F.xxhash64("more")})
+    queued = spark.createDataFrame([(1, 5, 3, 100, 60_000)], "_sid int, _mark long, _size long, _start long, _n long")
+    found = mixing._numbered(wide, queued)
+    assert sorted(r._nth for r in found.select("_nth").collect()) == list(range(60_000))
+    one_by_one = mixing._one_by_one(queued.withColumns({"_target": F.lit(1.0), "_source_size": F.lit(1)}))
+    assert one_by_one.select("_end").distinct().count() == 60_000
+    assert one_by_one.groupBy(F.spark_partition_id()).count().count() > 4
+    taken = mix_sources(df, size="words").agg(F.sum("taken"), F.count("*"), F.sum("copies")).first()
+    assert tuple(taken) == (180_000, 60_000, 60_000)
+
+
+def test_sizes_that_are_null(spark):
+    df = spark.createDataFrame([(1, "a", "s", None), (2, "b", "s", 4)], "doc_id long, text string, source string, words long")
+    assert sorted((r.doc_id, r.size, r.taken) for r in mix_sources(df, size="words").collect()) == [(1, 0, 0), (2, 4, 4)]
