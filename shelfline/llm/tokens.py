@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Words that a codec remembers in each of two generations, and parts of words.
-WORDS_REMEMBERED = 500_000
-PARTS_REMEMBERED = 150_000
+WORDS_REMEMBERED = 200_000
+PARTS_REMEMBERED = 100_000
 #: Codecs that a worker keeps; with more, the one that was used last long ago goes.
 CODECS = 2
 #: Characters of texts that a task encodes together.
