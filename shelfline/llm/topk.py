@@ -16,6 +16,8 @@ K = 20
 FIT_ROWS = 4096
 SEED_ROWS = 2048
 TILES_PER_SLOT = 4
+#: Steps of length by which chunks are sent to slots, at most.
+STEPS = 1024
 #: Dimensions of a partial sum.
 STEP = 16
 _EXACT = float(1 << 53)
@@ -36,6 +38,13 @@ def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return q @ v.T
 
 
+def reached(highs: np.ndarray, need: Column) -> Column:
+    """How many of the steps, which lie by descending length, a chunk must meet that needs vectors of the length ``need``."""
+    # A step counts as long as any behind it.
+    falling = np.maximum.accumulate(highs[::-1])[::-1]
+    return F.size(F.filter(F.lit([float(x) for x in falling]), lambda high: high >= need))
+
+
 def _large(q: np.ndarray, v: np.ndarray) -> bool:
     return len(q) > 0 and len(v) > 0 and np.abs(q).max() * np.abs(v).max() * q.shape[1] >= _EXACT
 
@@ -87,18 +96,19 @@ def top_k(
     whose scaled integer vectors have the largest inner product with it; fewer, if there are fewer.
 
     Both tables have ``key`` and ``vector``. Vectors that are null or hold null or non-finite components take
-    no part, nor do null keys. Rows with the same key and other vectors
-    all count, and as queries share one list, as in the SQL of op8; of full copies one counts. A vector shorter than others ends in
-    zeros. Ties go to the smaller key. Scaled components beyond the range of a long end there, and so do
-    scores. Empty tables give no rows.
-
-    Candidates are sorted by range of their length, the longest first, and packed into tiles; queries are
-    packed into chunks, with the k-th best score among the longest vectors as first bound. Each chunk meets
-    each tile whose longest vector can reach its lowest bound. Nothing but bounded samples goes to the driver.
+    no part, nor do null keys. Every row counts, as in the SQL of op8: rows with the same key, copies too, share one list as
+    queries, and are one candidate each. A vector shorter than others ends in zeros. Ties go to the smaller key. Scaled
+    components beyond the range of a long end there, and so do scores. Empty tables give no rows.
+
+    Candidates are sorted by range of their length, the longest first, and packed into tiles; a range is a slot. The
+    k-th best score among the longest vectors is a query's first bound; by Cauchy and Schwarz the bound over the query's
+    own length is the length that a candidate needs. Queries are sorted by that and packed into chunks, and a chunk is
+    sent only to the slots that hold such lengths, which are the first ones. Nothing but bounded samples, and the greatest
+    lengths of at most ``STEPS`` runs of slots, goes to the driver.
     """
     spark = vectors.sparkSession
-    rows = frozen(finite_vectors(vectors, key, vector, scaled).withColumn("norm", norm(F.col("v"))))
-    asked = frozen(finite_vectors(queries, key, vector, scaled))
+    rows = frozen(finite_vectors(vectors, key, vector, k, scaled).withColumn("norm", norm(F.col("v"))))
+    asked = frozen(finite_vectors(queries, key, vector, k, scaled).withColumn("norm", norm(F.col("v"))))
     count, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     n_asked, asked_width = asked.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     width = max(1, width, asked_width)
@@ -126,19 +136,27 @@ def top_k(
             if len(ids) > k and not _large(q, data):
                 scores = np.where(own[:, None] == ids[None, :], -np.inf, _scores(q, data))
                 bound = np.partition(scores, -k, axis=1)[:, -k]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(bound)], names=["id", "v", "bound"])
+            columns = [*(batch.column(c) for c in ("id", "v", "copy", "norm")), pa.array(bound)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "copy", "norm", "bound"])
+
+    def dealt(df: DataFrame, ranges: int, first: Column) -> DataFrame:
+        order = [first, F.col("id"), F.xxhash64("v"), F.col("copy")]
+        return df.repartitionByRange(max(1, ranges), *order).sortWithinPartitions(*order)
 
     place = F.lit(0).cast("long").alias("place")
-    by_length = rows.repartitionByRange(max(1, -(-count // ROWS_PER_TASK)), F.desc("norm"), "id").sortWithinPartitions(F.desc("norm"), "id")
-    tiles = packed(by_length.select(place, "id", "v", F.lit(0.0).alias("bound")), width, tile_rows)
-    tiles = frozen(tiles.withColumn("number", F.monotonically_increasing_id()))
-    with_bounds = asked.mapInArrow(bounded, "id long, v array<double>, bound double").repartition(max(1, -(-n_asked // ROWS_PER_TASK)), "id", "v")
-    chunks = sided(packed(with_bounds.select(place, "id", "v", "bound"), width, chunk_rows), "q")
-    # Every chunk is sent to every slot, a slot has about TILES_PER_SLOT tiles.
-    slots = max(1, -(-tiles.count() // TILES_PER_SLOT))
-    aimed = chunks.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    slotted = sided(tiles, "t").withColumn("slot", F.pmod(F.xxhash64("t_number"), F.lit(slots)).cast("int"))
-    reach = F.col("t_high") * F.col("q_high") * (1 + 1e-9) + 1.0
-    pairs = aimed.join(slotted, "slot").filter(reach >= F.col("q_least"))
+    tiles = packed(dealt(rows, -(-count // (TILES_PER_SLOT * tile_rows)), F.desc("norm")).select(place, "id", "v", F.lit(0.0).alias("bound")), width, tile_rows)
+    tiles = sided(frozen(tiles.withColumn("slot", F.spark_partition_id())), "t")
+    needed = F.when(F.col("norm") > 0, F.col("bound") / F.col("norm")).otherwise(float("-inf"))
+    # Written, because a range partitioning evaluates its input twice.
+    with_bounds = frozen(asked.mapInArrow(bounded, "id long, v array<double>, copy long, norm double, bound double"))
+    chunks = sided(packed(dealt(with_bounds, -(-n_asked // ROWS_PER_TASK), F.desc(needed)).select(place, "id", "v", "bound"), width, chunk_rows), "q")
+    slots = tiles.agg(F.coalesce(F.max("t_slot"), F.lit(-1))).first()[0] + 1
+    run = max(1, -(-slots // STEPS))
+    highs = np.zeros(max(1, -(-slots // run)))
+    for step, high in tiles.groupBy((F.col("t_slot") / run).cast("int").alias("step")).agg(F.max("t_high")).collect():
+        highs[step] = high
+    first_slots = F.least(reached(highs, F.col("q_need")) * run, F.lit(slots))
+    aimed = chunks.withColumn("n_slots", first_slots).filter("n_slots > 0").withColumn("q_slot", F.explode(F.sequence(F.lit(0), F.col("n_slots") - 1)))
+    pairs = aimed.join(tiles, F.col("q_slot") == F.col("t_slot")).filter(F.col("t_high") >= F.col("q_need"))
     found = compared(pairs, lambda q, t: _compare(q, t, basis, k), score="long")
     return best(found, k)

@@ -15,17 +15,20 @@ CHUNK_ROWS = 256
 ROWS_PER_TASK = 4096
 
 
-def finite_vectors(df: DataFrame, key: str, vector: str, component: Callable[[Column], Column] = lambda x: x) -> DataFrame:
-    """(id, v) with v an array<double> of ``component`` of every component.
+def finite_vectors(df: DataFrame, key: str, vector: str, k: int, component: Callable[[Column], Column] = lambda x: x) -> DataFrame:
+    """(id, v, copy) with v an array<double> of ``component`` of every component.
 
     Rows with a null key, a null vector, or a null or non-finite component are left out. Rows with the same key
-    and other vectors all stay, of full copies one.
+    and other vectors all stay. Full copies are counted, and stay too, numbered from 0 by ``copy``, but no more than
+    ``k`` of them: a list of ``k`` has no place for more, and further copies of a query only repeat what fills its list.
     """
     v = F.col(vector).cast("array<double>")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = df.select(F.col(key).cast("long").alias("id"), v.alias("v"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & F.coalesce(good, F.lit(False)))
-    return rows.distinct().select("id", F.transform("v", component).cast("array<double>").alias("v"))
+    counted = rows.groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k)).alias("copies"))
+    kept = counted.select("id", F.transform("v", component).cast("array<double>").alias("v"), "copies")
+    return kept.select("id", "v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
 
 
 def norm(v: Column) -> Column:
@@ -48,7 +51,8 @@ def packed(rows: DataFrame, width: int, block_rows: int) -> DataFrame:
     """Blocks of at most ``block_rows`` neighbouring rows of the same ``place``, in the order in which rows are.
 
     ``rows`` has (place long, id long, v array<double>, bound double). A block is a row of (place, ids, data,
-    bounds) as packed numbers, the greatest norm ``high`` and the least bound ``least``.
+    bounds) as packed numbers, the greatest norm ``high``, and ``need``, the least norm with which another vector can
+    have an inner product of the bound or more with some row (a little less than that, by more than doubles err).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,10 +61,11 @@ def packed(rows: DataFrame, width: int, block_rows: int) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             ids, data, bounds = (np.concatenate(x) for x in zip(*held))
-            high = float(np.sqrt(np.einsum("ij,ij->i", data, data)).max())
-            columns = [[held_place], [ids.tobytes()], [data.tobytes()], [bounds.tobytes()], [high], [float(bounds.min())]]
+            norms = np.sqrt(np.einsum("ij,ij->i", data, data))
+            needs = np.where(norms > 0, (bounds - 1) / np.where(norms > 0, norms, 1.0), -np.inf) * (1 - 1e-9)
+            columns = [[held_place], [ids.tobytes()], [data.tobytes()], [bounds.tobytes()], [float(norms.max())], [float(needs.min())]]
             kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["place", "ids", "data", "bounds", "high", "least"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["place", "ids", "data", "bounds", "high", "need"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -84,7 +89,7 @@ def packed(rows: DataFrame, width: int, block_rows: int) -> DataFrame:
             yield block()
 
     ordered = rows.select("place", "id", "v", F.col("bound").cast("double").alias("bound"))
-    return ordered.mapInArrow(run, "place long, ids binary, data binary, bounds binary, high double, least double")
+    return ordered.mapInArrow(run, "place long, ids binary, data binary, bounds binary, high double, need double")
 
 
 class Block:
