@@ -9,7 +9,7 @@ from ..functions import portable_round
 from ..sources.staging import stage
 from .dims import Dimensions
 from .sales import daily_totals, revenue_of
-from .star import with_date
+from .star import merged, with_date
 
 _PROMOTION = ("promotion_id", "promotion_type", "discount_percent")
 
@@ -46,7 +46,8 @@ def _promoted_days(daily: DataFrame, dims: Dimensions) -> DataFrame:
 
     The range join is an equi join on product and month: a promotion is repeated for each month it touches,
     and only the days of that month are compared with it. That shuffles a few rows per promotion instead of
-    one per active day, and never compares all days of a product with all its promotions.
+    one per active day, and never compares all days of a product with all its promotions. Spark does not see the
+    months in the size of the promotions, and would broadcast millions of rows.
     """
     months = F.sequence(F.trunc("_first", "month"), F.trunc("_last", "month"), F.expr("INTERVAL 1 MONTH"))
     by_month = (
@@ -58,7 +59,7 @@ def _promoted_days(daily: DataFrame, dims: Dimensions) -> DataFrame:
     # sums, which then differ from the sums of the other branch and would not be shared with it.
     days = with_date(daily, dims.date, "year", "month")
     return (
-        by_month.join(days, ["product_id", "year", "month"])
+        merged(by_month).join(days, ["product_id", "year", "month"])
         .filter(F.col("date").between(F.col("start_date"), F.col("end_date")))
         .select(*daily.columns, F.struct(*_PROMOTION, "start_date", "end_date").alias("_promotion"))
     )

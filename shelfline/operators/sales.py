@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions import amount_parts, sum_of_parts
 from .dims import Dimensions
-from .star import with_date, with_distributor, with_product, with_store
+from .star import merged, with_date, with_distributor, with_product, with_store
 
 
 def _described(sales: DataFrame, dims: Dimensions) -> DataFrame:
@@ -92,8 +92,8 @@ def daily_totals(sales: DataFrame, dims: Dimensions, products: DataFrame, *attri
 
     Sales are summed per day and product before they meet the product table. Most of that sum happens before
     the shuffle, and a best-seller has afterwards one row per day instead of a large share of all rows, so the
-    join cannot be skewed by it. The second sum merges versions of a product that agree in ``attributes``; it
-    reuses the partitioning of the first.
+    join cannot be skewed by it. The second sum merges versions of a product that agree in ``attributes``; on natural
+    keys it reuses the partitioning of the join.
     """
     day = "date_key" if "date_key" in sales.columns else "date"
     product = "product_key" if "product_key" in sales.columns else "product_id"
@@ -101,7 +101,7 @@ def daily_totals(sales: DataFrame, dims: Dimensions, products: DataFrame, *attri
     daily = sales.groupBy(product, day).agg(
         F.sum("qty").alias("total_qty"), *(F.sum(part).alias(name) for name, part in parts.items())
     )
-    daily = with_product(daily, products, "product_id", *attributes)
+    daily = with_product(daily, merged(products), "product_id", *attributes)
     daily = with_date(daily, dims.date, *(("date",) if day == "date_key" else ()))
     return daily.groupBy("product_id", "date", *attributes).agg(
         *(F.sum(name).alias(name) for name in ("total_qty", *REVENUE_PARTS))

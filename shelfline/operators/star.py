@@ -8,6 +8,9 @@ Only the calendar is broadcast by hint: it has one row per day of its bounds, ho
 other dimensions grow with the business, so the strategy is left to Spark: it broadcasts a side whose size is
 below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges, where AQE splits the partitions
 of products or stores that hold much of the rows (``spark.sql.adaptive.skewJoin.enabled``, on by default).
+
+Spark takes the size from the compressed files and knows of no rows that ``explode`` adds, and what it broadcasts
+passes through the driver whole. So where many attributes are taken, sides are ``merged``.
 """
 
 from pyspark.sql import DataFrame
@@ -17,6 +20,11 @@ from pyspark.sql import functions as F
 SPREAD, SPREADS = "_spread", 8
 
 
+def merged(side: DataFrame) -> DataFrame:
+    """``side``, and what is selected from it, is never broadcast in a join."""
+    return side.hint("merge")
+
+
 def with_date(rows: DataFrame, dim_date: DataFrame, *attributes: str) -> DataFrame:
     """``rows`` with attributes of their day. An equally named column, as the year of a stored fact, is replaced."""
     key = "date_key" if "date_key" in rows.columns else "date"

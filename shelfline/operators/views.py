@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import exact_avg, exact_sum
 from ..functions import fixed_values as fixed
 from ..functions.exact import amount_parts, sum_of_parts
-from .star import with_product
+from .star import merged, with_product
 
 
 def ascending(*names: str) -> list[Column]:
@@ -90,7 +90,7 @@ def promotion_parts(promotion_mart: DataFrame, *more: str) -> DataFrame:
 
 def promotion_effectiveness_of(parts: DataFrame, dim_product: DataFrame) -> DataFrame:
     return (
-        with_product(parts, dim_product, "brand", "category")
+        with_product(parts, merged(dim_product), "brand", "category")
         .groupBy("promotion_type", "brand", "category")
         .agg(
             F.countDistinct("promotion_id").alias("num_promotions"),
