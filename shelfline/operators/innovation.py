@@ -8,15 +8,17 @@ from ..functions import fixed_values as fixed
 from ..functions import month_boundaries, portable_round
 from .dims import Dimensions
 from .sales import daily_totals, revenue_of
+from .star import of_products
 
 _PRODUCT = ("brand", "category", "sub_category", "launch_date", "sku_name")
 
 
 def _daily(pos_sales: DataFrame, sellout: DataFrame, dims: Dimensions) -> DataFrame:
+    """Launched products are few, so sales of others go before they are summed, not with the join afterwards."""
     launched = dims.product.filter(F.col("innovation_flag") == 1)
 
     def channel(sales: DataFrame, name: str) -> DataFrame:
-        return daily_totals(sales, dims, launched, *_PRODUCT).withColumn("channel", F.lit(name))
+        return daily_totals(of_products(sales, launched), dims, launched, *_PRODUCT).withColumn("channel", F.lit(name))
 
     return channel(pos_sales, fixed.INNOVATION_POS).unionByName(channel(sellout, fixed.INNOVATION_GT))
 

@@ -81,7 +81,7 @@ def promotion_mart(pos_sales: DataFrame, dims: Dimensions, frame: int = fixed.BA
     The rows are needed for both and are written once, so that the sales are read only once. Each gets a
     number before it is written, which tells promotions apart that are alike.
     """
-    daily = daily_totals(pos_sales, dims, dims.product, "brand", "category")
+    daily = daily_totals(pos_sales, dims, merged(dims.product), "brand", "category")
     promoted = _promoted_days(daily, dims)
     unpromoted = daily.withColumn("_promotion", F.lit(None).cast(promoted.schema["_promotion"].dataType))
     numbered = unpromoted.unionByName(promoted).withColumn("_number", F.monotonically_increasing_id())

@@ -49,6 +49,13 @@ def with_product(rows: DataFrame, dim_product: DataFrame, *attributes: str) -> D
     return _with(rows, dim_product, "product_key", "product_id", "product_id", attributes)
 
 
+def of_products(rows: DataFrame, products: DataFrame) -> DataFrame:
+    """The ``rows`` of ``products``, each once, where it is left to Spark whether the keys are broadcast."""
+    if "product_key" in rows.columns:
+        return rows.join(products.select("product_key"), "product_key", "left_semi")
+    return rows.join(products.select("product_id"), "product_id", "left_semi")
+
+
 def with_distributor(rows: DataFrame, dim_distributor: DataFrame, *attributes: str) -> DataFrame:
     return _with(rows, dim_distributor, "distributor_key", "distributor_id", "distributor_id", attributes)
 

@@ -6,13 +6,13 @@ from datetime import date
 from pyspark.sql import functions as F
 
 import shelfline.operators.promotion as promotion_module
-from shelfline.operators import facts, promotion, sales
+from shelfline.operators import facts, innovation, promotion, sales
 from shelfline.operators.star import with_product
 from shelfline.plans.catalog import QUERIES, _promotion_mart
 from shelfline.sources.sample_sources import SampleSources
 
 from .conftest import SAMPLE, plan_of
-from .fixtures import natural, pos_sales, products, promotions
+from .fixtures import natural, pos_sales, products, promotions, sellout
 
 def test_no_query_pairs_all_rows_or_runs_python_per_row(spark):
     for name, query in QUERIES.items():
@@ -131,3 +131,14 @@ def test_promotions_and_products_of_a_promotion_mart_are_not_broadcast(spark):
     assert set(re.findall(r"BroadcastHashJoin \[(\w+)#", plan_of(promotion._promoted_days(daily, dims)))) == {"date"}
     effect = plan_of(QUERIES["v_promotion_effectiveness"](spark, SAMPLE))
     assert re.search(r"SortMergeJoin \[product_id#\d+\], \[product_id#\d+\]", effect)
+
+
+def test_only_sales_of_launched_products_are_summed(spark):
+    product = products(spark, ("P", "BrandA", date(2023, 1, 1), 1), ("Q", "BrandA", date(2023, 1, 1), 0), ("P", "BrandA", date(2023, 1, 1), 1))
+    sold = pos_sales(spark, *((date(2023, 1, 1), "S", p, 1, 1.0) for p in "PPQQQ"))
+    none = sellout(spark)
+    found = innovation.innovation_daily(sold, none, natural(spark, product))
+    assert [(r.product_id, r.qty) for r in found.collect()] == [("P", 4)]
+    plan = plan_of(found)
+    # Read from the bottom: the semi join with the launched products stands below the first half of the first sum.
+    assert plan.rindex("LeftSemi") > plan.rindex("partial_sum(qty")
