@@ -35,10 +35,13 @@ def promo_calendar(promotions: DataFrame, dim_date: DataFrame) -> DataFrame:
     """One row per promotion and calendar day on which it is active.
 
     A range join with the calendar would compare every promotion with every day; listing the days of the
-    promotion needs no join.
+    promotion needs no join. The promotions are spread over all tasks before: their file is small and read by one
+    or two, the days are some sixty times as many.
     """
     days = F.sequence("_first", "_last", F.expr("INTERVAL 1 DAY"))
-    return _clipped(promotions, dim_date).select("product_id", *_PROMOTION, F.explode(days).alias("date"))
+    columns = ("product_id", *_PROMOTION, "_first", "_last")
+    spread = _clipped(promotions, dim_date).select(*columns).repartition(*columns)
+    return spread.select("product_id", *_PROMOTION, F.explode(days).alias("date"))
 
 
 def _promoted_days(daily: DataFrame, dims: Dimensions) -> DataFrame:

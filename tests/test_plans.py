@@ -133,6 +133,17 @@ def test_promotions_and_products_of_a_promotion_mart_are_not_broadcast(spark):
     assert re.search(r"SortMergeJoin \[product_id#\d+\], \[product_id#\d+\]", effect)
 
 
+def test_days_of_promotions_are_listed_by_many_tasks(spark, settings):
+    settings(adaptive__coalescePartitions__enabled="false")
+    promos = promotions(
+        spark, *((f"A{i}", f"P{i}", date(2023, 1, 1), date(2023, 3, 1), "bundle", 5.0) for i in range(200))
+    ).coalesce(1)
+    days = promotion.promo_calendar(promos, natural(spark).date)
+    assert days.count() == 200 * 60
+    rows = [r["count"] for r in days.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(rows) == 8 and max(rows) < 200 * 60 / 4
+
+
 def test_only_sales_of_launched_products_are_summed(spark):
     product = products(spark, ("P", "BrandA", date(2023, 1, 1), 1), ("Q", "BrandA", date(2023, 1, 1), 0), ("P", "BrandA", date(2023, 1, 1), 1))
     sold = pos_sales(spark, *((date(2023, 1, 1), "S", p, 1, 1.0) for p in "PPQQQ"))
