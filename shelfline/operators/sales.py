@@ -9,15 +9,27 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions import amount_parts, sum_of_parts
 from .dims import Dimensions
-from .star import with_date, with_distributor, with_product, with_store
+from .star import SPREAD, merged, with_date, with_distributor, with_product, with_store
 
 
-def _described(sales: DataFrame, dims: Dimensions) -> DataFrame:
-    """``sales`` with the columns of the calendar and the product that the mart shows."""
+def _described(
+    sales: DataFrame, dims: Dimensions, placed: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
+    """``sales`` with the columns of the calendar and the product that the mart shows, and what ``placed`` adds.
+
+    The narrow place comes before the wide product, and the calendar, which moves no rows, last: rows that are
+    shuffled for one side do not carry the attributes of the next. Rows that lie in buckets by product meet the
+    products first, where they lie.
+    """
+
+    def with_products(rows: DataFrame) -> DataFrame:
+        products = ("brand", "category", "sub_category", "sku_name", "pack_size")
+        return with_product(rows, merged(dims.product), *products)
+
+    rows = placed(with_products(sales)) if SPREAD in sales.columns else with_products(placed(sales))
     # Clean rows have their date already, fact rows get it from the calendar.
     day = ("date",) if "date_key" in sales.columns else ()
-    rows = with_date(sales, dims.date, *day, "year", "quarter", "month", "season")
-    return with_product(rows, dims.product, "brand", "category", "sub_category", "sku_name", "pack_size")
+    return with_date(rows, dims.date, *day, "year", "quarter", "month", "season")
 
 
 def _channel(
@@ -57,12 +69,14 @@ def sales_mart(
     undiscounted = (F.col("revenue"), F.col("revenue"), F.lit(0.0))
 
     def at_stores(sales: DataFrame, name: str) -> DataFrame:
-        rows = with_store(_described(sales, dims), dims.store, "region", "province", "store_type")
+        rows = _described(
+            sales, dims, lambda rows: with_store(rows, merged(dims.store), "region", "province", "store_type")
+        )
         return _channel(rows, name, at_store, undiscounted)
 
     channels = [
         _channel(
-            with_distributor(_described(sellin, dims), dims.distributor, "region", "province"),
+            _described(sellin, dims, lambda rows: with_distributor(rows, dims.distributor, "region", "province")),
             fixed.SELL_IN,
             (F.col("region"), F.col("province"), nothing),
             (F.col("net_sales"), F.col("gross_sales"), F.col("discount")),

@@ -153,3 +153,12 @@ def test_only_sales_of_launched_products_are_summed(spark):
     plan = plan_of(found)
     # Read from the bottom: the semi join with the launched products stands below the first half of the first sum.
     assert plan.rindex("LeftSemi") > plan.rindex("partial_sum(qty")
+
+
+def test_sales_mart_meets_the_narrow_stores_before_the_wide_products(spark):
+    # Merged however small Spark takes them to be, so that the sales are shuffled alike at every size.
+    plan = plan_of(QUERIES["sales_mart"](spark, SAMPLE))
+    product, store = r"SortMergeJoin \[product_id#\d+\], \[product_id#", r"SortMergeJoin \[(store|retailer)_id#"
+    assert re.search(product, plan).start() < re.search(store, plan).start()
+    moved = re.findall(r"BroadcastHashJoin \[(\w+)#", plan)
+    assert "product_id" not in moved and "store_id" not in moved and "retailer_id" not in moved
