@@ -1,5 +1,8 @@
 """Promotion days and the promotion mart: sales on and off promotion against a trailing baseline."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -105,10 +108,10 @@ def promotion_mart(pos_sales: DataFrame, dims: Dimensions, frame: int = fixed.BA
         *(F.col(name).alias(f"_full_{name}") for name in ("product_id", "date", "brand", "category")),
         F.struct("_promotion", "_number").alias("_last_placed"),
     )
-    # A version of a product may have no brand, and is a version all the same.
-    of_day = (F.col("product_id") == F.col("_full_product_id")) & (F.col("date") == F.col("_full_date"))
-    of_version = F.col("brand").eqNullSafe(F.col("_full_brand")) & F.col("category").eqNullSafe(F.col("_full_category"))
-    behind = rows.join(full_days, of_day & of_version).filter(
+    # A version of a product may have no brand, and is a version all the same. Day and product are never null under a
+    # promotion; compared like the others, they add no filter that would set these rows apart from those of ``first``.
+    same = [F.col(name).eqNullSafe(F.col(f"_full_{name}")) for name in ("product_id", "date", "brand", "category")]
+    behind = rows.join(full_days, reduce(and_, same)).filter(
         F.col("_promotion").isNotNull() & (F.struct("_promotion", "_number") > F.col("_last_placed"))
     )
     own_day = revenue_of(lambda part: part * frame) / frame

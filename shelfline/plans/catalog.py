@@ -9,7 +9,7 @@ from ..functions import demand_columns
 from ..operators import adhoc, cards, clean, dims, facts, innovation, promotion, sales, views
 from ..operators.keys import dense_key
 from ..sources.sample_sources import SampleSources
-from ..sources.staging import stage
+from ..sources.staging import stage, stage_together
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,17 +45,20 @@ def _promotion_effectiveness(s: SampleSources) -> DataFrame:
 
 def _row_count_audit(s: SampleSources) -> DataFrame:
     """Row counts of the warehouse. The marts are built from the fact tables here, on surrogate keys, and each fact
-    is written once, so that no count and no mart computes it again.
+    is written once, so that no count and no mart computes it again. The three that come from the order lines are
+    written together: the lines are shuffled once for them.
     """
     d = s.dimensions("product", "distributor", "store", "promotion")
-    fact = {
-        "fact_sellin": facts.fact_sellin(s.typed("sellin"), d),
+    of_orders = {
         "fact_sellout": facts.fact_sellout(s.typed("sellout"), d),
         "fact_pos_sales": facts.fact_pos_sales(s.typed("pos_sales"), d),
         "fact_ecommerce_sales": facts.fact_ecommerce_sales(s.typed("ecommerce_orders"), d),
-        "fact_inventory": facts.fact_inventory(s.typed("inventory"), d),
     }
-    fact = {name: stage(df, name) for name, df in fact.items()}
+    fact = {
+        "fact_sellin": stage(facts.fact_sellin(s.typed("sellin"), d), "fact_sellin"),
+        **stage_together(of_orders, "facts_of_orders"),
+        "fact_inventory": stage(facts.fact_inventory(s.typed("inventory"), d), "fact_inventory"),
+    }
     pos, sellout = fact["fact_pos_sales"], fact["fact_sellout"]
     return adhoc.row_count_audit(
         {

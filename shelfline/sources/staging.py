@@ -2,9 +2,11 @@
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .files import delete
 
@@ -43,3 +45,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_together(tables: dict[str, DataFrame], label: str) -> dict[str, DataFrame]:
+    """``stage`` for several tables in one job, which shuffles only once what their plans have in common. Equally
+    named columns must be of the same type."""
+    named = [df.withColumn("of_table", F.lit(name)) for name, df in tables.items()]
+    rows = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), named)
+    path = f"{shared_folder(rows.sparkSession)}/{label}-{uuid4().hex}"
+    rows.write.partitionBy("of_table").parquet(path)
+    # From the folder of all of them: a table without rows has none of its own.
+    written = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return {name: written.filter(F.col("of_table") == name).select(df.columns) for name, df in tables.items()}

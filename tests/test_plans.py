@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 import shelfline.operators.promotion as promotion_module
 from shelfline.operators import facts, innovation, promotion, sales
 from shelfline.operators.star import with_product
+from shelfline.plans import catalog
 from shelfline.plans.catalog import QUERIES, _promotion_mart
 from shelfline.sources.sample_sources import SampleSources
+from shelfline.sources.staging import stage_together
 
-from .conftest import SAMPLE, plan_of
+from .conftest import SAMPLE, plan_of, rows_of
 from .fixtures import natural, pos_sales, products, promotions, sellout
 
 def test_no_query_pairs_all_rows_or_runs_python_per_row(spark):
@@ -162,3 +164,23 @@ def test_sales_mart_meets_the_narrow_stores_before_the_wide_products(spark):
     assert re.search(product, plan).start() < re.search(store, plan).start()
     moved = re.findall(r"BroadcastHashJoin \[(\w+)#", plan)
     assert "product_id" not in moved and "store_id" not in moved and "retailer_id" not in moved
+
+
+def test_tables_staged_together_keep_their_rows(spark, settings):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "x INT, y STRING")
+    tables = {"one": rows, "none": rows.filter("x = 7").withColumn("z", F.lit(1.5)), "other": rows.select("y")}
+    found = stage_together(tables, "tables")
+    for name, df in tables.items():
+        assert found[name].columns == df.columns and rows_of(found[name]) == rows_of(df)
+
+
+def test_audit_shuffles_the_order_lines_once(spark, monkeypatch, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    staged = []
+    monkeypatch.setattr(catalog, "stage_together", lambda dfs, label: staged.append(dfs) or stage_together(dfs, label))
+    assert {r.table_name: r.n for r in QUERIES["row_count_audit"](spark, SAMPLE).collect()}["fact_pos_sales"] > 0
+    assert set(staged[0]) == {"fact_sellout", "fact_pos_sales", "fact_ecommerce_sales"}
+    dfs = [df.select("product_key", "qty", "revenue") for df in staged[0].values()]
+    together = dfs[0].union(dfs[1]).union(dfs[2])
+    together.collect()
+    assert len(re.findall(r"ReusedExchange [^\n]*Exchange hashpartitioning\(o_orderkey", plan_of(together))) == 2
