@@ -111,7 +111,7 @@ def promotion_mart(pos_sales: DataFrame, dims: Dimensions, frame: int = fixed.BA
     # A version of a product may have no brand, and is a version all the same. Day and product are never null under a
     # promotion; compared like the others, they add no filter that would set these rows apart from those of ``first``.
     same = [F.col(name).eqNullSafe(F.col(f"_full_{name}")) for name in ("product_id", "date", "brand", "category")]
-    behind = rows.join(full_days, reduce(and_, same)).filter(
+    behind = rows.join(merged(full_days), reduce(and_, same)).filter(
         F.col("_promotion").isNotNull() & (F.struct("_promotion", "_number") > F.col("_last_placed"))
     )
     own_day = revenue_of(lambda part: part * frame) / frame

@@ -20,6 +20,7 @@ from ..operators.dims import (
     promotion_rows,
     store_rows,
 )
+from ..operators.star import merged
 
 # Columns used of the sample tables. With the schema given, reading one needs no look into its files.
 _SCHEMAS = {
@@ -186,7 +187,8 @@ class SampleSources:
         """Order lines of some customer segments.
 
         Orders are narrowed to the segments first. The lines are then shuffled by the same key and with the
-        same columns whatever the segments, so a plan with several channels shuffles them once.
+        same columns whatever the segments, so a plan with several channels shuffles them once. Customers and orders
+        are merged, for keys are few compressed bytes: Spark would send hundreds of thousands through the driver.
         """
         lines = self.table("lineitem").selectExpr(
             "l_orderkey AS o_orderkey",
@@ -198,8 +200,8 @@ class SampleSources:
         )
         customers = self.table("customer").filter(f"c_mktsegment IN {segments}")
         orders = self.table("orders").withColumnRenamed("o_custkey", "c_custkey")
-        bought = orders.join(customers, "c_custkey", "left_semi")
-        return lines.join(bought.select("o_orderkey", "c_custkey", "o_orderpriority"), "o_orderkey")
+        bought = orders.join(merged(customers), "c_custkey", "left_semi")
+        return lines.join(merged(bought).select("o_orderkey", "c_custkey", "o_orderpriority"), "o_orderkey")
 
     def _sellin(self) -> DataFrame:
         return self.table("lineitem").selectExpr(

@@ -11,11 +11,14 @@ from shelfline.operators.star import with_product
 from shelfline.plans import catalog
 from shelfline.plans.catalog import QUERIES, _promotion_mart
 from shelfline.sources.sample_sources import SampleSources
-from shelfline.sources.staging import stage_together
+from shelfline.sources.staging import stage, stage_together
 
 from .conftest import SAMPLE, plan_of, rows_of
 from .fixtures import natural, pos_sales, products, promotions, sellout
 
+FIRST_DAY = date(2023, 1, 1)
+
+
 def test_no_query_pairs_all_rows_or_runs_python_per_row(spark):
     for name, query in QUERIES.items():
         plan = plan_of(query(spark, SAMPLE))
@@ -135,6 +138,26 @@ def test_promotions_and_products_of_a_promotion_mart_are_not_broadcast(spark):
     assert re.search(r"SortMergeJoin \[product_id#\d+\], \[product_id#\d+\]", effect)
 
 
+def test_promotion_reports_broadcast_the_calendar_alone(spark, monkeypatch):
+    # Neither customers and orders, nor days with more promotions than the frame has rows, are sent through the driver.
+    staged = []
+    monkeypatch.setattr(promotion_module, "stage", lambda df, label: staged.append(df) or stage(df, label))
+    names = ("promotion_mart", "card_promo_uplift_by_type", "card_promo_vs_nonpromo", "v_promotion_effectiveness")
+    reports = [QUERIES[name](spark, SAMPLE) for name in names]
+    assert len(staged) == len(names)
+    for df in (*staged, *reports):
+        df.collect()
+        assert set(re.findall(r"BroadcastHashJoin \[([^\]#]+)#", plan_of(df))) <= {"date"}
+
+
+def test_full_days_of_promotions_are_merged(spark):
+    promos = promotions(spark, *[("A", "P", FIRST_DAY, FIRST_DAY, "display", 5.0)] * 35)
+    product = products(spark, ("P", "BrandA", date(2022, 1, 1), 0))
+    sold = pos_sales(spark, (FIRST_DAY, "S", "P", 1, 10.0))
+    found = promotion.promotion_mart(sold, natural(spark, product, promotion=promos))
+    assert found.count() == 35 and "BroadcastHashJoin" not in plan_of(found)
+
+
 def test_days_of_promotions_are_listed_by_many_tasks(spark, settings):
     settings(adaptive__coalescePartitions__enabled="false")
     promos = promotions(
